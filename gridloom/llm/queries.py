@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import decontamination, mixing, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_prefix_join_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 16, carry=["doc_id"])
 
@@ -20,7 +28,7 @@ def op10_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op9_feistel_shards, op10_fair_queue_mix)}
+QUERIES = {f.__name__: f for f in (op3_prefix_join_decontamination, op4_multi_index_simhash, op9_feistel_shards, op10_fair_queue_mix)}
 
 SQL: dict[str, str] = {}
 SQL["op10_fair_queue_mix"] = r"""
@@ -47,3 +55,21 @@ SELECT doc_id, size, total AS source_size, target, count(*) FILTER (running <= (
        sum(CASE WHEN running <= (SELECT floor(1.5 * sum(total)) FROM s) THEN size ELSE 0 END)::BIGINT AS taken
 FROM r GROUP BY doc_id, size, total, target, sid, u
 """
+
+SQL["op3_prefix_join_decontamination"] = r"""
+WITH lowered AS (
+  SELECT 'd' AS kind, doc_id AS id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL
+  SELECT 'b', item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+split AS (SELECT kind, id, coalesce(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM lowered),
+item AS (SELECT id, w, len(w) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM split WHERE kind = 'b' AND len(w) > 0),
+win AS (SELECT DISTINCT id::VARCHAR AS item, w[i : i + least(n, 13) - 1] AS ws, least(n, 13) AS l FROM item),
+lens AS (SELECT DISTINCT l FROM win),
+place AS (SELECT s.id, s.w, lens.l, unnest(range(1, len(s.w) - lens.l + 2)) AS p FROM split s, lens WHERE kind = 'd' AND len(s.w) >= lens.l),
+occ AS (SELECT place.id, place.p, place.l, win.item FROM place JOIN win ON win.l = place.l AND win.ws = place.w[place.p : place.p + place.l - 1]),
+hit AS (SELECT id, count(DISTINCT pos) AS n_hit FROM (SELECT id, unnest(range(p, p + l)) AS pos FROM occ) GROUP BY id),
+named AS (SELECT id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS h FROM (SELECT DISTINCT id, item FROM occ) GROUP BY id)
+SELECT s.id AS doc_id, len(s.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(s.w) AS contaminated
+FROM split s LEFT JOIN hit ON hit.id = s.id LEFT JOIN named ON named.id = s.id WHERE s.kind = 'd'
+"""
