@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, sharding, simhash
+from . import decontamination, mixing, sharding, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op4_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 16, carry=["doc_id"])
 
@@ -28,7 +32,7 @@ def op10_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op3_prefix_join_decontamination, op4_multi_index_simhash, op9_feistel_shards, op10_fair_queue_mix)}
+QUERIES = {f.__name__: f for f in (op3_prefix_join_decontamination, op4_multi_index_simhash, op5_compression_toxicity, op9_feistel_shards, op10_fair_queue_mix)}
 
 SQL: dict[str, str] = {}
 SQL["op10_fair_queue_mix"] = r"""

@@ -76,7 +76,7 @@ def links(prints: DataFrame, full_bucket: int = FULL_BUCKET) -> DataFrame:
     Two halves index two tables. A pair at up to 2 bits has an equal half, or both halves at distance 1; so a fingerprint
     looks up its own halves and the ball of radius 1 around its upper one (the side that lacks the differing bit does). What a table returns is verified by complete distance. Buckets that hold more than
     full_bucket fingerprints would return all their pairs, so there the other half's ball is enumerated as well and
-    whole fingerprints are fetched: a row for each true link, at most 1,568 probes for a fingerprint, nothing left out.
+    whole fingerprints are fetched: a row for each true link, at most 2,080 probes for a fingerprint, nothing left out.
     """
     hi, lo = F.shiftrightunsigned("_fp", HALF), F.col("_fp").bitwiseAND(F.lit(LOW))
     table = prints.select("_fp", hi.alias("_hi"), lo.alias("_lo"))
