@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, quality, sharding, simhash, toxicity
+from . import decontamination, lm_scoring, mixing, quality, sharding, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_log_frequency_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_likelihood_ratio_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,7 +40,7 @@ def op10_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op2_likelihood_ratio_quality, op3_prefix_join_decontamination, op4_multi_index_simhash, op5_compression_toxicity, op9_feistel_shards, op10_fair_queue_mix)}
+QUERIES = {f.__name__: f for f in (op1_log_frequency_bloom_lm, op2_likelihood_ratio_quality, op3_prefix_join_decontamination, op4_multi_index_simhash, op5_compression_toxicity, op9_feistel_shards, op10_fair_queue_mix)}
 
 SQL: dict[str, str] = {}
 SQL["op10_fair_queue_mix"] = r"""
