@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, lm_scoring, mixing, quality, sharding, simhash, toxicity
+from . import decontamination, licenses, lm_scoring, mixing, quality, sharding, simhash, token_counts, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,19 @@ def op5_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_minhash_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_segment_tree_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs.withColumn("edits", token_counts.redactions()(F.col("text"))), carry=["doc_id"])
+
+
+def op8_regression_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), carry=["page_id"])
+
+
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 16, carry=["doc_id"])
 
@@ -40,7 +53,7 @@ def op10_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_log_frequency_bloom_lm, op2_likelihood_ratio_quality, op3_prefix_join_decontamination, op4_multi_index_simhash, op5_compression_toxicity, op9_feistel_shards, op10_fair_queue_mix)}
+QUERIES = {f.__name__: f for f in (op1_log_frequency_bloom_lm, op2_likelihood_ratio_quality, op3_prefix_join_decontamination, op4_multi_index_simhash, op5_compression_toxicity, op6_minhash_license_scan, op7_segment_tree_token_counts, op8_regression_url_filter, op9_feistel_shards, op10_fair_queue_mix)}
 
 SQL: dict[str, str] = {}
 SQL["op10_fair_queue_mix"] = r"""
