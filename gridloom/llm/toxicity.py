@@ -21,12 +21,13 @@ LABELLED_ROWS = 24_000
 #: A part of a word belongs to the toxic dictionary if its log-likelihood ratio is over this (chi-squared, p = 1e-7) and
 #: most of its documents are toxic.
 SIGNIFICANT = 28.0
-#: Bytes of ordinary words in both dictionaries, of what sets each apart, and of the frame around every window.
-COMMON_BYTES, OWN_BYTES, FRAME_BYTES = 8192, 4096, 96
+#: Bytes of common ordinary words and of ordinary words that look toxic, both in both dictionaries, of what tells toxic
+#: text (as many of filler in the ordinary one), and of the frame around every window.
+COMMON_BYTES, ALIKE_BYTES, OWN_BYTES, FRAME_BYTES = 8192, 8192, 1024, 96
 #: A window is one word; of a longer one, overlapping pieces.
 WINDOW_BYTES, WINDOW_STEP = 48, 32
 #: Distances below this are noise; those at or above the last share a bin.
-BINS = (3, 4, 5)
+BINS = (2, 3, 4, 5)
 MEMO = 400_000
 THRESHOLD = 0.3
 
@@ -95,25 +96,31 @@ def _memo(name: str) -> dict[bytes, int]:
 
 
 FRAME = b" ".join(b"%d" % 7**k for k in range(5, 19))[:FRAME_BYTES]
-_FILLER = bytes(b & 0x1F | 0x80 for i in range(OWN_BYTES // 32 + 1) for b in hashlib.sha256(b"%d" % i).digest())
+_FILLER = bytes(b & 0x1F | 0x80 for i in range(ALIKE_BYTES // 32 + 1) for b in hashlib.sha256(b"%d" % i).digest())
 
 
 def _compressor(dictionary: bytes) -> zstd.ZstdCompressor:
-    set_ = zstd.ZstdCompressionParameters(window_log=16, hash_log=14, chain_log=14, search_log=6, min_match=4, target_length=64, strategy=zstd.STRATEGY_GREEDY, format=zstd.FORMAT_ZSTD1_MAGICLESS, write_checksum=False, write_content_size=False, write_dict_id=False)
+    set_ = zstd.ZstdCompressionParameters(window_log=17, hash_log=17, chain_log=17, search_log=9, min_match=4, target_length=64, strategy=zstd.STRATEGY_GREEDY, format=zstd.FORMAT_ZSTD1_MAGICLESS, write_checksum=False, write_content_size=False, write_dict_id=False)
     content = zstd.ZstdCompressionDict(dictionary, dict_type=zstd.DICT_TYPE_RAWCONTENT)
     content.precompute_compress(compression_params=set_)
     return zstd.ZstdCompressor(compression_params=set_, dict_data=content)
 
 
-def _dictionary(common: bytes, own: list[bytes]) -> bytes:
-    """Common words, then what sets the class apart (best last, nearest to the text), then the frame; equal layouts."""
+def _filled(parts: list[bytes], room: int) -> bytes:
+    """As many of the parts as there is room for, the first last (nearest to the text), after filler."""
     kept, size = [], 0
-    for x in own:
-        if size + len(x) > OWN_BYTES:
+    for x in parts:
+        if size + len(x) > room:
             break
         kept.append(x)
         size += len(x)
-    return common + _FILLER[: OWN_BYTES - size] + b"".join(reversed(kept)) + FRAME
+    return _FILLER[: room - size] + b"".join(reversed(kept))
+
+
+def _pair(common: list[bytes], alike: list[bytes], own: list[bytes]) -> tuple[bytes, bytes]:
+    """The toxic and the ordinary dictionary: alike but for what tells toxic text."""
+    shared = _filled(common, COMMON_BYTES) + _filled(alike, ALIKE_BYTES)
+    return shared + _filled(own, OWN_BYTES) + FRAME, shared + _filled([], OWN_BYTES) + FRAME
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> DataFrame:
@@ -129,15 +136,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROW
 def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Model:
     """Learns dictionaries and calibration from labelled documents. docs has _id and _text.
 
-    Word parts (beginnings of five bytes up, whole words) are counted by class in three quarters of the sample. The toxic dictionary
-    gets, for each beginning that tells toxic text, its longest form with much the same count; the ordinary one the
-    commonest ordinary words that the toxic dictionary happens to compress better. Both have the commonest ordinary words
-    in common and the same layout, so a distance comes from the difference alone. The rest calibrates how many
+    Word parts (beginnings of five characters up, whole words) are counted by class in three quarters of the sample, once
+    behind each different word, so that copies of a text count as one. The toxic dictionary
+    gets, for each beginning that tells toxic text, its longest form with much the same count. Both get the commonest
+    ordinary words, and the commonest of those that the toxic one would compress better by chance; they have the same
+    layout, so a distance comes from the difference alone. The rest calibrates how many
     windows of which distance make which probability. Without toxic or ordinary labels the score is their share.
     """
     sample = labelled_sample(docs, labels, rows)
     fitted, held = sample.where("not _held"), sample.where("_held")
-    per_word = materialize(fitted.select("_toxic", F.explode(F.array_distinct(split_words(ascii_lower(F.col("_text"))))).alias("w")).groupBy("w").agg(F.sum("_toxic").alias("t"), F.sum(1 - F.col("_toxic")).alias("o")), "toxicity-words")
+    words = split_words(ascii_lower(F.col("_text")))
+    pairs = fitted.select("_toxic", words.alias("_w")).select("_toxic", F.explode(F.arrays_zip(F.concat(F.array(F.lit("")), F.col("_w")).alias("before"), F.col("_w").alias("w"))).alias("p")).where("p.w is not null")
+    pairs = pairs.select("_toxic", F.xxhash64("p.before").alias("_before"), "p.w").distinct()
+    per_word = materialize(pairs.groupBy("w").agg(F.sum("_toxic").alias("t"), F.sum(1 - F.col("_toxic")).alias("o")), "toxicity-words")
     totals = per_word.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("o"), F.lit(0))).first()
     toxic_pairs, ordinary_pairs = float(totals[0]), float(totals[1])
     if not toxic_pairs or not ordinary_pairs:
@@ -161,22 +172,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Model:
             best[root] = p
     own = [best[r].encode() for r in sorted(best, key=lambda r: (-strength[r][1], r))]
 
-    common, size = [], 0
-    for r in per_word.where("o > 0").orderBy(F.desc("o"), "w").limit(3000).collect():
-        word = f" {r['w']} ".encode()
-        if len(word) <= WINDOW_BYTES and size + len(word) <= COMMON_BYTES and not any(p in f" {r['w']} " for p in best.values()):
-            common.append(word)
-            size += len(word)
-    shared = b"".join(reversed(common))
-    first = Model(_dictionary(shared, own), _dictionary(shared, []))
+    def ordinary(rows: DataFrame) -> list[bytes]:
+        found = [f" {r['w']} " for r in rows.orderBy(F.desc("o"), "w").limit(3000).collect()]  # over COMMON_BYTES
+        return [w.encode() for w in found if len(w) <= WINDOW_BYTES and not any(p in w for p in best.values())]
+
+    common = ordinary(per_word.where("o > 0"))
+    first = Model(*_pair(common, [], own))
 
     def distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"w": batch["w"], "o": batch["o"], "d": [max(map(first.distance, windows(w.encode()))) for w in batch["w"]]})
 
     fooled = per_word.where("o >= 2 and t <= o").select("w", "o").mapInPandas(distances, "w string, o long, d long").where("d >= 1")
-    fooled = [f" {r['w']} ".encode() for r in fooled.orderBy(F.desc("o"), "w").limit(2000).collect()]
-    model = Model(_dictionary(shared, own), _dictionary(shared, [w for w in fooled if len(w) <= WINDOW_BYTES]))
+    model = Model(*_pair(common, ordinary(fooled), own))
     model.weights = calibrate(model, held)
     return model
 
@@ -191,7 +199,7 @@ def calibrate(model: Model, held: DataFrame, ridge: float = 1.0) -> list[float]:
 
     schema = "y int, " + ", ".join(f"x{i} int" for i in range(len(BINS)))
     names = [f"x{i}" for i in range(len(BINS))]
-    counts = held.select("_text", "_toxic").mapInPandas(features, schema).groupBy("y", *names).count().orderBy("y", *names).collect()  # 5 ** 3 * 2 rows at most
+    counts = held.select("_text", "_toxic").mapInPandas(features, schema).groupBy("y", *names).count().orderBy("y", *names).collect()  # 5 ** 4 * 2 rows at most
     x = np.array([[1.0, *[r[n] for n in names]] for r in counts]).reshape(-1, 1 + len(BINS))
     y, n = np.array([r["y"] for r in counts], float), np.array([r["count"] for r in counts], float)
     w = np.zeros(1 + len(BINS))
