@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import base64
-from bisect import bisect_right
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,6 +44,11 @@ class Tokenizer:
             self.memo[piece] = n
         return n
 
+    def counts(self, pieces: list[str]) -> list[int]:
+        """The tokens of each of many pre-tokens."""
+        found = list(map(self.memo.get, pieces))
+        return [self.count(p) if n is None else n for n, p in zip(found, pieces, strict=True)] if None in found else found
+
     def pieces(self, text: str, begin: int = 0) -> Iterator[tuple[int, int]]:
         """(end, tokens) of each pre-token from a boundary on."""
         count = self.count
@@ -61,16 +66,10 @@ class CountTree:
 
     def __init__(self, text: str, tok: Tokenizer, leaf: int = LEAF) -> None:
         self.text, self.tok = text, tok
-        chars, tokens, end, n, k = [], [], 0, 0, 0
-        for at, count in tok.pieces(text):
-            n, k = n + count, k + 1
-            if k == leaf:
-                chars.append(at - end)
-                tokens.append(n)
-                end, n, k = at, 0, 0
-        if k or not chars:
-            chars.append(len(text) - end)
-            tokens.append(n)
+        pieces = tok.split.findall(text)
+        counts = tok.counts(pieces)
+        chars = [len("".join(pieces[i : i + leaf])) for i in range(0, len(pieces), leaf)] or [0]
+        tokens = [sum(counts[i : i + leaf]) for i in range(0, len(pieces), leaf)] or [0]
         self.size = 1 << (len(chars) - 1).bit_length()
         pad = [0] * (self.size - len(chars))
         self.chars, self.tokens = ([0] * self.size + x + pad for x in (chars, tokens))
@@ -180,16 +179,19 @@ def count_tokens(docs: DataFrame, edits: str = "edits", vocabulary: str = VOCABU
 
 
 #: Addresses, long numbers and hexadecimal keys: what the query's edits take out of the texts.
-PRIVATE = r"[\w.+-]{1,64}@[\w-]+(?:\.[\w-]+)+|\b[0-9a-f]{32,}\b|\+?\d[\d ().-]{7,}\d"
+ADDRESS = r"[\w.+-]{1,64}@[\w-]+(?:\.[\w-]+)+"
+NUMBERS = r"\b[0-9a-f]{32,}\b|\+?\d[\d ().-]{7,}\d"
+PRIVATE = f"{ADDRESS}|{NUMBERS}"
 
 
-def redactions(pattern: str = PRIVATE, replacement: str = "[removed]"):
-    """A column function: the edits that take out every match of a pattern."""
+def redactions(replacement: str = "[removed]"):
+    """A column function: the edits that take out every match of PRIVATE."""
 
     @F.pandas_udf(EDIT)
     def edits(texts: pd.Series) -> pd.Series:
-        find = regex.compile(pattern).finditer
-        return pd.Series([[{"start": m.start(), "length": m.end() - m.start(), "replacement": replacement} for m in find(t or "")] for t in texts], dtype=object)
+        every, numbers = re.compile(PRIVATE).finditer, re.compile(NUMBERS).finditer  # no address without an @
+        found = ((every if "@" in t else numbers)(t) for t in (t or "" for t in texts))
+        return pd.Series([[{"start": m.start(), "length": m.end() - m.start(), "replacement": replacement} for m in ms] for ms in found], dtype=object)
 
     return edits
 
