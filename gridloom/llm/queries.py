@@ -98,3 +98,18 @@ SELECT s.id AS doc_id, len(s.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT A
        coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(s.w) AS contaminated
 FROM split s LEFT JOIN hit ON hit.id = s.id LEFT JOIN named ON named.id = s.id WHERE s.kind = 'd'
 """
+
+_TEMPLATES = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in t)) for t in licenses.TEMPLATES)
+SQL["op6_minhash_license_scan"] = rf"""
+WITH t(license, text) AS (VALUES {_TEMPLATES}),
+x AS (SELECT 'd' AS kind, doc_id AS id, NULL AS license, text FROM documents UNION ALL SELECT 't', NULL, license, text FROM t),
+s AS (SELECT kind, id, license, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM x),
+g AS (SELECT *, list_transform(range(1, greatest(len(w) - 3, 1)), lambda i: array_to_string(w[i : i + 4], ' ')) AS grams FROM s),
+k AS (SELECT license, list_distinct(grams) AS own, len(list_distinct(grams)) AS m FROM g WHERE kind = 't'),
+c AS (SELECT g.id, g.grams, k.license, k.own, k.m, greatest(len(g.grams) - k.m, 0) AS last, greatest(1, k.m // 4) AS step FROM g JOIN k ON list_has_any(g.grams, k.own) WHERE g.kind = 'd'),
+p AS (SELECT id, license, own, m, grams, unnest(list_append(range(0, last, step), last)) AS a FROM c),
+f AS (SELECT id, license, len(list_intersect(list_distinct(grams[a + 1 : a + m]), own)) / m::DOUBLE AS share FROM p),
+h AS (SELECT id, count(DISTINCT license) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS l, max(share) AS b FROM f WHERE share >= 0.8 GROUP BY id)
+SELECT s.id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_licenses, coalesce(l, '') AS licenses, coalesce(b, 0)::DOUBLE AS best_share
+FROM s LEFT JOIN h ON h.id = s.id WHERE s.kind = 'd'
+"""
