@@ -100,26 +100,26 @@ def regenerated(table: DataFrame, spec: TabSpec, expected: int | None = None) ->
 def windowed_load(source: DataFrame, target: DataFrame, windows: DataFrame, key: str, path: str) -> tuple[DataFrame, DataFrame]:
     """Loads all pending windows in order and stops at the first that doesn't reconcile; (target, window states).
 
-    Every window is read by its range, merged insert-only by key, written, counted on both sides, and only then done; a
-    new run with the states so far takes up what is left. The loop is over windows, of which there are few; the rows
+    Every window is read by its range on both sides, what the target lacks by key is written, both sides are counted,
+    and only then it is done; windows are disjoint, so none reads what another wrote. A new run with the states so far takes up what is left. The loop is over windows, of which there are few; the rows
     stay in Spark. path: a folder that all executors see.
     """
     spark = source.sparkSession
-    states = [r.asDict() for r in windows.orderBy("window_id").collect()]
+    states, parts = [r.asDict() for r in windows.orderBy("window_id").collect()], []
+    read = lambda *paths: spark.read.schema(target.schema).parquet(*paths)
     for state in states:
         if state["status"] == bulkload.DONE:
             continue
-        rows = bulkload.read_window(source, key, state["lo"], state["hi"])
-        part = f"{path}/window-{state['window_id']}-{uuid.uuid4().hex}"
-        rows.join(target.select(key), key, "left_anti").select(*target.columns).write.parquet(part)
-        target = target.unionByName(spark.read.schema(target.schema).parquet(part))
-        n_source, n_target = rows.count(), bulkload.read_window(target, key, state["lo"], state["hi"]).count()
-        state |= {"source_count": n_source, "target_count": n_target}
-        if n_source != n_target:
+        rows, there = (bulkload.read_window(df, key, state["lo"], state["hi"]) for df in (source, target))
+        parts.append(f"{path}/window-{state['window_id']}-{uuid.uuid4().hex}")
+        rows.join(there.select(key), key, "left_anti").select(*target.columns).write.parquet(parts[-1])
+        state |= {"source_count": rows.count(), "target_count": there.count() + read(parts[-1]).count()}
+        if state["source_count"] != state["target_count"]:
             break
         state["status"] = bulkload.DONE
+    loaded = target.unionByName(read(*parts)) if parts else target
     shape = "cycle_id string, window_id int, lo long, hi long, status string, source_count long, target_count long"
     rows = [tuple(s.get(c.split()[0]) for c in shape.split(", ")) for s in states]
-    return target, spark.createDataFrame(rows, shape)
+    return loaded, spark.createDataFrame(rows, shape)
 
 
