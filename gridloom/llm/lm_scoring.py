@@ -182,6 +182,11 @@ def filter_shards(counts: DataFrame, shard_bits: int, stage: str) -> DataFrame:
     return materialize(placed.mapInArrow(build, "shard int, bits long, data binary"), stage)
 
 
+def fetched(shards: DataFrame) -> dict[int, tuple[int, bytes]]:
+    """The shards of a filter, brought to the driver one partition at a time."""
+    return {r["shard"]: (r["bits"], bytes(r["data"])) for r in shards.toLocalIterator()}
+
+
 def hot_words(vocab: DataFrame, most: int) -> tuple[int, np.ndarray, np.ndarray]:
     """The least count of a hot word, and the hot words' sorted hashes and counts: at most `most` of them."""
     bins = sorted(((r[0], r[1]) for r in vocab.groupBy(F.floor(F.log2("c") * 16).cast("int")).count().collect()), reverse=True)
@@ -219,7 +224,7 @@ def score_documents(docs: DataFrame, prior: float = PRIOR, group_bytes: int = GR
     shard_bits = max(0, ceil(np.log2(max(1, n / SHARD_TOKENS))))
     ones = filter_shards(vocab.select(F.col("h").alias("k"), "c"), max(0, shard_bits - 3), "lm-unigrams")
     twos = filter_shards(bigrams(train), shard_bits, "lm-bigrams")
-    unigrams = Filter(max(0, shard_bits - 3), {r["shard"]: (r["bits"], bytes(r["data"])) for r in ones.collect()})
+    unigrams = Filter(max(0, shard_bits - 3), fetched(ones))
     groups: list[list[int]] = [[]]
     room = group_bytes
     for shard, size in sorted((r[0], r[1]) for r in twos.select("shard", F.octet_length("data")).collect()):
@@ -233,8 +238,7 @@ def score_documents(docs: DataFrame, prior: float = PRIOR, group_bytes: int = GR
 
     def scorer(group: list[int], with_base: bool):
         held = twos.where(F.col("shard").isin(group)) if len(groups) > 1 else twos
-        pair = Filter(shard_bits, {r["shard"]: (r["bits"], bytes(r["data"])) for r in held.collect()})
-        model = spark.sparkContext.broadcast((unigrams, pair, hot_keys if with_base else None, hot_counts if with_base else None))
+        model = spark.sparkContext.broadcast((unigrams, Filter(shard_bits, fetched(held)), hot_keys if with_base else None, hot_counts if with_base else None))
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ones, twos, known, counts = model.value
