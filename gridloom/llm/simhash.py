@@ -135,13 +135,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def grouped(frame: DataFrame, full_bucket: int = FULL_BUCKET) -> DataFrame:
-    """frame (_id, _text, ...) with _fp and _component in place of _text: the smallest _id that is reachable."""
+    """frame (_id, _text, ...) with _fp, _root and _component in place of _text: the smallest _fp and _id that are reachable.
+
+    _root tells components apart; _component doesn't: it is null without ids, and texts that share an id share it.
+    """
     prints = materialize(with_fingerprints(frame), "simhash")
     distinct = materialize(prints.groupBy("_fp").agg(F.min("_id").alias("_least")), "simhash-distinct")
     root = components(links(distinct, full_bucket))
     classes = distinct.join(root.withColumnRenamed("node", "_fp"), "_fp", "left").withColumn("_root", F.coalesce("root", "_fp"))
     names = classes.groupBy("_root").agg(F.min("_least").alias("_component"))
-    return prints.join(classes.select("_fp", "_root").join(names, "_root").select("_fp", "_component"), "_fp")
+    return prints.join(classes.select("_fp", "_root").join(names, "_root").select("_fp", "_root", "_component"), "_fp")
 
 
 def near_duplicates(docs: DataFrame, full_bucket: int = FULL_BUCKET) -> DataFrame:
@@ -160,12 +163,13 @@ def near_duplicates(docs: DataFrame, full_bucket: int = FULL_BUCKET) -> DataFram
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs without near-duplicates: of each component the row with the smallest doc_id stays, and one only.
 
-    Of rows with the same doc_id, or of a component without ids, the row with the smallest hash of its columns stays.
+    Of a component's rows with the same doc_id, or of a component without ids, the row with the smallest hash of its
+    columns stays. Unrelated texts that have no id, or the same one, are components of their own and all stay.
     """
     frame, back = internal(docs, id="doc_id", text="text")
     frame = frame.withColumn("_rh", row_hash(frame))
     found = grouped(frame.select("_id", "_rh", "_text"))
-    first = found.groupBy("_component").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_rh").alias("h"))).alias("_first"))
+    first = found.groupBy("_root").agg(F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_rh").alias("h"))).alias("_first"))
     keep = first.select(F.col("_first.i").alias("_ki"), F.col("_first.h").alias("_kh"))
     stay = frame.join(keep, F.col("_id").eqNullSafe(F.col("_ki")) & (F.col("_rh") == F.col("_kh")), "left_semi")
     return stay.dropDuplicates(["_id", "_rh"]).select(*back)

@@ -269,6 +269,15 @@ def test_near_duplicates_odd_rows(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 == simhash.deduplicated(docs.limit(0)).count()
 
 
+def test_deduplicated_keeps_unrelated_texts_without_or_with_the_same_id(spark):
+    texts = ["the quick brown fox jumps over a lazy dog", "nothing here is like any other text at all", "rain fell on seven hills before the long night", "ten green bottles stood on an old stone wall"]
+    prints = [brute_fingerprint(t) for t in texts]
+    assert all((a ^ b).bit_count() > 2 for k, a in enumerate(prints) for b in prints[:k])
+    data = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[3]), (8, texts[3])]
+    rows = simhash.deduplicated(spark.createDataFrame(data, "doc_id bigint, text string")).collect()
+    assert Counter(map(tuple, rows)) == Counter([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3])])
+
+
 # ---- 5
 
 
