@@ -365,6 +365,28 @@ def test_license_scan_odd_rows(spark):
     assert all(r["n_licenses"] == 0 for r in licenses.scan(docs, none).collect()) and licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_license_scan_at_every_begin(spark):
+    """One word changed in a long template, at every begin within a stride: held to windows that begin anywhere."""
+    cut = lambda t: [tuple(t[k : k + 5]) for k in range(len(t) - 4)]
+    own = {name: set(cut(ALNUM.findall(lowered(t)))) for name, t in licenses.TEMPLATES}
+    rnd, data, expected = random.Random(10), [], {}
+    for name, template in licenses.TEMPLATES:
+        t = ALNUM.findall(lowered(template))
+        for before in range(8) if len(own[name]) > 24 else [3]:
+            for changed in (None, rnd.randrange(len(t)), 0):
+                text = ["w%d" % rnd.randrange(1000) for _ in range(40 + before)] + [w if k != changed else "changed" for k, w in enumerate(t)] + ["v%d" % rnd.randrange(1000) for _ in range(50)]
+                grams, best = cut(text), {}
+                for other, o in own.items():
+                    share = max(len(o & set(grams[at : at + len(o)])) / len(o) for at in range(len(grams) - len(o) + 1))
+                    if share >= licenses.CONTAINMENT:
+                        best[other] = share
+                expected[len(data)] = (",".join(sorted(best)), max(best.values(), default=0.0))
+                data.append((len(data), " ".join(text), None, None, None))
+    docs = spark.createDataFrame(data, DOCS)
+    rows = licenses.scan(docs, every_begin=True).collect()
+    assert sum((r["licenses"], r["best_share"]) == expected[r["doc_id"]] for r in rows) >= 0.99 * len(data)
+
+
 # ---- 7
 
 
