@@ -19,6 +19,9 @@ SPACE = r"[\x20\x09-\x0D]+"
 #: What separates words of digits, letters and all characters beyond ASCII, in lower-cased text.
 NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+#: Words of a shingle.
+SHINGLE = 5
+
 _own_dirs: dict[str, str] = {}
 
 
@@ -74,9 +77,35 @@ def count_words(c: Column) -> Column:
 
 
 def row_hash(df: DataFrame) -> Column:
-    """A hash of all columns that can be hashed, as tie-break between rows that differ elsewhere."""
-    flat = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType, T.ArrayType, T.StructType))]
-    return F.xxhash64(*[F.col(c) for c in flat])
+    """A hash of all columns, nested ones included, as tie-break between rows that differ elsewhere."""
+
+    def unhashable(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return any(unhashable(f.dataType) for f in kind.fields)
+        return unhashable(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, (T.MapType, T.VariantType))
+
+    return F.xxhash64(*[F.to_json(F.struct(f.name)) if unhashable(f.dataType) else F.col(f.name) for f in df.schema.fields])
+
+
+def shingle_hash(w: Column, at: Column, size: int) -> Column:
+    """Hash of `size` words from the 1-based place `at`; of shingles of another size than five the size is hashed too."""
+    return F.xxhash64(*([] if size == SHINGLE else [F.lit(size)]), *[F.element_at(w, at + k) for k in range(size)])
+
+
+def shingle_places(docs: DataFrame, words: Column, sizes: list[int]) -> DataFrame:
+    """(_id, _th, _p, _hash): every shingle of the sizes, by its 1-based place. docs has _id and _text.
+
+    Rows are numbers alone: a text never goes along with its places into a shuffle.
+    """
+    split = docs.select("_id", F.xxhash64("_text").alias("_th"), words.alias("_w")).withColumn("_n", F.size("_w"))
+    # outer: the optimizer would otherwise test for emptiness below the split, and so split every text twice
+    least = min(sizes)
+    every = F.explode_outer(F.when(F.col("_n") >= least, F.sequence(F.lit(1), F.greatest(F.col("_n") - least + 1, F.lit(1)))))
+    at = split.select("_id", "_th", "_n", "_w", every.alias("_p")).where("_p is not null")
+    if sizes == [least]:
+        return at.select("_id", "_th", "_p", shingle_hash(F.col("_w"), F.col("_p"), least).alias("_hash"))
+    fits = [F.when(F.col("_p") + size - 1 <= F.col("_n"), shingle_hash(F.col("_w"), F.least(F.col("_p"), F.col("_n") - size + 1), size)) for size in sizes]
+    return at.select("_id", "_th", "_p", F.explode_outer(F.array(*fits)).alias("_hash")).where("_hash is not null")
 
 
 def partitions(spark: SparkSession) -> int:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, ascii_lower, internal, materialize, split_words
+from .common import NOT_ALNUM, SHINGLE, ascii_lower, internal, materialize, shingle_hash, shingle_places, split_words
 
-#: Up to so many windows, the benchmark's tokens are broadcast; beyond, the join is a shuffle.
+#: Up to so many windows, the benchmark's tokens are broadcast; beyond, rows of numbers are shuffled.
 BROADCAST_WINDOWS = 1_000_000
 
 
@@ -20,72 +20,75 @@ def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
     frame, _ = internal(benchmark, item="item_id", text="text")
     w = F.col("_w")
     n = F.size(w)
-    items = frame.select(F.col("_item").cast("string").alias("_item"), words(F.col("_text")).alias("_w")).where(n > 0)
+    items = frame.where("_item is not null").select(F.col("_item").cast("string").alias("_item"), words(F.col("_text")).alias("_w")).where(n > 0)
     spans = items.select("_item", "_w", F.explode(F.sequence(F.lit(1), F.greatest(n - window + 1, F.lit(1)))).alias("_i"))
     cut = spans.select("_item", F.slice(w, F.col("_i"), F.least(n, F.lit(window))).alias("_window"))
     return cut.groupBy("_window").agg(F.collect_set("_item").alias("_items")).withColumn("_len", F.size("_window"))
 
 
-def shingle_hash(w: Column, at: Column, size: int) -> Column:
-    """Hash of `size` words from the 1-based place `at`."""
-    return F.xxhash64(*[F.element_at(w, at + k) for k in range(size)])
+def candidates(docs: DataFrame, benchmark: DataFrame, window: int = 13, shingle: int = SHINGLE, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame | None:
+    """(_cid, _cth, _tries): for documents, by id and text hash, where which windows may begin; None without windows.
 
-
-def document_hits(docs: DataFrame, benchmark: DataFrame, window: int = 13, shingle: int = 5, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """(_id, _th, n_hit, items): documents, by id and text hash, with words inside occurrences of benchmark windows.
-
-    docs has _id and _text. A window is a sequence of shingles of five words (a shorter item: of all its words). It can
-    only occur where all its shingles do, so the necessary prefix for exact containment is one shingle: the rarest over
-    all documents. One pass over the texts keeps the places whose shingle belongs to the benchmark, with the words
-    around; counting them gives the rarity. Their join with the prefix tokens is on equal hash, the window's offset gives
-    the only place where it could begin, places outside the text are dropped (length and position), and the words of the
-    document are compared with the window's.
+    docs has _id and _text. A window is a set of shingles of five words (a shorter item: of all its words). It can only
+    occur where all its shingles do, so the necessary prefix for exact containment is one shingle, the rarest. A first
+    pass over the texts counts the benchmark's shingles, which orders them by rarity; windows with a shingle that no
+    document has are out. A second pass joins the prefix shingles alone. A window's offset gives the only place where it
+    could begin. Only ids, hashes and places are shuffled; the words are compared where the text is (`hits`).
     """
-    spark = docs.sparkSession
     windows = materialize(item_windows(benchmark, window).withColumn("_key", F.xxhash64("_window")), "benchmark-windows")
     sizes = {r[0]: r[1] for r in windows.groupBy(F.least("_len", F.lit(shingle))).count().collect()}
+    if not sizes:
+        return None
     sent = F.broadcast if sum(sizes.values()) <= broadcast_windows else (lambda df: df)
     grams = None
     for size in sorted(sizes):
-        own = windows.where(F.least("_len", F.lit(shingle)) == size)
-        own = own.select("_key", "_window", "_len", "_items", F.explode(F.sequence(F.lit(1), F.col("_len") - size + 1)).alias("_o"))
-        own = own.withColumns({"_size": F.lit(size), "_hash": shingle_hash(F.col("_window"), F.col("_o"), size)})
+        own = windows.where(F.least("_len", F.lit(shingle)) == size).select("_key", "_window", "_len", F.explode(F.sequence(F.lit(1), F.col("_len") - size + 1)).alias("_o"))
+        own = own.select("_key", "_o", (F.col("_len") - size + 1).alias("_grams"), shingle_hash(F.col("_window"), F.col("_o"), size).alias("_hash"))
         grams = own if grams is None else grams.union(own)
-    if grams is None:
-        return spark.createDataFrame([], "_id bigint, _th bigint, n_hit bigint, items array<string>").withColumn("_id", F.col("_id").cast(docs.schema["_id"].dataType))
     grams = materialize(grams, "benchmark-shingles")
-    tokens = sent(grams.select("_size", "_hash").distinct())
 
-    w = F.col("_w")
-    split = docs.select("_id", F.xxhash64("_text").alias("_th"), words(F.col("_text")).alias("_w"))
-    split = split.withColumn("_n", F.size(w))
-    found = None
-    for size in sorted(sizes):
-        # outer: the optimizer would otherwise test for emptiness below the split, and so split every text twice
-        every = F.explode_outer(F.when(F.col("_n") >= size, F.sequence(F.lit(1), F.greatest(F.col("_n") - size + 1, F.lit(1)))))
-        at = split.select("_id", "_th", "_n", "_w", every.alias("_p")).where("_p is not null")
-        at = at.select("_id", "_th", "_n", "_w", "_p", F.lit(size).alias("_size"), shingle_hash(w, F.col("_p"), size).alias("_hash"))
-        hit = at.join(tokens, ["_size", "_hash"])
-        first = F.greatest(F.col("_p") - (window - size), F.lit(1))
-        hit = hit.select("_id", "_th", "_n", "_p", "_size", "_hash", first.alias("_from"), F.slice(w, first, F.lit(2 * window)).alias("_around"))
-        found = hit if found is None else found.union(hit)
-    found = materialize(found, "benchmark-places")
-
-    rarity = found.groupBy("_size", "_hash").agg(F.count("*").alias("_df"))
-    ranked = grams.join(rarity, ["_size", "_hash"])  # a window with a shingle that no document has can't occur
-    whole = F.col("_seen") == F.col("_len") - F.col("_size") + 1
-    prefix = ranked.groupBy("_key", "_size", "_len").agg(F.count("*").alias("_seen"), F.min(F.struct("_df", "_o", "_hash")).alias("_rarest")).where(whole)
-    prefix = prefix.select("_key", "_size", "_rarest._hash", "_rarest._o").join(windows.select("_key", "_window", "_len", "_items"), "_key")
+    places = shingle_places(docs, words(F.col("_text")), sorted(sizes))
+    rarity = materialize(places.join(sent(grams.select("_hash").distinct()), "_hash").groupBy("_hash").agg(F.count("*").alias("_df")), "benchmark-rarity")
+    ranked = grams.join(sent(rarity), "_hash")
+    prefix = ranked.groupBy("_key", "_grams").agg(F.count("*").alias("_seen"), F.min(F.struct("_df", "_o", "_hash")).alias("_rarest")).where("_seen = _grams")
+    prefix = prefix.join(windows.select("_key", "_window", "_len", "_items"), "_key").select(F.col("_rarest._hash").alias("_hash"), F.col("_rarest._o").alias("_o"), "_window", "_len", "_items")
+    prefix = materialize(prefix, "benchmark-prefix")
+    tokens = prefix.select("_hash", "_o", "_len", F.xxhash64("_window").alias("_key"))
     begin = F.col("_p") - F.col("_o") + 1
-    fits = (begin >= 1) & (begin + F.col("_len") - 1 <= F.col("_n"))
-    here = F.slice("_around", begin - F.col("_from") + 1, F.col("_len"))
-    places = found.join(sent(prefix), ["_size", "_hash"]).where(fits).where(here == F.col("_window"))
-    places = places.select("_id", "_th", begin.alias("_begin"), "_len", "_items")
+    found = places.join(sent(tokens), "_hash").where(begin >= 1).select("_id", "_th", "_key", begin.alias("_begin")).distinct()
+    named = found.join(sent(prefix.select(F.xxhash64("_window").alias("_key"), "_window", "_items")), "_key")
+    found = named.groupBy(F.col("_id").alias("_cid"), F.col("_th").alias("_cth")).agg(F.collect_list(F.struct("_begin", "_window", "_items")).alias("_tries"))
+    return materialize(found, "benchmark-candidates")
 
-    spans = places.groupBy("_id", "_th").agg(F.sort_array(F.collect_set(F.struct("_begin", (F.col("_begin") + F.col("_len")).alias("_end")))).alias("_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("_items")))).alias("items"))
-    start = F.struct(F.lit(0).alias("hit"), F.lit(0).alias("end"))
-    add = lambda s, x: F.struct((s["hit"] + F.greatest(x["_end"] - F.greatest(x["_begin"], s["end"]), F.lit(0))).alias("hit"), F.greatest(s["end"], x["_end"]).alias("end"))
-    return spans.select("_id", "_th", F.aggregate("_spans", start, add)["hit"].cast("long").alias("n_hit"), "items")
+
+def hits(docs: DataFrame, benchmark: DataFrame, **settings: int) -> DataFrame:
+    """docs (_id, _text, and others) with n_words, n_hit and items (ids of the items with windows that occur).
+
+    Candidates meet their text once; a window counts if it fits into the text (length and position) and all its words
+    are the document's there.
+    """
+    found = candidates(docs.select("_id", "_text"), benchmark, **settings)
+    if found is None:
+        return docs.withColumns({"n_words": F.size(words(F.col("_text"))).cast("long"), "n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>")})
+    keyed = docs.withColumn("_th", F.xxhash64("_text"))
+    joined = keyed.join(found, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_th") == F.col("_cth")), "left").withColumn("_w", words(F.col("_text")))
+    # word by word: a slice of a long text would copy it for every candidate
+    same = lambda t: F.forall(F.sequence(F.lit(0), F.size(t["_window"]) - 1), lambda i: F.get("_w", t["_begin"] - 1 + i) == F.get(t["_window"], i))
+    fits = lambda t: t["_begin"] + F.size(t["_window"]) - 1 <= F.size("_w")
+    here = F.filter(F.coalesce("_tries", F.array()), lambda t: fits(t) & same(t))
+    told = joined.withColumns({"n_words": F.size("_w").cast("long"), "_here": here})
+    # a span is one number, begin and length: numbers are sorted and told apart by hash, structs pairwise
+    spans = F.sort_array(F.array_distinct(F.transform("_here", lambda t: F.shiftleft(t["_begin"].cast("long"), 32) + F.size(t["_window"]))))
+    start = F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).cast("long").alias("end"))
+    begin, end = lambda x: F.shiftright(x, 32), lambda x: F.shiftright(x, 32) + x.bitwiseAND(F.lit((1 << 32) - 1))
+    add = lambda s, x: F.struct((s["hit"] + F.greatest(end(x) - F.greatest(begin(x), s["end"]), F.lit(0).cast("long"))).alias("hit"), F.greatest(s["end"], end(x)).alias("end"))
+    items = F.array_sort(F.array_distinct(F.flatten(F.transform("_here", lambda t: t["_items"]))))
+    return told.withColumns({"n_hit": F.aggregate(spans, start, add)["hit"], "items": items}).drop("_th", "_w", "_cid", "_cth", "_tries", "_here")
+
+
+def dirty(n_hit: Column, n_words: Column) -> Column:
+    """Contaminated: a twentieth of the words at least is hit."""
+    return (n_hit > 0) & (20 * n_hit >= n_words)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **settings: int) -> DataFrame:
@@ -98,18 +101,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **settings: int) -> Dat
     have no words; items without words or without an id count for nothing; repeated rows come out repeated.
     """
     frame, _ = internal(docs, id="doc_id", text="text")
-    frame = frame.select("_id", "_text")
-    counted = frame.select("_id", F.xxhash64("_text").alias("_th"), F.size(words(F.col("_text"))).cast("long").alias("n_words"))
-    hits = document_hits(frame, benchmark, **settings).select(F.col("_id").alias("_hid"), F.col("_th").alias("_hth"), "n_hit", "items")
-    joined = counted.join(hits, F.col("_id").eqNullSafe(F.col("_hid")) & (F.col("_th") == F.col("_hth")), "left")
-    n_hit, items = F.coalesce("n_hit", F.lit(0)), F.coalesce("items", F.array().cast("array<string>"))
-    return joined.select(F.col("_id").alias("doc_id"), "n_words", n_hit.cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
+    found = hits(frame.select("_id", "_text"), benchmark, **settings)
+    n_items = F.size("items").cast("long").alias("n_items")
+    return found.select(F.col("_id").alias("doc_id"), "n_words", "n_hit", n_items, F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), dirty(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without its contaminated documents (see contamination), with its columns."""
+    """docs without its contaminated documents (see contamination), with its columns.
+
+    Documents without a text, or whose text has no words, stay; repeated rows stay or go together; without benchmark
+    items all stay; an empty table gives an empty one.
+    """
     frame, back = internal(docs, id="doc_id", text="text")
-    n_words = F.size(words(F.col("_text")))
-    hits = materialize(document_hits(frame.select("_id", "_text"), benchmark), "benchmark-hits").select(F.col("_id").alias("_hid"), F.col("_th").alias("_hth"), "n_hit")
-    same = F.col("_id").eqNullSafe(F.col("_hid")) & (F.xxhash64("_text") == F.col("_hth")) & (20 * F.col("n_hit") >= n_words)
-    return frame.join(hits, same, "left_anti").select(*back)
+    return hits(frame, benchmark).where(~dirty(F.col("n_hit"), F.col("n_words"))).select(*back)

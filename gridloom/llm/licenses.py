@@ -7,13 +7,12 @@ from math import ceil, log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, ascii_lower, internal, materialize, split_words
+from .common import NOT_ALNUM, SHINGLE, ascii_lower, internal, materialize, shingle_hash, shingle_places, split_words
 
-SHINGLE = 5
 CONTAINMENT = 0.8
 #: The chance at least that a window that holds a template as required is retrieved by some band.
-CERTAINTY = 0.999
-#: Up to so many band keys of templates are broadcast; beyond, the join is a shuffle.
+CERTAINTY = 0.99999
+#: Up to so many band keys of templates are broadcast; beyond, rows of numbers are shuffled.
 BROADCAST_KEYS = 1_000_000
 
 #: Notices as they are commonly printed.
@@ -37,19 +36,14 @@ def words(c: Column) -> Column:
     return split_words(ascii_lower(c), NOT_ALNUM)
 
 
-def stride(shingles: int) -> int:
-    return max(1, shingles // 4)
+def bands(containment: float = CONTAINMENT, certainty: float = CERTAINTY) -> int:
+    """Bands of one row each that retrieve a template with the given certainty.
 
-
-def bands(shingles: int, containment: float = CONTAINMENT, certainty: float = CERTAINTY) -> int:
-    """Bands of one row each that retrieve a template of so many shingles with the given certainty.
-
-    Windows have as many shingles as the template and begin every `stride` of them, so one is off by half a stride at
-    most: it holds `share` of the template's shingles at least, its Jaccard similarity with the template is s or more,
-    and all bands miss with the chance (1 - s) ** bands.
+    Windows have as many shingles as the template and begin at every shingle, so the best one holds `containment` of the
+    template's shingles; its Jaccard similarity with the template is s or more, and all bands miss with the chance
+    (1 - s) ** bands.
     """
-    share = max(1 / shingles, containment - (stride(shingles) // 2) / shingles)
-    s = share / (2 - share)
+    s = containment / (2 - containment)
     return 1 if s >= 1 else ceil(log(1 - certainty) / log(1 - s))
 
 
@@ -58,90 +52,87 @@ def band_seeds(n: int) -> list[int]:
     return [((i + 1) * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63) for i in range(n)]
 
 
-def shingle_at(w: Column, at: Column) -> Column:
-    return F.xxhash64(*[F.element_at(w, at + k) for k in range(SHINGLE)])
-
-
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(templates, "license string, text string")
 
 
 def template_shingles(templates: DataFrame) -> DataFrame:
-    """(_license, _m, _grams): the different shingles of each template, as word arrays. Of five words at least."""
+    """(_license, _size, _m, _grams, _h): the different shingles of each template, as word arrays and hashes.
+
+    A template of under five words is one shingle of all its words (_size); one without words or name isn't there.
+    """
     frame, _ = internal(templates, license="license", text="text")
-    w = frame.select(F.col("_license").cast("string").alias("_license"), words(F.col("_text")).alias("_w")).where(F.size("_w") >= SHINGLE)
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("_w") - SHINGLE + 1), lambda i: F.slice(F.col("_w"), i, F.lit(SHINGLE))))
-    return w.select("_license", grams.alias("_grams")).withColumn("_m", F.size("_grams"))
+    w = frame.select(F.col("_license").cast("string").alias("_license"), words(F.col("_text")).alias("_w")).where((F.size("_w") > 0) & F.col("_license").isNotNull())
+    w = w.withColumn("_size", F.least(F.lit(SHINGLE), F.size("_w")))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("_w") - F.col("_size") + 1), lambda i: F.slice(F.col("_w"), i, F.col("_size"))))
+    w = w.select("_license", "_size", grams.alias("_grams")).withColumn("_m", F.size("_grams"))
+
+    def hashes(size: int) -> Column:
+        return F.transform("_grams", lambda g: shingle_hash(g, F.lit(1), size))
+
+    return w.withColumn("_h", F.coalesce(*[F.when(F.col("_size") == size, hashes(size)) for size in range(1, SHINGLE + 1)]))
 
 
-def matches(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT, broadcast_keys: int = BROADCAST_KEYS, every_begin: bool = False) -> DataFrame:
-    """(_id, _th, _license, _at, _share): windows of documents that hold a template. docs has _id and _text.
+def matches(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """(_id, _th, _license, _share): documents that hold a template, and the most of it in one window.
 
-    A band's key is the smallest hash of a set of shingles in that band's order. Windows meet a template where a band's
-    keys are equal; only shingles that are keys of some template are of use for that, so the texts' shingles are joined
-    with those first, and then the window's own minimum is taken. Candidates are verified by comparing shingles as words.
-    Texts shorter than a window are one window; the last window ends with the text. every_begin: a candidate is verified
-    at every begin within half a stride of its window too, so the stride serves retrieval only.
+    docs has _id and _text. A window is as many shingles as the template has, from every begin; texts shorter than that
+    are one window. A band's key is the smallest hash of a set of shingles in that band's order. A window and a template
+    meet where a band's keys are equal; only shingles that are keys of some template are of use for that, so the texts'
+    shingles are joined with those first (ids, hashes and places alone, so that is all a shuffle carries). Documents with
+    such places get their words, and around each place every window that holds it takes its own minimum. All windows
+    around a place where one met are verified by comparing shingles as words.
     """
     spark = docs.sparkSession
     known = materialize(template_shingles(templates), "license-templates")
-    sizes = [r[0] for r in known.select("_m").distinct().orderBy("_m").collect()]
-    keys = None
-    for m in sizes:
-        seeds = F.array(*[F.struct(F.lit(i).alias("band"), F.lit(s).cast("long").alias("seed")) for i, s in enumerate(band_seeds(bands(m, containment)))])
-        of = known.where(F.col("_m") == m).select("_license", "_m", F.transform("_grams", lambda g: F.xxhash64(*[g[k] for k in range(SHINGLE)])).alias("_h"), F.explode(seeds).alias("_b"))
-        of = of.select("_license", "_m", F.col("_b.seed").alias("_seed"), F.array_min(F.transform("_h", lambda h: h.bitwiseXOR(F.col("_b.seed")))).bitwiseXOR(F.col("_b.seed")).alias("_hash"))
-        keys = of if keys is None else keys.union(of)
-    if keys is None:
-        return spark.createDataFrame([], "_id bigint, _th bigint, _license string, _at int, _share double").withColumn("_id", F.col("_id").cast(docs.schema["_id"].dataType))
-    keys = materialize(keys, "license-bands")
+    sizes = [r[0] for r in known.select("_size").distinct().orderBy("_size").collect()]
+    if not sizes:
+        return spark.createDataFrame([], "_id bigint, _th bigint, _license string, _share double").withColumn("_id", F.col("_id").cast(docs.schema["_id"].dataType))
+    seeds = F.array(*[F.lit(s).cast("long") for s in band_seeds(bands(containment))])
+    keys = known.select("_license", "_size", "_m", "_h", F.explode(seeds).alias("_seed"))
+    key = F.array_min(F.transform("_h", lambda h: h.bitwiseXOR(F.col("_seed")))).bitwiseXOR(F.col("_seed"))
+    keys = materialize(keys.select("_license", "_size", "_m", "_seed", key.alias("_hash")), "license-bands")
     sent = F.broadcast if keys.count() <= broadcast_keys else (lambda df: df)
-    wide = max(sizes)
-    reach = stride(wide) // 2 if every_begin else 0
-
-    w = F.col("_w")
-    split = docs.select("_id", F.xxhash64("_text").alias("_th"), words(F.col("_text")).alias("_w")).withColumn("_n", F.size("_w") - SHINGLE + 1)
-    # outer: the optimizer would otherwise test for emptiness below the split, and so split every text twice
-    every = F.explode_outer(F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.greatest(F.col("_n") - 1, F.lit(0)))))
-    at = split.select("_id", "_th", "_n", "_w", every.alias("_p")).where("_p is not null").withColumn("_hash", shingle_at(w, F.col("_p") + 1))
-    first = F.greatest(F.col("_p") - wide - reach, F.lit(0))
-    found = at.join(sent(keys.select("_hash").distinct()), "_hash").select("_id", "_th", "_n", "_p", "_hash", first.alias("_from"), F.slice(w, first + 1, F.lit(2 * (wide + reach) + SHINGLE)).alias("_around"))
-    found = materialize(found, "license-places")
-
-    step = F.greatest(F.lit(1), F.call_function("div", F.col("_m"), F.lit(4))).cast("int")
-    low = F.greatest(F.col("_p") - F.col("_m") + 1, F.lit(0))
-    final = F.greatest(F.col("_n") - F.col("_m"), F.lit(0))
-    begin = F.least((F.ceil(low / step) * step).cast("int"), final)
-    high = F.least(F.col("_p"), final)
-    begins = F.when(begin <= high, F.array_distinct(F.array_append(F.sequence(begin, high, step), F.when(F.col("_p") >= final, final).otherwise(begin))))
-    tries = found.join(sent(keys), "_hash").withColumn("_at", F.explode_outer(begins)).where("_at is not null")
-    length = F.least(F.col("_m"), F.col("_n"))
-    shingles = lambda at, n: F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice("_around", at - F.col("_from") + i + 1, F.lit(SHINGLE)))
-    tries = tries.withColumn("_own", shingles(F.col("_at"), length))
-    least = F.array_min(F.transform("_own", lambda g: F.xxhash64(*[g[k] for k in range(SHINGLE)]).bitwiseXOR(F.col("_seed"))))
-    met = tries.where(least == F.col("_hash").bitwiseXOR(F.col("_seed")))
-    if every_begin:
-        half = F.call_function("div", step, F.lit(2)).cast("int")
-        nearby = F.sequence(F.greatest(F.col("_at") - half, F.lit(0)), F.least(F.col("_at") + half, final))
-        met = met.withColumn("_at", F.explode(nearby)).withColumn("_own", shingles(F.col("_at"), length))
-    met = met.select("_id", "_th", "_license", "_at", "_own").dropDuplicates(["_id", "_th", "_license", "_at"])
-    share = F.size(F.array_intersect("_own", "_grams")) / F.col("_m")
-    checked = met.join(sent(known), "_license").withColumn("_share", share)
-    return checked.where(F.col("_share") >= containment).select("_id", "_th", "_license", "_at", "_share")
-
-
-def scan(docs: DataFrame, templates: DataFrame | None = None, containment: float = CONTAINMENT, every_begin: bool = False) -> DataFrame:
+    wide = known.agg(F.max("_m")).first()[0]
+
+    places = shingle_places(docs, words(F.col("_text")), sizes).join(sent(keys.select("_hash").distinct()), "_hash")
+    places = places.groupBy(F.col("_id").alias("_pid"), F.col("_th").alias("_pth")).agg(F.collect_set(F.struct("_p", "_hash")).alias("_places"))
+    places = materialize(places, "license-places")
+    once = docs.select("_id", "_text", F.xxhash64("_text").alias("_th")).join(places, F.col("_id").eqNullSafe(F.col("_pid")) & (F.col("_th") == F.col("_pth")))
+    first = F.greatest(F.col("_at._p") - wide, F.lit(1))
+    around = once.withColumn("_w", words(F.col("_text"))).select("_id", "_th", F.size("_w").alias("_n"), "_w", F.explode("_places").alias("_at"))
+    around = around.select("_id", "_th", "_n", F.col("_at._p").alias("_p"), F.col("_at._hash").alias("_hash"), first.alias("_from"), F.slice("_w", first, F.lit(2 * wide + SHINGLE)).alias("_around"))
+
+    # hashes of all shingles around, once for a place; only templates of one shingle have fewer than five words
+    inside = lambda size: F.sequence(F.lit(1), F.size("_around") - size + 1)
+    around = around.withColumn("_gh", F.when(F.size("_around") >= SHINGLE, F.transform(inside(SHINGLE), lambda i: F.xxhash64(*[F.get("_around", i - 1 + k) for k in range(SHINGLE)]))))
+    shingles = F.col("_n") - F.col("_size") + 1
+    tries = around.join(sent(keys), "_hash").withColumn("_len", F.least(F.col("_m"), shingles))
+    low, high = F.greatest(F.col("_p") - F.col("_len") + 1, F.lit(1)), F.least(F.col("_p"), shingles - F.col("_len") + 1)
+    begins = F.sequence(low - F.col("_from") + 1, F.greatest(low, high) - F.col("_from") + 1)
+    ours = F.col("_hash").bitwiseXOR(F.col("_seed"))
+    least = lambda at: F.array_min(F.slice("_order", at, F.col("_len"))) == ours
+    tries = tries.withColumns({"_begins": begins, "_order": F.transform("_gh", lambda h: h.bitwiseXOR(F.col("_seed")))})
+    met = tries.where((F.col("_m") == 1) | F.exists("_begins", least)).select("_id", "_th", "_license", "_p", "_around", "_len", "_begins")
+    checked = met.dropDuplicates(["_id", "_th", "_license", "_p"]).join(sent(known.select("_license", "_size", "_m", "_grams")), "_license")
+    # which shingle of the template, if any, is at each place; as words
+    checked = checked.withColumn("_of", F.transform(inside(F.col("_size")), lambda i: F.array_position("_grams", F.slice("_around", i, F.col("_size")))))
+    share = F.array_max(F.transform("_begins", lambda at: F.size(F.array_distinct(F.filter(F.slice("_of", at, F.col("_len")), lambda g: g > 0))))) / F.col("_m")
+    best = checked.select("_id", "_th", "_license", share.alias("_share")).where(F.col("_share") >= containment)
+    return best.groupBy("_id", "_th", "_license").agg(F.max("_share").alias("_share"))
+
+
+def scan(docs: DataFrame, templates: DataFrame | None = None, containment: float = CONTAINMENT, **settings: int) -> DataFrame:
     """One row for each row of docs: doc_id, n_words, n_licenses, licenses (comma-joined, sorted), best_share.
 
-    Words are runs of digits, letters and characters beyond ASCII, lower-cased A-Z; shingles are five words. A license
-    is in a document if a window of as many shingles as its template holds `containment` of them; best_share is the
-    largest such part (0 without any). Windows begin every quarter of the template (and the last one ends with the text),
-    as in the query's SQL; a notice of 0.8 to 0.9 that begins between is missed. every_begin verifies all begins. Null, empty and short texts have no licenses; templates of under five words are
-    left out; repeated rows come out repeated; an empty table gives an empty one.
+    Words are runs of digits, letters and characters beyond ASCII, lower-cased A-Z; shingles are five words (a template
+    of fewer: all its words). A license is in a document if some window of as many shingles as its template, wherever it
+    begins, holds `containment` of them; best_share is the largest such part (0 without any). Null, empty and short texts
+    have no licenses but those of templates as short; repeated rows come out repeated; an empty table gives an empty one.
     """
     frame, _ = internal(docs, id="doc_id", text="text")
     frame = frame.select("_id", "_text")
-    found = matches(frame, templates if templates is not None else template_table(docs.sparkSession, TEMPLATES), containment, every_begin=every_begin)
+    found = matches(frame, templates if templates is not None else template_table(docs.sparkSession, TEMPLATES), containment, **settings)
     per_doc = found.groupBy(F.col("_id").alias("_hid"), F.col("_th").alias("_hth")).agg(F.sort_array(F.collect_set("_license")).alias("_l"), F.max("_share").alias("_share"))
     counted = frame.select("_id", F.xxhash64("_text").alias("_th"), F.size(words(F.col("_text"))).cast("long").alias("n_words"))
     joined = counted.join(per_doc, F.col("_id").eqNullSafe(F.col("_hid")) & (F.col("_th") == F.col("_hth")), "left")

@@ -87,7 +87,7 @@ WITH lowered AS (
   UNION ALL
   SELECT 'b', item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
 split AS (SELECT kind, id, coalesce(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM lowered),
-item AS (SELECT id, w, len(w) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM split WHERE kind = 'b' AND len(w) > 0),
+item AS (SELECT id, w, len(w) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM split WHERE kind = 'b' AND id IS NOT NULL AND len(w) > 0),
 win AS (SELECT DISTINCT id::VARCHAR AS item, w[i : i + least(n, 13) - 1] AS ws, least(n, 13) AS l FROM item),
 lens AS (SELECT DISTINCT l FROM win),
 place AS (SELECT s.id, s.w, lens.l, unnest(range(1, len(s.w) - lens.l + 2)) AS p FROM split s, lens WHERE kind = 'd' AND len(s.w) >= lens.l),
@@ -106,8 +106,8 @@ x AS (SELECT 'd' AS kind, doc_id AS id, NULL AS license, text FROM documents UNI
 s AS (SELECT kind, id, license, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM x),
 g AS (SELECT *, list_transform(range(1, greatest(len(w) - 3, 1)), lambda i: array_to_string(w[i : i + 4], ' ')) AS grams FROM s),
 k AS (SELECT license, list_distinct(grams) AS own, len(list_distinct(grams)) AS m FROM g WHERE kind = 't'),
-c AS (SELECT g.id, g.grams, k.license, k.own, k.m, greatest(len(g.grams) - k.m, 0) AS last, greatest(1, k.m // 4) AS step FROM g JOIN k ON list_has_any(g.grams, k.own) WHERE g.kind = 'd'),
-p AS (SELECT id, license, own, m, grams, unnest(list_append(range(0, last, step), last)) AS a FROM c),
+c AS (SELECT g.id, g.grams, k.license, k.own, k.m, greatest(len(g.grams) - k.m, 0) AS last FROM g JOIN k ON list_has_any(g.grams, k.own) WHERE g.kind = 'd'),
+p AS (SELECT id, license, own, m, grams, unnest(range(0, last + 1)) AS a FROM c),
 f AS (SELECT id, license, len(list_intersect(list_distinct(grams[a + 1 : a + m]), own)) / m::DOUBLE AS share FROM p),
 h AS (SELECT id, count(DISTINCT license) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS l, max(share) AS b FROM f WHERE share >= 0.8 GROUP BY id)
 SELECT s.id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_licenses, coalesce(l, '') AS licenses, coalesce(b, 0)::DOUBLE AS best_share
