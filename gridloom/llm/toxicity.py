@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,21 +14,23 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, internal, materialize, split_words
+from .common import NOT_ALNUM, ascii_lower, internal, materialize, partitions, split_words
 
 #: Labelled rows that the model is fitted on, at most about so many: picked by a hash of the id, three quarters
 #: for the dictionaries, a quarter for calibration.
 LABELLED_ROWS = 24_000
-#: A part of a word belongs to the toxic dictionary if its log-likelihood ratio is over this (chi-squared, p = 1e-7) and
-#: most of its documents are toxic.
+#: A beginning of a word tells toxic text if its log-likelihood ratio is over this (chi-squared, p = 1e-7) and most of
+#: its windows are of toxic documents.
 SIGNIFICANT = 28.0
-#: Bytes of common ordinary words and of ordinary words that look toxic, both in both dictionaries, of what tells toxic
-#: text (as many of filler in the ordinary one), and of the frame around every window.
-COMMON_BYTES, ALIKE_BYTES, OWN_BYTES, FRAME_BYTES = 8192, 8192, 1024, 96
-#: A window is one word; of a longer one, overlapping pieces.
-WINDOW_BYTES, WINDOW_STEP = 48, 32
-#: Distances below this are noise; those at or above the last share a bin.
-BINS = (2, 3, 4, 5)
+#: Bytes of the commonest ordinary windows, in both dictionaries, and of the frame around every window.
+COMMON_BYTES, FRAME_BYTES = 16384, 96
+#: Rounds in which ordinary windows that the toxic dictionary saves FOOLED bytes on come into the ordinary one.
+ROUNDS, FOOLED = 3, 2
+#: A window is two words; longer words are cut into pieces.
+WORD_BYTES = 48
+WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]{1,%d}" % WORD_BYTES)
+#: Distances from 1 up are counted, those of 5 and more together.
+BINS = 5
 MEMO = 400_000
 THRESHOLD = 0.3
 
@@ -37,10 +40,10 @@ def learns(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) != 2
 
 
-def windows(word: bytes) -> list[bytes]:
-    if len(word) <= WINDOW_BYTES:
-        return [word]
-    return [word[i : i + WINDOW_BYTES] for i in range(0, len(word) - WINDOW_BYTES + WINDOW_STEP, WINDOW_STEP)]
+def windows(text: str | None) -> list[bytes]:
+    """Every two words that follow each other, of digits, letters and characters beyond ASCII, lower-cased A-Z."""
+    words = WORD.findall((text or "").encode("utf-8", "surrogatepass").lower())
+    return [b" %b %b " % pair for pair in zip(words, words[1:], strict=False)] or [b" %b " % w for w in words]
 
 
 @dataclass
@@ -61,26 +64,25 @@ class Model:
         """Bytes that the toxic dictionary saves over the ordinary one."""
         if "_pair" not in self.__dict__:
             self._pair = [_compressor(d) for d in (self.ordinary, self.toxic)]
-        framed = FRAME + b" " + window + b" " + FRAME[:40]
+        framed = FRAME + window + FRAME[:40]
         ordinary, toxic = self._pair
         return len(ordinary.compress(framed)) - len(toxic.compress(framed))
 
     def features(self, text: str | None) -> tuple[int, ...]:
-        """How many different windows of the text have a distance of each bin."""
-        memo, counts = _memo(self.name), [0] * len(BINS)
-        for word in set((text or "").encode("utf-8", "surrogatepass").lower().split()):
-            best = memo.get(word)
-            if best is None:
-                best = max(map(self.distance, windows(word)))
+        """How many different windows of the text have which distance, and how many windows there are."""
+        memo, counts, every = _memo(self.name), [0] * (BINS + 1), windows(text)
+        for window in set(every):
+            d = memo.get(window)
+            if d is None:
+                d = min(max(self.distance(window), 0), BINS)
                 if len(memo) >= MEMO:
                     memo.clear()
-                memo[word] = best
-            if best >= BINS[0]:
-                counts[min(best, BINS[-1]) - BINS[0]] += 1
-        return tuple(min(c, 4) for c in counts)
+                memo[window] = d
+            counts[d] += 1
+        return (*counts[1:], len(every))
 
     def score(self, text: str | None) -> float:
-        z = self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], self.features(text), strict=True))
+        z = self.weights[0] + sum(w * math.log1p(x) for w, x in zip(self.weights[1:], self.features(text), strict=True))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
@@ -88,7 +90,7 @@ _memos: dict[str, dict[bytes, int]] = {}
 
 
 def _memo(name: str) -> dict[bytes, int]:
-    """Distances of words that this worker has met; kept for one model at a time."""
+    """Distances of windows that this worker has met; kept for one model at a time."""
     if name not in _memos:
         _memos.clear()
         _memos[name] = {}
@@ -96,7 +98,6 @@ def _memo(name: str) -> dict[bytes, int]:
 
 
 FRAME = b" ".join(b"%d" % 7**k for k in range(5, 19))[:FRAME_BYTES]
-_FILLER = bytes(b & 0x1F | 0x80 for i in range(ALIKE_BYTES // 32 + 1) for b in hashlib.sha256(b"%d" % i).digest())
 
 
 def _compressor(dictionary: bytes) -> zstd.ZstdCompressor:
@@ -106,104 +107,133 @@ def _compressor(dictionary: bytes) -> zstd.ZstdCompressor:
     return zstd.ZstdCompressor(compression_params=set_, dict_data=content)
 
 
-def _filled(parts: list[bytes], room: int) -> bytes:
-    """As many of the parts as there is room for, the first last (nearest to the text), after filler."""
+def _joined(parts: list[bytes], room: int) -> bytes:
+    """The first parts that there is room for, the first of them last (nearest to the text)."""
     kept, size = [], 0
     for x in parts:
         if size + len(x) > room:
             break
         kept.append(x)
         size += len(x)
-    return _FILLER[: room - size] + b"".join(reversed(kept))
-
-
-def _pair(common: list[bytes], alike: list[bytes], own: list[bytes]) -> tuple[bytes, bytes]:
-    """The toxic and the ordinary dictionary: alike but for what tells toxic text."""
-    shared = _filled(common, COMMON_BYTES) + _filled(alike, ALIKE_BYTES)
-    return shared + _filled(own, OWN_BYTES) + FRAME, shared + _filled([], OWN_BYTES) + FRAME
+    return b"".join(reversed(kept))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> DataFrame:
-    """(_id, _text, _toxic, _held): a bounded sample of labelled documents that may be learned from."""
+    """(_text, _toxic, _held): a bounded sample of labelled documents that may be learned from. Ids are compared as texts."""
     marks, _ = internal(labels, lid="doc_id", toxic="toxic")
-    marks = marks.where(F.col("_toxic").isin(0, 1) & F.col("_lid").isNotNull() & learns(F.col("_lid"))).groupBy("_lid").agg(F.max("_toxic").cast("int").alias("_toxic"))
+    marks = marks.where(F.col("_toxic").isin(0, 1) & F.col("_lid").isNotNull() & learns(F.col("_lid"))).groupBy(F.col("_lid").cast("string").alias("_lid")).agg(F.max("_toxic").cast("int").alias("_toxic"))
     share = min(1.0, rows / max(1, marks.count()))
-    part = F.pmod(F.xxhash64(F.col("_lid").cast("long"), F.lit(5)), F.lit(1_000_000))
+    part = F.pmod(F.xxhash64("_lid", F.lit(5)), F.lit(1_000_000))
     picked = marks.where(part < F.lit(int(share * 1_000_000))).withColumn("_held", F.pmod(part, F.lit(4)) == 0)
-    return materialize(docs.join(F.broadcast(picked), docs["_id"] == picked["_lid"]).select("_id", "_text", "_toxic", "_held"), "toxicity-labelled")
+    return materialize(docs.join(F.broadcast(picked), docs["_id"].cast("string") == picked["_lid"]).select("_text", "_toxic", "_held"), "toxicity-labelled")
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Model:
-    """Learns dictionaries and calibration from labelled documents. docs has _id and _text.
+def labelled_windows(fitted: DataFrame) -> DataFrame:
+    """(a, b, t, o): the different windows (two words) of the fitted documents, in how many of either class."""
+    words = F.filter(split_words(ascii_lower(F.col("_text")), NOT_ALNUM), lambda w: F.octet_length(w) <= WORD_BYTES)
+    many = F.greatest(F.size("_w") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("_w", 1, many), F.slice("_w", 2, many), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    seen = fitted.select("_toxic", words.alias("_w")).select("_toxic", F.explode(pairs).alias("p"))
+    return seen.groupBy("p.a", "p.b").agg(F.sum("_toxic").alias("t"), F.sum(1 - F.col("_toxic")).alias("o"))
+
+
+def beginnings(word: Column) -> Column:
+    """The word between blanks, and its beginnings of four to ten characters with the blank before."""
+    spaced = F.concat(F.lit(" "), word, F.lit(" "))
+    return F.array_distinct(F.concat(F.transform(F.sequence(F.lit(5), F.lit(11)), lambda k: F.substring(spaced, F.lit(1), k)), F.array(spaced)))
+
 
-    Word parts (beginnings of five characters up, whole words) are counted by class in three quarters of the sample, once
-    behind each different word, so that copies of a text count as one. The toxic dictionary
-    gets, for each beginning that tells toxic text, its longest form with much the same count. Both get the commonest
-    ordinary words, and the commonest of those that the toxic one would compress better by chance; they have the same
-    layout, so a distance comes from the difference alone. The rest calibrates how many
-    windows of which distance make which probability. Without toxic or ordinary labels the score is their share.
+def telling_forms(seen: DataFrame) -> list[str]:
+    """Beginnings of words that tell toxic text, strongest first: of those alike, the longest with much the same count.
+
+    A word counts once behind each different word, so that copies of a text count as one.
     """
-    sample = labelled_sample(docs, labels, rows)
-    fitted, held = sample.where("not _held"), sample.where("_held")
-    words = split_words(ascii_lower(F.col("_text")))
-    pairs = fitted.select("_toxic", words.alias("_w")).select("_toxic", F.explode(F.arrays_zip(F.concat(F.array(F.lit("")), F.col("_w")).alias("before"), F.col("_w").alias("w"))).alias("p")).where("p.w is not null")
-    pairs = pairs.select("_toxic", F.xxhash64("p.before").alias("_before"), "p.w").distinct()
-    per_word = materialize(pairs.groupBy("w").agg(F.sum("_toxic").alias("t"), F.sum(1 - F.col("_toxic")).alias("o")), "toxicity-words")
+    per_word = seen.groupBy(F.col("b").alias("w")).agg(F.count_if(F.col("t") > 0).alias("t"), F.count_if(F.col("o") > 0).alias("o"))
     totals = per_word.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("o"), F.lit(0))).first()
-    toxic_pairs, ordinary_pairs = float(totals[0]), float(totals[1])
-    if not toxic_pairs or not ordinary_pairs:
-        share = sample.agg(F.avg("_toxic")).first()[0] or 0.0
-        share = min(max(share, 1e-9), 1 - 1e-9)
-        return Model(FRAME, FRAME, [math.log(share / (1 - share)), *[0.0] * len(BINS)])
-
-    spaced = F.concat(F.lit(" "), F.substring("w", 1, WINDOW_BYTES), F.lit(" "))
-    beginnings = F.array_distinct(F.concat(F.transform(F.sequence(F.lit(5), F.lit(11)), lambda k: F.substring(spaced, F.lit(1), k)), F.array(spaced)))
-    parts = per_word.select("t", "o", F.explode(beginnings).alias("p")).groupBy("p").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
-    rate = (F.col("t") + F.col("o")) / (toxic_pairs + ordinary_pairs)
+    toxic, ordinary = float(totals[0]), float(totals[1])
+    if not toxic or not ordinary:
+        return []
+    parts = per_word.select("t", "o", F.explode(beginnings(F.col("w"))).alias("p")).groupBy("p").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    rate = (F.col("t") + F.col("o")) / (toxic + ordinary)
     term = lambda seen, n: F.when(seen > 0, seen * F.log(seen / (n * rate))).otherwise(0.0) + (n - seen) * F.log((n - seen) / (n * (1 - rate)))
-    ratio = 2 * (term(F.col("t").cast("double"), F.lit(toxic_pairs)) + term(F.col("o").cast("double"), F.lit(ordinary_pairs)))
-    telling = parts.where((F.col("t") >= 3) & (F.col("t") > F.col("o"))).withColumn("g", ratio).where(F.col("g") >= SIGNIFICANT)
-    telling = [(r["p"], r["t"], r["g"]) for r in telling.orderBy(F.desc("g"), "p").limit(2000).collect()]  # far over OWN_BYTES
-    strength = {p: (t, g) for p, t, g in telling}
+    ratio = 2 * (term(F.col("t").cast("double"), F.lit(toxic)) + term(F.col("o").cast("double"), F.lit(ordinary)))
+    # few of a bounded sample's: each needs some ten windows of toxic documents
+    found = {r["p"]: (r["t"], r["g"]) for r in parts.where((F.col("t") >= 3) & (F.col("t") > F.col("o"))).withColumn("g", ratio).where(F.col("g") >= SIGNIFICANT).collect()}
     best: dict[str, str] = {}
-    for p in sorted(strength, key=lambda p: (len(p), p)):
-        root = p[:5]
-        if root in strength and strength[p][0] >= 0.8 * strength[root][0] and len(p) > len(best.get(root, "")):
+    for p in sorted(found, key=lambda p: (len(p), p)):
+        root = next((p[:k] for k in range(5, len(p)) if p[:k] in found), p)
+        if found[p][0] >= 0.8 * found[root][0]:
             best[root] = p
-    own = [best[r].encode() for r in sorted(best, key=lambda r: (-strength[r][1], r))]
+    return [best[r] for r in sorted(best, key=lambda r: (-found[r][1], r))]
 
-    def ordinary(rows: DataFrame) -> list[bytes]:
-        found = [f" {r['w']} " for r in rows.orderBy(F.desc("o"), "w").limit(3000).collect()]  # over COMMON_BYTES
-        return [w.encode() for w in found if len(w) <= WINDOW_BYTES and not any(p in w for p in best.values())]
 
-    common = ordinary(per_word.where("o > 0"))
-    first = Model(*_pair(common, [], own))
+def toxic_segments(seen: DataFrame, forms: list[str]) -> list[bytes]:
+    """For each form a window of toxic text that has it, the one whose other word is the commonest in ordinary text."""
+    spark = seen.sparkSession
+    sides = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))
+    spots = seen.where("t > 0").select(F.concat(F.lit(" "), "a", F.lit(" "), "b", F.lit(" ")).alias("window"), F.explode(sides).alias("s"))
+    spots = spots.select("window", "s.y", F.explode(beginnings(F.col("s.x"))).alias("p")).join(F.broadcast(spark.createDataFrame([(f,) for f in forms], "p string")), "p")
+    common = seen.groupBy(F.col("b").alias("y")).agg(F.sum("o").alias("n"))
+    picked = spots.join(common, "y", "left").groupBy("p").agg(F.min_by("window", F.struct(-F.coalesce("n", F.lit(0)), F.col("window"))).alias("window")).collect()
+    found = {r["p"]: r["window"].encode() for r in picked}
+    return list(dict.fromkeys(found[f] for f in forms))
 
-    def distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"w": batch["w"], "o": batch["o"], "d": [max(map(first.distance, windows(w.encode()))) for w in batch["w"]]})
 
-    fooled = per_word.where("o >= 2 and t <= o").select("w", "o").mapInPandas(distances, "w string, o long, d long").where("d >= 1")
-    model = Model(*_pair(common, ordinary(fooled), own))
+def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Model:
+    """Learns dictionaries and calibration from labelled documents. docs has _id and _text.
+
+    Three quarters of the sample make two dictionaries of text, as raw content. Both begin with the commonest ordinary
+    windows, so that ordinary text is as short with either. The toxic one goes on with segments of toxic text, one for
+    each beginning of a word that tells the classes apart; the ordinary one with as many bytes of ordinary text, in
+    rounds: the commonest ordinary windows that are still shorter with the toxic dictionary. The last quarter calibrates
+    how many windows of which distance make which probability. Without toxic or ordinary labels, or anything that tells
+    them apart, the score is the share of toxic ones.
+    """
+    sample = labelled_sample(docs, labels, rows)
+    fitted, held = sample.where("not _held"), sample.where("_held")
+    seen = materialize(labelled_windows(fitted), "toxicity-windows")
+    forms = telling_forms(seen)
+    if not forms:
+        share = sample.agg(F.avg("_toxic")).first()[0] or 0.0
+        share = min(max(share, 1e-9), 1 - 1e-9)
+        return Model(FRAME, FRAME, [math.log(share / (1 - share)), *[0.0] * (BINS + 1)])
+    own = b"".join(reversed(toxic_segments(seen, forms)))
+    window = lambda r: f" {r['a']} {r['b']} ".encode()
+    top = [window(r) for r in seen.where("o > 0").orderBy(F.desc("o"), "a", "b").limit((COMMON_BYTES + 2 * len(own)) // 4).collect()]  # none is under 5 bytes
+    top = [w for w in top if not any(f.encode() in w for f in forms)]
+    common, hard = _joined(top, COMMON_BYTES), []
+    rest = [w for w in top if w not in common]
+    for round_ in range(ROUNDS + 1):
+        model = Model(common + own + FRAME, common + _joined([*hard, *rest], len(own)) + FRAME)
+        if round_ == ROUNDS:
+            break
+
+        def distances(batches: Iterator[pd.DataFrame], model: Model = model) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                saved = [model.distance(b" %b %b " % (a.encode(), b.encode())) for a, b in zip(batch["a"], batch["b"], strict=True)]
+                yield batch.assign(d=saved)
+
+        fooled = seen.where("o >= 2").select("a", "b", "o").repartition(partitions(seen.sparkSession)).mapInPandas(distances, "a string, b string, o long, d long").where(F.col("d") >= FOOLED)
+        more = [window(r) for r in fooled.orderBy(F.desc("o"), F.desc("d"), "a", "b").limit(len(own) // 5 + 1).collect()]
+        hard = list(dict.fromkeys([*more, *hard]))
     model.weights = calibrate(model, held)
     return model
 
 
 def calibrate(model: Model, held: DataFrame, ridge: float = 1.0) -> list[float]:
-    """Logistic weights of the bins, by Newton's method on sums over the held rows."""
+    """Logistic weights of the logarithms of the features, by Newton's method over the held rows' features."""
+    names = [f"x{i}" for i in range(BINS + 1)]
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [model.features(t) for t in batch["_text"]]
-            yield pd.DataFrame({"y": batch["_toxic"], **{f"x{i}": [r[i] for r in rows] for i in range(len(BINS))}})
+            yield pd.DataFrame({"y": batch["_toxic"], **{n: [r[i] for r in rows] for i, n in enumerate(names)}})
 
-    schema = "y int, " + ", ".join(f"x{i} int" for i in range(len(BINS)))
-    names = [f"x{i}" for i in range(len(BINS))]
-    counts = held.select("_text", "_toxic").mapInPandas(features, schema).groupBy("y", *names).count().orderBy("y", *names).collect()  # 5 ** 4 * 2 rows at most
-    x = np.array([[1.0, *[r[n] for n in names]] for r in counts]).reshape(-1, 1 + len(BINS))
+    counts = held.select("_text", "_toxic").mapInPandas(features, "y int, " + ", ".join(f"{n} int" for n in names)).groupBy("y", *names).count().orderBy("y", *names).collect()  # a quarter of the sample's rows at most
+    x = np.log1p(np.array([[math.e - 1, *[r[n] for n in names]] for r in counts], float).reshape(-1, 1 + len(names)))
     y, n = np.array([r["y"] for r in counts], float), np.array([r["count"] for r in counts], float)
-    w = np.zeros(1 + len(BINS))
-    keep = ridge * np.diag([1e-3, *[1.0] * len(BINS)])
+    w = np.zeros(1 + len(names))
+    keep = ridge * np.diag([1e-3, *[1.0] * len(names)])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + keep, x.T @ (n * (y - p)) - keep @ w)
@@ -237,7 +267,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> D
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> DataFrame:
-    """docs without the documents that are predicted toxic, with its columns."""
+    """docs without the documents that are predicted toxic, with its columns.
+
+    Documents with a null or empty text are scored as texts without findings and so stay (unless most labels are toxic);
+    repeated rows stay or go together; without labels all stay; an empty table gives an empty one.
+    """
     frame, back = internal(docs, id="doc_id", text="text")
     model = fit(frame.select("_id", "_text"), labels, rows)
     return scored(frame, model).where(F.col("_score") < THRESHOLD).select(*back)
