@@ -6,11 +6,12 @@ import base64
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import pandas as pd
 import regex
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import internal, with_added
@@ -27,9 +28,8 @@ MEMO = 500_000
 class Tokenizer:
     """Counts the tokens of pre-tokens; counts of pre-tokens met before are kept."""
 
-    def __init__(self, path: str, pattern: str) -> None:
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    def __init__(self, vocabulary: bytes, pattern: str) -> None:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, vocabulary.splitlines())}
         self.split = regex.compile(pattern)
         self.encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.memo: dict[str, int] = {}
@@ -56,20 +56,30 @@ class Tokenizer:
             yield m.end(), count(m.group())
 
 
+@lru_cache(2)
+def made(vocabulary: bytes, pattern: str) -> Tokenizer:
+    return Tokenizer(vocabulary, pattern)
+
+
 @lru_cache(2)
 def tokenizer(path: str, pattern: str) -> Tokenizer:
-    return Tokenizer(path, pattern)
+    """The tokenizer of a vocabulary file that is here."""
+    return made(Path(path).read_bytes(), pattern)
 
 
 class CountTree:
     """A document's leaves, each of some pre-tokens, under sums of characters and tokens."""
 
-    def __init__(self, text: str, tok: Tokenizer, leaf: int = LEAF) -> None:
+    def __init__(self, text: str, tok: Tokenizer, leaf: int = LEAF, leaves: tuple[list[int], list[int]] | None = None) -> None:
+        """leaves: characters and tokens of each leaf, from a tree of the same text; nothing is encoded then."""
         self.text, self.tok = text, tok
-        pieces = tok.split.findall(text)
-        counts = tok.counts(pieces)
-        chars = [len("".join(pieces[i : i + leaf])) for i in range(0, len(pieces), leaf)] or [0]
-        tokens = [sum(counts[i : i + leaf]) for i in range(0, len(pieces), leaf)] or [0]
+        if leaves is None:
+            pieces = tok.split.findall(text)
+            counts = tok.counts(pieces)
+            chars = [len("".join(pieces[i : i + leaf])) for i in range(0, len(pieces), leaf)] or [0]
+            tokens = [sum(counts[i : i + leaf]) for i in range(0, len(pieces), leaf)] or [0]
+        else:
+            chars, tokens = (list(x) or [0] for x in leaves)
         self.size = 1 << (len(chars) - 1).bit_length()
         pad = [0] * (self.size - len(chars))
         self.chars, self.tokens = ([0] * self.size + x + pad for x in (chars, tokens))
@@ -77,6 +87,21 @@ class CountTree:
             self._sum(i)
         self.encoded = 0
 
+    @property
+    def leaves(self) -> tuple[list[int], list[int]]:
+        """Characters and tokens of the leaves, but for empty ones; what is to be stored of a tree."""
+        kept = [i for i in range(self.size, 2 * self.size) if self.chars[i]]
+        return [self.chars[i] for i in kept], [self.tokens[i] for i in kept]
+
+    def edit_all(self, edits: list[dict] | None) -> int:
+        """Applies edits that are each against the present text, from the last to the first; how many there were."""
+        limit, todo = len(self.text), ordered(edits)
+        for start, length, replacement in todo:
+            at = min(start, limit)
+            self.edit(at, min(length, limit - at), replacement)
+            limit = min(limit, start)
+        return len(todo)
+
     def _sum(self, i: int) -> None:
         self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
         self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
@@ -145,37 +170,88 @@ class CountTree:
         self._set(first, end - begin, tokens)
 
 
+def ordered(edits: list[dict] | None) -> list[tuple[int, int, str]]:
+    """Edits from the last to the first. A null edit or start is no edit, a null length none, a null replacement empty."""
+    found = [(e["start"], e["length"], e["replacement"]) for e in (() if edits is None else edits) if e is not None]
+    plain = [(int(a), 0 if b is None or b != b else int(b), c or "") for a, b, c in found if a is not None and a == a]
+    return sorted(((max(a, 0), max(b, 0), c) for a, b, c in plain), key=lambda e: e[:2], reverse=True)
+
+
+def shipped(spark: SparkSession, vocabulary: str):
+    """The vocabulary file (a megabyte or so), read once by the driver and sent to the tasks."""
+    return spark.sparkContext.broadcast(Path(vocabulary).read_bytes())
+
+
+TREE = "struct<chars:array<int>,tokens:array<int>>"
+
+
+def with_trees(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN, leaf: int = LEAF, name: str = "tree") -> DataFrame:
+    """docs with n_tokens and the document's tree (its leaves' characters and tokens), to be stored with the text.
+
+    Null and empty texts have no tokens and an empty tree. A column of docs with the name of an added one gives way.
+    """
+    frame, back = internal(docs, text="text")
+    words = shipped(docs.sparkSession, vocabulary)
+
+    @F.pandas_udf(f"n_tokens long, tree {TREE}")
+    def grown(texts: pd.Series) -> pd.DataFrame:
+        tok, rows = made(words.value, pattern), []
+        for text in texts:
+            tree = CountTree(text or "", tok, leaf)
+            rows.append((tree.n_tokens, dict(zip(("chars", "tokens"), tree.leaves, strict=True))))
+        return pd.DataFrame(rows, columns=["n_tokens", "tree"])
+
+    found = frame.withColumn("_grown", grown(F.col("_text")))
+    return found.select(*with_added(back, docs.columns, **{"n_tokens": F.col("_grown.n_tokens"), name: F.col("_grown.tree")}))
+
+
+def with_edits(docs: DataFrame, edits: str = "edits", tree: str = "tree", vocabulary: str = VOCABULARY, pattern: str = PATTERN, leaf: int = LEAF, keep_text: bool = True) -> DataFrame:
+    """docs (text, tree, edits) after the edits: their text and tree (unless not keep_text) are the new ones.
+
+    Added: n_tokens (before), n_edits, n_chars_after, n_tokens_after, n_chars_encoded. A stored tree is taken up and only
+    touched leaves with their boundaries are encoded; without one (null) the text is. So batches of edits follow each
+    other and none encodes a document as a whole. Edits are as in count_tokens.
+    """
+    frame, back = internal(docs, text="text", tree=tree, edits=edits)
+    words = shipped(docs.sparkSession, vocabulary)
+    kinds = {"n_tokens": "long", "n_edits": "long", "n_chars_after": "long", "n_tokens_after": "long", "n_chars_encoded": "long"} | ({"text": "string", "tree": TREE} if keep_text else {})
+
+    @F.pandas_udf(", ".join(f"{n} {k}" for n, k in kinds.items()))
+    def changed(texts: pd.Series, trees: pd.DataFrame, changes: pd.Series) -> pd.DataFrame:
+        tok, rows = made(words.value, pattern), []
+        for text, chars, tokens, edits in zip(texts, trees["chars"], trees["tokens"], changes, strict=True):
+            grown = CountTree(text or "", tok, leaf, None if chars is None else (chars, tokens))
+            before = grown.n_tokens
+            n = grown.edit_all(edits)
+            told = (before, n, len(grown.text), grown.n_tokens, grown.encoded)
+            rows.append((*told, grown.text if text is not None or n else None, dict(zip(("chars", "tokens"), grown.leaves, strict=True))) if keep_text else told)
+        return pd.DataFrame(rows, columns=list(kinds))
+
+    found = frame.withColumn("_new", changed(F.col("_text"), F.col("_tree").cast(TREE), F.col("_edits").cast(EDIT)))
+    added = {n: F.col(f"_new.{n}") for n in kinds if n not in ("text", "tree")}
+    new = {docs.columns.index("text"): F.col("_new.text").alias("text"), docs.columns.index(tree): F.col("_new.tree").alias(tree)} if keep_text else {}
+    return found.select(*with_added([new.get(i, b) for i, b in enumerate(back)], docs.columns, **added))
+
+
 def count_tokens(docs: DataFrame, edits: str = "edits", vocabulary: str = VOCABULARY, pattern: str = PATTERN, leaf: int = LEAF, carry: list[str] | None = None) -> DataFrame:
     """Every row of docs with n_tokens, n_edits, n_chars_after, n_tokens_after and n_chars_encoded.
 
-    The column `edits` (array of start, length and replacement; null: none) has the edits of a document, each against the
+    The column `edits` (array of start, length and replacement; null: none; a null edit or start is no edit, a null or
+    negative length none, a null replacement empty, a negative start 0) has the edits of a document, each against the
     text as it was before all of them; they are applied from the last to the first, overlapping ones cut to what the
     later one left. n_tokens counts the text's tokens, n_tokens_after those after its edits, from a tree of which only
     the touched leaves and their boundaries were encoded again (n_chars_encoded characters). Null and empty texts have
-    no tokens but can be edited. A document lives in one task: it is its own tree. A column of docs with the name of an
-    added one gives way; repeated rows come out repeated; an empty table gives an empty one.
+    no tokens but can be edited. To keep trees between batches of edits, see with_trees and with_edits. A column of docs
+    with the name of an added one gives way; repeated rows come out repeated; an empty table gives an empty one.
     """
     frame, back = internal(docs, text="text", edits=edits)
-    kept = [(n, b) for n, b in zip(docs.columns, back, strict=True) if (carry is None and n != edits) or (carry is not None and n in carry)]
-    own = [frame.columns[docs.columns.index(n)] for n, _ in kept]
-    kinds = "n_tokens long, n_edits long, n_chars_after long, n_tokens_after long, n_chars_encoded long"
-
-    @F.pandas_udf(kinds)
-    def counted(texts: pd.Series, changes: pd.Series) -> pd.DataFrame:
-        tok, rows = tokenizer(vocabulary, pattern), []
-        for text, edits in zip(texts, changes, strict=True):
-            tree = CountTree(text or "", tok, leaf)
-            before, limit = tree.n_tokens, len(tree.text)
-            todo = sorted(([] if edits is None else edits), key=lambda e: (e["start"], e["length"]), reverse=True)
-            for e in todo:
-                tree.edit(min(e["start"], limit), min(e["length"], limit - min(e["start"], limit)), e["replacement"] or "")
-                limit = min(limit, e["start"])
-            rows.append((before, len(todo), len(tree.text), tree.n_tokens, tree.encoded))
-        return pd.DataFrame(rows, columns=["n_tokens", "n_edits", "n_chars_after", "n_tokens_after", "n_chars_encoded"])
-
-    found = frame.select(*own, counted(F.col("_text"), F.col("_edits").cast(EDIT)).alias("_n"))
-    names = [k.split()[0] for k in kinds.split(", ")]
-    return found.select(*with_added([b for _, b in kept], [n for n, _ in kept], **{n: F.col(f"_n.{n}") for n in names}))
+    names = [n for n in docs.columns if (carry is None and n != edits) or (carry is not None and n in carry)]
+    own = {n: frame.columns[docs.columns.index(n)] for n in names}
+    inner = frame.select(*dict.fromkeys([*own.values(), "_text", "_edits"])).withColumnsRenamed({"_text": "text"})
+    renamed = {n: "text" if c == "_text" else c for n, c in own.items()}
+    found = with_edits(with_trees(inner, vocabulary, pattern, leaf, "_tree"), "_edits", "_tree", vocabulary, pattern, leaf, keep_text=False)
+    added = ["n_tokens", "n_edits", "n_chars_after", "n_tokens_after", "n_chars_encoded"]
+    return found.select(*with_added([F.col(c).alias(n) for n, c in renamed.items()], names, **{n: F.col(n) for n in added}))
 
 
 #: Addresses, long numbers and hexadecimal keys: what the query's edits take out of the texts.
@@ -196,13 +272,13 @@ def redactions(replacement: str = "[removed]"):
     return edits
 
 
-def edited(text: str | None, edits: list[dict]) -> str:
+def edited(text: str | None, edits: list[dict] | None) -> str:
     """The text after edits, by the same rule; for tests."""
     text = text or ""
     limit = len(text)
-    for e in sorted(edits, key=lambda e: (e["start"], e["length"]), reverse=True):
-        a = min(e["start"], limit)
-        b = a + min(e["length"], limit - a)
-        text = text[:a] + (e["replacement"] or "") + text[b:]
-        limit = min(limit, e["start"])
+    for start, length, replacement in ordered(edits):
+        a = min(start, limit)
+        b = a + min(length, limit - a)
+        text = text[:a] + replacement + text[b:]
+        limit = min(limit, start)
     return text
