@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: `.` or `_`, a dotted date, and perhaps a dotted time.
+# Fixed value: `.` or `_`, a dotted date, and perhaps a dotted time.
 DATED = r"[._](\d{4})\.(\d{2})\.(\d{2})(?:\.(\d{2})\.(\d{2})\.(\d{2}))?"
 
 

@@ -15,6 +15,8 @@ NULL_REASON = "Mandatory PK field is NULL || "
 TYPE_REASON = "PK datatype mismatch || "
 DUPLICATE_REASON = "Duplicate Primary Key || "
 UNTYPED = ("string", "varchar", "char")
+#: Columns that checks add; a sheet that has one of these is rejected, or the column would be overwritten.
+RESERVED = ("PK_DERIVED", "COMMENTS", "_null", "_type", "_dup")
 
 
 def _any(conditions: list[Column]) -> Column:
@@ -46,6 +48,20 @@ def with_duplicate_flag(df: DataFrame, key: list[str], name: str = "_dup") -> Da
     return df.join(repeated, same, "left").drop(*[f"_k{i}" for i in range(len(key))]).withColumn(name, F.coalesce(name, F.lit(False)))
 
 
+def is_reserved(name: Column) -> Column:
+    """Whether a header is the name of an added column, whatever its case."""
+    return F.lower(name).isin(*[r.lower() for r in RESERVED])
+
+
+def unreserved(df: DataFrame) -> DataFrame:
+    """df itself, if none of its columns has the name of one that the checks add."""
+    taken = {r.lower() for r in RESERVED}
+    clashing = [c for c in df.columns if c.lower() in taken]
+    if clashing:
+        raise ValueError(f"Sheet column(s) {clashing} have the names of added columns. Sheet columns: {sorted(df.columns)}")
+    return df
+
+
 def renamed(df: DataFrame, spec: TabSpec) -> DataFrame:
     """Key columns under their final names; all columns in the order of the sheet."""
     names = {k.sheet: k.name for k in spec.keys}
@@ -62,8 +78,9 @@ def validated(df: DataFrame, spec: TabSpec, scope: list[str]) -> DataFrame:
     """A renamed tab with PK_DERIVED, the flags _null, _type, _dup, and COMMENTS ('' for good rows).
 
     scope: the columns that hold file and tab; keys are unique within them. A full load has no checks, and its key is
-    over all columns and the scope.
+    over all columns and the scope. A sheet with a reserved column is rejected.
     """
+    unreserved(df)
     if not spec.delta:
         columns = [F.col(f"`{c}`") for c in data_columns(df, spec, scope)]
         none = {f: F.lit(False) for f in ("_null", "_type", "_dup")}

@@ -10,6 +10,12 @@ SUCCEEDED, FAILED = "Succeeded", "Failed"
 NO_DATA = "No data received for this tab (report returned no results). Parquet generation skipped."
 ALL_PASSED = "All primary-key checks passed."
 FULL_LOAD = "PK validation skipped (load_type_delta=false) - full load ingested."
+CONTROL = (
+    "execution_id string, process_id string, batch_id string, file_name string, sheet_tab_name string, table_name string, "
+    "source_file_path string, raw_parquet_path string, final_parquet_source_raw string, dq_check_validation array<string>, "
+    "source_row_count bigint, valid_record_count bigint, error_record_count bigint, final_ingestion_status string, "
+    "comments string, file_dttm timestamp_ntz, _az_insert_ts timestamp_ntz"
+)
 CHECKS = ["Duplicate PK Check", "Not Null PK Check", "Data Type Check"]
 
 

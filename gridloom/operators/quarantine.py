@@ -9,6 +9,7 @@ from .registry import TabSpec
 
 # Columns of the error table and the texts of its sentence.
 ERROR_COLUMNS = ["process_id", "execution_id", "file_name", "table_name", "sheet_tab_name", "file_path", "error_category", "error_description", "pk_value", "pk_derived", "err_record", "comments", "az_insert_ts"]
+ERRORS = ", ".join(f"{c} {'timestamp_ntz' if c == 'az_insert_ts' else 'string'}" for c in ERROR_COLUMNS)
 BEFORE = "Record rejected during primary-key validation. Reason(s): "
 KEY, DERIVED = ". Primary key -> ", ". Derived key = "
 AFTER = ". This record was NOT ingested into the curated dataset."

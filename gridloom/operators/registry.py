@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -69,9 +70,32 @@ def tab_spec(registry: DataFrame, prefix: str, tab: str) -> TabSpec | None:
     row = specs(registry.where((F.col("file_name_prefix") == prefix) & (F.col("sheet_tab_name") == tab))).first()
     if row is None:
         return None
+    return _spec(row)
+
+
+def _spec(row) -> TabSpec:
     return TabSpec(row["table_name"], tuple(Key(k["sheet"], k["name"], k["type"], k["check_not_null"]) for k in row["keys"]), row["delta"], row["data_column"])
 
 
+def by_table(registry: DataFrame) -> DataFrame:
+    """One row for each table, whatever its case: the spec of its first tab by serial number, n_tabs and ambiguous (more than one)."""
+    first = registry.groupBy("file_name_prefix", "sheet_tab_name").agg(F.min("serial_number").alias("_serial"))
+    of = specs(registry).join(first, ["file_name_prefix", "sheet_tab_name"])
+    row = F.struct("_serial", "file_name_prefix", "sheet_tab_name", "delta", "data_column", "keys")
+    found = of.groupBy("table_name").agg(F.min_by(row, F.struct("_serial", "file_name_prefix", "sheet_tab_name")).alias("_r"), F.count("*").alias("n_tabs"))
+    return found.select("table_name", "_r.file_name_prefix", "_r.sheet_tab_name", "_r.delta", "_r.data_column", "_r.keys", "n_tabs", (F.col("n_tabs") > 1).alias("ambiguous"))
+
+
+def table_spec(registry: DataFrame, table: str) -> tuple[TabSpec, str, str] | None:
+    """(spec, file name prefix, tab) of a table, or None; warns if more than one tab feeds it."""
+    row = by_table(registry.where(F.lower("table_name") == table.lower())).first()
+    if row is None:
+        return None
+    if row["ambiguous"]:
+        warnings.warn(f"{row['n_tabs']} tabs feed {row['table_name']}; taken: {row['file_name_prefix']}, {row['sheet_tab_name']}", stacklevel=2)
+    return _spec(row), row["file_name_prefix"], row["sheet_tab_name"]
+
+
 def with_specs(tabs: DataFrame, registry: DataFrame) -> DataFrame:
     """tabs (file_name_prefix, sheet_tab_name, ...) with their specs; tabs that aren't configured go."""
     spec = specs(registry)

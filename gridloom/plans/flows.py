@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
+import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.files import file_meta
 from ..functions.keys import derived_key_of, full_row_key_of
-from ..operators import bulkload, checks, control, fold, registry
+from ..operators import bulkload, checks, control, fold, quarantine, registry
 from ..operators.registry import TabSpec
+from ..sources import sinks
 
 SCOPE = ["file_name", "sheet_tab_name"]
 
@@ -28,6 +30,34 @@ def ingest_tab(rows: DataFrame, spec: TabSpec, inserted: Column, variant: bool =
     return checked, fold.curated(checks.good(checked), present, data, time, F.col("file_name"), F.col("sheet_tab_name"), inserted, variant)
 
 
+def ingest_chain(rows: DataFrame, spec: TabSpec, base: str, execution_id: str, inserted: Column, path: Column, frequency: str = "daily") -> DataFrame:
+    """Ingests one table's tabs as a whole; one control row for each tab, in the shape of control.CONTROL.
+
+    The rows are landed as they came and read back, so nothing upstream runs twice; checked once, into a table; from that
+    good rows go to <base>/curated/<table> by date, rejected ones to <base>/errors/<table>/<execution>. Control rows are the last thing, so
+    a tab without one isn't done. Running the same execution again replaces what it wrote.
+    """
+    spark = rows.sparkSession
+    raw, final, errors, checked_at = f"{base}/{spec.table}/_raw_asis/{execution_id}", f"{base}/curated/{spec.table}", f"{base}/errors/{spec.table}/{execution_id}", f"{base}/_checked/{spec.table}/{execution_id}"
+    rows.write.mode("overwrite").partitionBy(*SCOPE).parquet(raw)
+    landed = spark.read.schema(rows.schema).parquet(raw).select(*rows.columns)
+    ingest_tab(landed, spec, inserted)[0].write.mode("overwrite").parquet(checked_at)
+    checked = spark.read.parquet(checked_at)
+    time = file_meta(F.col("file_name"))["file_dttm"]
+    data = [c for c in checks.data_columns(checks.renamed(landed, spec), spec, SCOPE)]
+    sinks.write_curated(fold.curated(checks.good(checked), spec, data, time, F.col("file_name"), F.col("sheet_tab_name"), inserted), final, inserted, frequency)
+    quarantine.error_rows(checks.bad(checked), spec, F.lit(execution_id), F.col("file_name"), F.col("sheet_tab_name"), path, inserted).write.mode("overwrite").parquet(errors)
+    told = control.outcome(checks.dq_counts(checked, SCOPE), F.lit(spec.delta), F.lit(spec.table))
+    made = {
+        "execution_id": F.lit(execution_id), "process_id": quarantine.process_id(F.lit(execution_id), F.col("file_name"), F.col("sheet_tab_name")),
+        "batch_id": file_meta(F.col("file_name"))["batch_id"], "file_name": F.col("file_name"), "sheet_tab_name": F.col("sheet_tab_name"), "table_name": F.lit(spec.table),
+        "source_file_path": path, "raw_parquet_path": F.lit(raw), "final_parquet_source_raw": F.lit(final),
+        "dq_check_validation": checks.dq_report(F.lit(spec.delta), F.lit(any(k.check_not_null for k in spec.keys))), "source_row_count": F.col("total"), "valid_record_count": F.col("valid"),
+        "error_record_count": F.col("bad"), "final_ingestion_status": F.col("final_ingestion_status"), "comments": F.col("comments"), "file_dttm": time, "_az_insert_ts": inserted,
+    }
+    return told.select(*[c.alias(n) for n, c in made.items()])
+
+
 def cast_fails(value: Column, kind: Column) -> Column:
     """Whether a text that isn't blank can't be read as the type that its row names."""
     fails = F.lit(False)
@@ -41,13 +71,14 @@ def ingest_batch(promoted: DataFrame, known: DataFrame) -> DataFrame:
     """The checked rows of all configured tabs of all files, in one plan.
 
     promoted: file_name, sheet_tab_name, row_idx, header, values. Out: those, table_name, delta, missing (configured key
-    columns that the tab lacks, sorted), PK_DERIVED, keys (texts by name), DATA, DATA_KEYS and COMMENTS; a tab with
-    missing columns has neither checks nor data and fails as a whole, the others are not touched by that.
+    columns that the tab lacks, sorted), reserved (its columns with the name of an added one), PK_DERIVED, keys (texts by
+    name), DATA, DATA_KEYS and COMMENTS; a tab with missing or reserved columns has neither checks nor data and fails as
+    a whole, the others are not touched by that.
     """
     prefixed = promoted.withColumn("file_name_prefix", file_meta(F.col("file_name"))["file_name_prefix"])
     rows = registry.with_specs(prefixed, known)
     record = F.map_from_arrays("header", "values")
-    rows = rows.withColumns({"_record": record, "missing": F.array_sort(F.array_except(F.transform("keys", lambda k: k["sheet"]), "header"))})
+    rows = rows.withColumns({"_record": record, "missing": F.array_sort(F.array_except(F.transform("keys", lambda k: k["sheet"]), "header")), "reserved": F.array_sort(F.filter("header", checks.is_reserved))})
     value = lambda k: F.try_element_at(F.col("_record"), k["sheet"])
     key_values = F.transform("keys", value)
     derived = F.when(F.col("delta"), derived_key_of(key_values)).otherwise(full_row_key_of(F.col("values"), F.col("file_name"), F.col("sheet_tab_name")))
@@ -68,15 +99,16 @@ def ingest_batch(promoted: DataFrame, known: DataFrame) -> DataFrame:
     return flagged.withColumn("COMMENTS", F.concat(*reasons)).drop("_record")
 
 
-def batch_control(checked: DataFrame, empty: DataFrame, broken: DataFrame, execution_id: str) -> DataFrame:
+def batch_control(checked: DataFrame, empty: DataFrame, broken: DataFrame, execution_id: str, inserted: Column | None = None) -> DataFrame:
     """One control row for each tab: checked ones, empty configured ones (file_name, sheet_tab_name, table_name), and
-    files that can't be read (file_name, error)."""
+    files that can't be read (file_name, error). inserted: the time of the run (now)."""
     flags = {f: F.col(f) & F.col("delta") for f in ("_dup", "_null", "_type")}
     whole = checked.withColumns(flags | {"checks_null": F.exists("keys", lambda k: k["check_not_null"])})
-    counts = checks.dq_counts(whole, [*SCOPE, "table_name", "delta", "missing", "checks_null"])
+    counts = checks.dq_counts(whole, [*SCOPE, "table_name", "delta", "missing", "reserved", "checks_null"])
     told = control.outcome(counts, F.col("delta"), F.col("table_name"))
-    lost = F.size("missing") > 0
-    reason = F.concat(F.lit("Tab processing failed - Configured PK column(s) "), F.concat_ws(", ", "missing"), F.lit(" not found"))
+    lost = (F.size("missing") > 0) | (F.size("reserved") > 0)
+    taken = F.concat(F.lit("Tab processing failed - Sheet column(s) "), F.concat_ws(", ", "reserved"), F.lit(" have the names of added columns"))
+    reason = F.when(F.size("missing") == 0, taken).otherwise(F.concat(F.lit("Tab processing failed - Configured PK column(s) "), F.concat_ws(", ", "missing"), F.lit(" not found")))
     report = F.when(lost, control.not_run()).otherwise(checks.dq_report(F.col("delta"), F.col("checks_null")))
     common = lambda table, report, total, valid, bad, status, comments: [F.lit(execution_id).alias("execution_id"), *SCOPE, table.alias("table_name"), report.alias("dq_check_validation"), total.cast("long").alias("source_row_count"), valid.cast("long").alias("valid_record_count"), bad.cast("long").alias("error_record_count"), status.alias("final_ingestion_status"), comments.alias("comments")]
     none = F.lit(0)
@@ -86,7 +118,7 @@ def batch_control(checked: DataFrame, empty: DataFrame, broken: DataFrame, execu
     rows = done.unionByName(void).unionByName(failed)
     meta = file_meta(F.col("file_name"))
     process = F.md5(F.concat_ws("|", "execution_id", "file_name", "sheet_tab_name"))
-    return rows.select("execution_id", process.alias("process_id"), meta["batch_id"].alias("batch_id"), "*").withColumn("file_dttm", file_meta(F.col("file_name"))["file_dttm"])
+    return rows.select("execution_id", process.alias("process_id"), meta["batch_id"].alias("batch_id"), "*").withColumns({"file_dttm": file_meta(F.col("file_name"))["file_dttm"], "_az_insert_ts": F.localtimestamp() if inserted is None else inserted})
 
 
 def regenerated(table: DataFrame, spec: TabSpec, expected: int | None = None) -> DataFrame:
@@ -97,29 +129,63 @@ def regenerated(table: DataFrame, spec: TabSpec, expected: int | None = None) ->
     return sheet.limit(0) if expected == 0 else sheet
 
 
-def windowed_load(source: DataFrame, target: DataFrame, windows: DataFrame, key: str, path: str) -> tuple[DataFrame, DataFrame]:
-    """Loads all pending windows in order and stops at the first that doesn't reconcile; (target, window states).
+def regenerate_table(known: DataFrame, control_rows: DataFrame, curated: DataFrame, table: str, base: str, time: dt.datetime) -> str:
+    """Writes the sheet of a table's newest batch as CSV with a header; where it is.
+
+    The registry tells the spec by the table's name, the newest control row whether rows are expected at all. The file's
+    name has no dotted date, so on ingesting it again prefix and file time are given, not read from the name.
+    """
+    found = registry.table_spec(known, table)
+    if found is None:
+        raise ValueError(f"no tab of the registry feeds {table}")
+    spec, prefix, _ = found
+    newest = control.latest(control_rows.where(F.lower("table_name") == spec.table)).select(F.coalesce("valid_record_count", "source_row_count", F.lit(0)).alias("n")).first()
+    path = sinks.export_path(base, spec.table, prefix, time)
+    sinks.write_headered(sinks.sheet_texts(regenerated(curated, spec, None if newest is None else newest["n"])), path)
+    return path
+
+
+STATES = "cycle_id string, window_id int, lo long, hi long, status string, source_count long, target_count long"
+
+
+def windowed_load(source: DataFrame, target: DataFrame, windows: DataFrame, key: str, path: str, casts: dict[str, Callable[[Column], Column]] | None = None, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Loads pending windows in order and stops at the first that doesn't reconcile; (target, window states).
 
-    Every window is read by its range on both sides, what the target lacks by key is written, both sides are counted,
-    and only then it is done; windows are disjoint, so none reads what another wrote. A new run with the states so far takes up what is left. The loop is over windows, of which there are few; the rows
+    Every window is read by its range on both sides, what the target lacks by key is cast and written, both sides are
+    counted, and only then it is done: a row for it is written to <path>/states, and its rows are in <path>/<cycle>-<id>.
+    A run that is started again on the same path, also by another driver, takes up the states that are there and writes
+    a window anew that wasn't finished. Windows are disjoint, so none reads what another wrote. casts: column functions
+    by column. most: windows to load now; see more_pending. The loop is over windows, of which there are few; the rows
     stay in Spark. path: a folder that all executors see.
     """
     spark = source.sparkSession
-    states, parts = [r.asDict() for r in windows.orderBy("window_id").collect()], []
+    saved = f"{path}/states"
+    part = lambda s: f"{path}/{s['cycle_id']}-{s['window_id']}"
+    spark.createDataFrame([], STATES).write.mode("append").parquet(saved)
+    known = {(r["cycle_id"], r["window_id"]): r.asDict() for r in spark.read.schema(STATES).parquet(saved).collect()}
+    states = [known.get((r["cycle_id"], r["window_id"]), r.asDict()) for r in windows.orderBy("window_id").collect()]
+    parts, loaded = [part(s) for s in states if (s["cycle_id"], s["window_id"]) in known], 0
     read = lambda *paths: spark.read.schema(target.schema).parquet(*paths)
+    cast = {c: f(F.col(c)) for c, f in (casts or {}).items()}
     for state in states:
-        if state["status"] == bulkload.DONE:
+        if state["status"] == bulkload.DONE or loaded == most:
             continue
         rows, there = (bulkload.read_window(df, key, state["lo"], state["hi"]) for df in (source, target))
-        parts.append(f"{path}/window-{state['window_id']}-{uuid.uuid4().hex}")
-        rows.join(there.select(key), key, "left_anti").select(*target.columns).write.parquet(parts[-1])
-        state |= {"source_count": rows.count(), "target_count": there.count() + read(parts[-1]).count()}
+        rows.join(there.select(key), key, "left_anti").withColumns(cast).select(*target.columns).write.mode("overwrite").parquet(part(state))
+        sides = dict(rows.select(F.lit("s").alias("of")).unionAll(there.select(F.lit("t"))).groupBy("of").count().collect())
+        state |= {"source_count": sides.get("s", 0), "target_count": sides.get("t", 0) + read(part(state)).count()}
+        loaded += 1
         if state["source_count"] != state["target_count"]:
+            parts.append(part(state))
             break
         state["status"] = bulkload.DONE
-    loaded = target.unionByName(read(*parts)) if parts else target
-    shape = "cycle_id string, window_id int, lo long, hi long, status string, source_count long, target_count long"
-    rows = [tuple(s.get(c.split()[0]) for c in shape.split(", ")) for s in states]
-    return loaded, spark.createDataFrame(rows, shape)
+        row = tuple(state[c.split()[0]] for c in STATES.split(", "))
+        spark.createDataFrame([row], STATES).coalesce(1).write.mode("append").parquet(saved)
+        parts.append(part(state))
+    whole = target.unionByName(read(*parts)) if parts else target
+    return whole, spark.createDataFrame([tuple(s.get(c.split()[0]) for c in STATES.split(", ")) for s in states], STATES)
 
 
+def more_pending(states: DataFrame) -> bool:
+    """Whether a cycle has windows that aren't done."""
+    return states.where(F.col("status") != bulkload.DONE).limit(1).count() > 0

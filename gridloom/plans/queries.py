@@ -7,6 +7,7 @@ that both engines read.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -236,11 +237,37 @@ def curated_rows(spark, sf):
   SELECT count(*) AS total, count(*) FILTER (n > 1) AS dup, count(DISTINCT CASE WHEN n > 1 THEN k END) AS dup_keys, count(*) FILTER (n = 1) AS valid
   FROM (SELECT *, count(*) OVER (PARTITION BY k) AS n FROM (SELECT l_orderkey::VARCHAR || '/' || l_linenumber::VARCHAR AS k FROM {lineitem}) a) b) c""")
 def ingest_tab(spark, sf):
+    """The whole chain, counted from the tables that it wrote."""
+    base, _ = lines_ingested(spark, sf)
+    good = spark.read.parquet(f"{base}/curated/lines").select(F.col("PK_DERIVED").alias("k"), F.lit(True).alias("good"))
+    every = good.unionAll(spark.read.parquet(f"{base}/errors/lines/{RUN}").select("pk_derived", F.lit(False)))
+    bad = ~F.col("good")
+    return every.agg(F.count("*").alias("total"), F.count_if(bad).alias("dup"), F.count_distinct(F.when(bad, F.col("k"))).alias("dup_keys"), F.count_if("good").alias("valid"))
+
+
+def lines_ingested(spark, sf) -> tuple[str, DataFrame]:
+    """lineitem through the whole chain: where its tables are, and the control row."""
     rows = table(spark, sf, "lineitem").select(F.lit("Lines.xlsx").alias("file_name"), F.lit("All").alias("sheet_tab_name"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")])
     spec = TabSpec("lines", (Key("l_orderkey", "l_orderkey", "bigint"), Key("l_linenumber", "l_linenumber", "int")))
-    checked, _ = flows.ingest_tab(rows, spec, ntz())
-    by_key = checked.groupBy("PK_DERIVED").agg(F.count("*").alias("n"), F.count_if("_dup").alias("d"), F.count_if(F.col("COMMENTS") == "").alias("v"))
-    return by_key.agg(F.sum("n").alias("total"), F.sum("d").alias("dup"), F.count_if(F.col("d") > 0).alias("dup_keys"), F.sum("v").alias("valid"))
+    base = shared(spark)
+    return base, flows.ingest_chain(rows, spec, base, RUN, ntz(), F.lit("/landing"))
+
+
+LINES = """SELECT md5(CAST(l_orderkey AS STRING) || '!@~' || CAST(l_linenumber AS STRING) || '!@~' || '~') AS PK_DERIVED, l_orderkey, CAST(l_linenumber AS INT) AS l_linenumber,
+  to_json({{{{'l_partkey': CAST(l_partkey AS STRING), 'l_returnflag': l_returnflag}}}})::VARCHAR AS DATA, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM {{lineitem}}""".replace("{{", "{").replace("}}", "}")
+
+
+@query(f"SELECT PK_DERIVED, l_orderkey, l_linenumber, DATA FROM ({LINES}) a WHERE n = 1")
+def ingest_tab_curated(spark, sf):
+    base, _ = lines_ingested(spark, sf)
+    return spark.read.parquet(f"{base}/curated/lines").select("PK_DERIVED", "l_orderkey", "l_linenumber", "DATA")
+
+
+@query(f"""SELECT 'run-1' AS execution_id, md5('run-1|Lines.xlsx|All') AS process_id, 'lines' AS table_name, count(*) AS source_row_count, count(*) FILTER (n = 1) AS valid_record_count, count(*) FILTER (n > 1) AS error_record_count,
+  CASE WHEN count(*) FILTER (n > 1) > 0 THEN 'Failed' ELSE 'Succeeded' END AS final_ingestion_status, TIMESTAMP '{INSERTED}' AS _az_insert_ts FROM ({LINES}) a""")
+def ingest_tab_control(spark, sf):
+    rows = lines_ingested(spark, sf)[1]
+    return rows.select("execution_id", "process_id", "table_name", "source_row_count", "valid_record_count", "error_record_count", "final_ingestion_status", "_az_insert_ts")
 
 
 @query(f"""SELECT md5(coalesce(ORDER_KEY, '~') || '!@~' || coalesce(REGION, '~') || '!@~' || coalesce(STATUS, '~') || '!@~' || TOTAL || '!@~' || ODATE || '!@~' || coalesce(PRIORITY, '~') || '!@~' || file_name || '!@~' || sheet_tab_name) AS PK_DERIVED,
@@ -376,11 +403,16 @@ def grid_scan(spark, sf):
     return grids.text_grid(grids.decode_grids(files)).select("file_name", "sheet_tab_name", "row_idx", F.col("cells")[0].alias("first_cell"))
 
 
-@query()
+@query("SELECT o_orderstatus, count(*) AS n_lines, true AS only_wanted FROM {orders} GROUP BY o_orderstatus")
 def file_landing(spark, sf):
-    """The table files of the folder: which ones there are depends on the folder, so there is no SQL."""
-    files = grids.landing(spark, sf, ".parquet")
-    return files.select("file_name", F.col("length").alias("n_bytes"), file_meta(F.col("file_name"))["file_name_prefix"].alias("file_name_prefix"))
+    """The orders landed as files, by status, between others; the lines in what is found."""
+    folder = shared(spark)
+    orders = table(spark, sf, "orders")
+    orders.select("o_orderstatus", "o_orderkey").write.option("maxRecordsPerFile", 1_000_000).partitionBy("o_orderstatus").csv(folder)
+    orders.select(F.col("o_orderkey").cast("string")).write.mode("append").text(folder)
+    lines = F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 1
+    found = grids.landing(spark, folder, ".csv").select(F.regexp_extract("path", "o_orderstatus=([^/]*)", 1).alias("o_orderstatus"), "file_name", lines.alias("n"))
+    return found.groupBy("o_orderstatus").agg(F.sum("n").alias("n_lines"), F.bool_and(F.endswith("file_name", F.lit(".csv"))).alias("only_wanted"))
 
 
 @query("""SELECT o_orderkey, v AS raw, CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN (CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END) WHEN 2 THEN CAST(o_orderkey AS STRING) WHEN 3 THEN CAST(o_orderkey AS STRING) || '.5' ELSE ' x ' END AS cell
@@ -440,6 +472,67 @@ def control_rows(spark, sf):
     return rows.select("file_name", "sheet_tab_name", "source_row_count", "valid_record_count", "error_record_count", "final_ingestion_status")
 
 
+@query("SELECT DISTINCT 'Feed_' || replace(CAST(CAST(ts AS DATE) AS STRING), '-', '.') || '.xlsx' AS file_name, event_type AS sheet_tab_name, 'COMMENTS' AS reserved FROM {events} WHERE event_type = 'purchase'")
+def reserved_headers(spark, sf):
+    """Tabs with a column that checks would overwrite."""
+    header = (F.col("sheet_tab_name") == "purchase") & (F.col("row_idx") == 1)
+    grid = feed_grid(spark, sf).withColumn("cells", F.when(header, F.transform("cells", lambda c: F.when(c == "NOTE", "COMMENTS").otherwise(c))).otherwise(F.col("cells")))
+    checked = flows.ingest_batch(grids.promoted(grid), made(spark, sf, REGISTRY))
+    return checked.where(F.size("reserved") > 0).select("file_name", "sheet_tab_name", F.concat_ws(",", "reserved").alias("reserved")).distinct()
+
+
+def appended(spark, schema: str) -> str:
+    """The name of a new append table."""
+    name = f"gridloom_{uuid.uuid4().hex}"
+    sinks.create_table(spark, name, schema)
+    return name
+
+
+@query()
+def control_append(spark, sf):
+    """The control rows of two runs appended to one table, and the newest of each table read from it."""
+    grid, name = feed_grid(spark, sf), appended(spark, control.CONTROL)
+    known = made(spark, sf, REGISTRY)
+    empty = registry.with_specs(grids.tab_counts(grid).where("no_data").withColumn("file_name_prefix", file_meta(F.col("file_name"))["file_name_prefix"]), known)
+    broken = table(spark, sf, "events").agg(F.lit("Broken.xlsx").alias("file_name"), F.lit("Workbook could not be read").alias("error"))
+    for run, at in ((RUN, INSERTED), ("run-2", "2024-02-02 00:00:00")):
+        sinks.append_aligned(flows.batch_control(batch(spark, sf), empty, broken, run, ntz(at)), name)
+    newest = control.latest(spark.table(name))
+    return newest.select("execution_id", "process_id", "table_name", "file_name", "source_row_count", "valid_record_count", "error_record_count", F.col("source_file_path").isNull().alias("without_path"))
+
+
+SQL["control_append"] = f"""
+SELECT 'run-2' AS execution_id, process_id, table_name, file_name, source_row_count, valid_record_count, error_record_count, true AS without_path FROM (
+  SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY process_id DESC) AS place FROM (
+    SELECT *, CASE WHEN sheet_tab_name IN ('view', 'purchase') THEN 'feed_shared' ELSE 'feed_' || sheet_tab_name END AS table_name, md5('run-2|' || file_name || coalesce('|' || sheet_tab_name, '')) AS process_id FROM ({SQL['control_rows']}) c) d) e WHERE place = 1"""
+
+
+@query(QUARANTINE)
+def error_append(spark, sf):
+    """Rejected rows appended to an error table in its own column order, and those of the run read from it."""
+    name = appended(spark, quarantine.ERRORS)
+    rows = quarantined(spark, sf)
+    sinks.append_aligned(rows.select(*reversed(rows.columns)), name)
+    return quarantine.errors_for_run(spark.table(name), RUN)
+
+
+EVENTS_KNOWN = """SELECT CAST(1 AS BIGINT) AS serial_number, 'Events' AS file_name_prefix, 'All' AS sheet_tab_name, 'Events_Feed' AS table_name, 'EVENT_ID' AS sheet_column_name, CAST(NULL AS STRING) AS original_column_name,
+  'DATA' AS array_column_name, 'bigint' AS data_type, TRUE AS is_primary_key, TRUE AS is_nullable, TRUE AS load_type_delta FROM (SELECT count(*) AS n FROM {events}) e"""
+EVENTS_CONTROL = "SELECT 'run-1' AS execution_id, 'p' AS process_id, 'events_feed' AS table_name, count(*) AS source_row_count, count(*) AS valid_record_count, CAST('2024-02-01' AS TIMESTAMP) AS _az_insert_ts FROM {events}"
+
+
+@query(f"SELECT CAST(EVENT_ID AS STRING) AS EVENT_ID, json_extract_string(DATA, '$.k') AS k, NULL::VARCHAR AS absent FROM ({CURATED}) c WHERE FILE_DTTM = (SELECT max(FILE_DTTM) FROM ({CURATED}) d)")
+def regenerate_chain(spark, sf):
+    """From the table's name to a written sheet, read back."""
+    path = flows.regenerate_table(made(spark, sf, EVENTS_KNOWN), made(spark, sf, EVENTS_CONTROL), made(spark, sf, CURATED), "EVENTS_FEED", shared(spark), dt.datetime(2024, 2, 1, 12, 30))
+    return spark.read.option("header", True).csv(path)
+
+
+@query(f"SELECT lower(table_name) AS table_name, arg_min(file_name_prefix, serial_number) AS file_name_prefix, arg_min(sheet_tab_name, serial_number) AS sheet_tab_name, count(DISTINCT sheet_tab_name) AS n_tabs, count(DISTINCT sheet_tab_name) > 1 AS ambiguous FROM ({REGISTRY_WIDE}) r GROUP BY 1")
+def registry_by_table(spark, sf):
+    return registry.by_table(made(spark, sf, REGISTRY_WIDE)).select("table_name", "file_name_prefix", "sheet_tab_name", "n_tabs", "ambiguous")
+
+
 # ---- registry -------------------------------------------------------------------------------------------------------
 
 @query(f"""SELECT file_name_prefix, sheet_tab_name, lower(table_name) AS table_name, coalesce(load_type_delta, true) AS delta, CASE WHEN sheet_tab_name = 'click' THEN '' WHEN sheet_tab_name = 'view' THEN 'USER_ID:bigint:true' WHEN sheet_tab_name = 'signup' THEN 'AMOUNT:string:true,ABSENT:bigint:true' WHEN sheet_tab_name = 'purchase' THEN 'AMOUNT:string:false,USER_KEY:bigint:false' ELSE '?' END AS keys FROM ({REGISTRY}) r""")
@@ -610,6 +703,18 @@ def windowed_load(spark, sf):
     return states.select("window_id", "status", "source_count", "target_count")
 
 
+@query("SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS at FROM {orders}")
+def windowed_resume(spark, sf):
+    """Five windows, then the rest by another run from the stored states; times come as texts and are cast."""
+    orders, path = table(spark, sf, "orders"), shared(spark)
+    source = orders.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd 00:00:00.000000").alias("at"))
+    target = source.where("o_orderkey % 3 = 0").withColumn("at", tolerant_timestamp(F.col("at")))
+    plan = bulkload.plan_windows(orders, "o_orderkey", N_WINDOWS, "c1")
+    load = lambda most: flows.windowed_load(source, target, plan, "o_orderkey", path, {"at": tolerant_timestamp}, most)
+    first = load(5)[1]
+    return load(None)[0] if flows.more_pending(first) else target.limit(0)
+
+
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS at FROM {orders}""")
 def tolerant_cast(spark, sf):
     k = F.col("o_orderkey") % 4

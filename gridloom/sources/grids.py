@@ -21,7 +21,8 @@ GRID = "file_name string, sheet_tab_name string, row_idx bigint, cells array<str
 RAW = "file_name string, sheet_tab_name string, row_idx bigint, cells array<struct<kind:string,value:string>>, error string"
 HEADER_ROW, DATA_ROW = 1, 2
 NO_RESULTS = "report status"
-DEPTH = {"monthly": 1, "daily": 2, "hourly": 3, "minutely": 4, "minutes": 4}
+#: Rows of a sheet that one workbook takes at most; a longer sheet goes into more of them.
+BOOK_ROWS = 100_000
 
 
 def landing(spark: SparkSession, folder: str, suffix: str = ".xlsx") -> DataFrame:
@@ -44,19 +45,21 @@ def latest_partition(df: DataFrame, columns: list[str]) -> DataFrame:
 def decode_grids(files: DataFrame) -> DataFrame:
     """The grids of files (file_name, content), one file in a task at a time, and what can't be read as a row with error.
 
-    Cells keep their kind; leading empty rows and columns are skipped, the order of tabs is the workbook's.
+    Cells keep their kind; leading empty rows and columns are skipped, the order of tabs is the workbook's. first_row, if
+    the files have that column, is the place of a workbook's first row in its sheet.
     """
+    placed = files if "first_row" in files.columns else files.withColumn("first_row", F.lit(0))
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, content in zip(batch["file_name"], batch["content"], strict=True):
+            for name, content, first in zip(batch["file_name"], batch["content"], batch["first_row"], strict=True):
                 try:
-                    rows = [(name, tab, i, cells, None) for tab, grid in _workbook(content) for i, cells in enumerate(grid)]
+                    rows = [(name, tab, first + i, cells, None) for tab, grid in _workbook(content) for i, cells in enumerate(grid)]
                 except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, ValueError) as e:
                     rows = [(name, None, None, None, f"Workbook could not be read - {e}")]
                 yield pd.DataFrame(rows, columns=["file_name", "sheet_tab_name", "row_idx", "cells", "error"])
 
-    return files.select("file_name", "content").mapInPandas(decode, RAW)
+    return placed.select("file_name", "content", F.col("first_row").cast("long").alias("first_row")).mapInPandas(decode, RAW)
 
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
@@ -99,28 +102,32 @@ def _cells(sheet: ElementTree.Element, shared: list[str]) -> list[list[dict | No
     return [[found.get(i, {}).get(c) for c in range(left, max(found[i]) + 1)] if i in found else [] for i in range(min(found), max(found) + 1)]
 
 
-def encode_grids(grid: DataFrame) -> DataFrame:
-    """Workbooks (file_name, content) of grids of texts: the inverse of decode_grids, for sheets small enough for a file."""
+def encode_grids(grid: DataFrame, book_rows: int = BOOK_ROWS) -> DataFrame:
+    """Workbooks (file_name, first_row, content) of grids of texts: the inverse of decode_grids.
+
+    Each has one tab, and of that `book_rows` rows at most, so no task gets more of a long sheet.
+    """
 
     def encode(rows: pd.DataFrame) -> pd.DataFrame:
         esc = lambda x: x.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").replace('"', "&quot;")
         main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
-        tabs = sorted(set(rows["sheet_tab_name"]))
+        tabs, first = sorted(set(rows["sheet_tab_name"])), int(rows["_part"].iloc[0]) * book_rows
         out = io.BytesIO()
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
             for i, tab in enumerate(tabs):
                 body = []
                 for at, cells in sorted(zip(*[rows.loc[rows["sheet_tab_name"] == tab, c] for c in ("row_idx", "cells")], strict=True), key=lambda x: x[0]):
                     texts = "".join("<c/>" if c is None else f'<c t="inlineStr"><is><t xml:space="preserve">{esc(c)}</t></is></c>' for c in cells)
-                    body.append(f'<row r="{at + 1}">{texts}</row>')
+                    body.append(f'<row r="{at - first + 1}">{texts}</row>')
                 z.writestr(f"xl/worksheets/sheet{i}.xml", f"<worksheet {main}><sheetData>{''.join(body)}</sheetData></worksheet>")
             sheets = "".join(f'<sheet name="{esc(t)}" sheetId="{i + 1}" r:id="r{i}"/>' for i, t in enumerate(tabs))
             z.writestr("xl/workbook.xml", f"<workbook {main}><sheets>{sheets}</sheets></workbook>")
             rels = "".join(f'<Relationship Id="r{i}" Target="worksheets/sheet{i}.xml"/>' for i in range(len(tabs)))
             z.writestr("xl/_rels/workbook.xml.rels", f"<Relationships>{rels}</Relationships>")
-        return pd.DataFrame({"file_name": [rows["file_name"].iloc[0]], "content": [out.getvalue()]})
+        return pd.DataFrame({"file_name": [rows["file_name"].iloc[0]], "first_row": [first], "content": [out.getvalue()]})
 
-    return grid.groupBy("file_name").applyInPandas(encode, "file_name string, content binary")
+    parted = grid.withColumn("_part", F.floor(F.col("row_idx") / book_rows))
+    return parted.groupBy("file_name", "sheet_tab_name", "_part").applyInPandas(encode, "file_name string, first_row long, content binary")
 
 
 def text_grid(raw: DataFrame) -> DataFrame:

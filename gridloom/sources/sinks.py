@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Partition columns by frequency, as date patterns.
 LAYOUT = {"monthly": ["yyyy", "MM"], "daily": ["yyyy", "MM", "dd"], "hourly": ["yyyy", "MM", "dd", "HH"], "minutes": ["yyyy", "MM", "dd", "HH", "mm"]}
 NAMES = {"yyyy": "year", "MM": "month", "dd": "day", "HH": "hour", "mm": "minute"}
 ZONES = {"curated": "curated/{table}", "raw": "{table}/_raw_asis"}
-BANNER_TIME = "MM/dd/yyyy hh:mm a"
+BANNER_TIME = "%m/%d/%Y %I:%M %p"
 
 
 def dated_columns(time: Column, frequency: str) -> dict[str, Column]:
@@ -35,9 +37,16 @@ def write_curated(rows: DataFrame, path: str, time: Column, frequency: str = "da
     rows.withColumns(dated).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*dated).parquet(path)
 
 
+def create_table(spark: SparkSession, table: str, schema: str) -> None:
+    """An append table, if it isn't there yet."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet")
+
+
 def append_aligned(rows: DataFrame, table: str) -> None:
-    """Appends to a table in the order of its columns."""
-    rows.select(*rows.sparkSession.table(table).columns).write.insertInto(table)
+    """Appends to a table by the names of its columns: in their order and types, those that the rows lack as null."""
+    fields, names = rows.sparkSession.table(table).schema.fields, {c.lower() for c in rows.columns}
+    column = lambda f: F.col(f"`{f.name}`") if f.name.lower() in names else F.lit(None)
+    rows.select(*[column(f).cast(f.dataType).alias(f.name) for f in fields]).write.insertInto(table)
 
 
 def capped(df: DataFrame, most: int = 500_000) -> DataFrame:
@@ -53,12 +62,13 @@ def sheet_texts(df: DataFrame) -> DataFrame:
     return df.select(*[text(f).alias(f.name) for f in df.schema.fields])
 
 
-def export_grid(df: DataFrame, file_name: str, tab: str, order: list[str], banner: str | None = None) -> DataFrame:
+def export_grid(df: DataFrame, file_name: str, tab: str, order: list[str], banner: str | None = None, most: int = 500_000) -> DataFrame:
     """A table as a grid: perhaps a banner, a header, and its rows in order; nulls are empty cells.
 
-    Rows are numbered through one window, so it is for what fits a sheet (see capped); larger tables are written as
-    CSV with a header by write_headered.
+    Rows are numbered through one window, so more than fit a sheet are an error (see capped); larger tables are written
+    as CSV with a header by write_headered.
     """
+    df = capped(df, most)
     numbered = df.withColumn("_at", F.row_number().over(Window.orderBy(*[F.col(f"`{c}`") for c in order])))
     texts = sheet_texts(numbered)
     spark, first = df.sparkSession, 0
@@ -72,6 +82,16 @@ def export_grid(df: DataFrame, file_name: str, tab: str, order: list[str], banne
     return head.union(rows).select(F.lit(file_name).alias("file_name"), F.lit(tab).alias("sheet_tab_name"), "row_idx", "cells")
 
 
+def banner_text(title: str, time: dt.datetime) -> str:
+    """The banner of a sheet: what it is, and when it was made."""
+    return f"{title} {time.strftime(BANNER_TIME)}"
+
+
+def export_path(base: str, table: str, prefix: str, time: dt.datetime) -> str:
+    """<base>/<table>/<year>/<month>/<day>/<hour>/<prefix>_REGEN_<time>"""
+    return f"{base.rstrip('/')}/{table}/{time:%Y/%m/%d/%H}/{prefix}_REGEN_{time:%Y%m%d_%H%M%S}"
+
+
 def write_headered(df: DataFrame, path: str) -> None:
-    """CSV with a header, written by all tasks."""
-    df.write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    """CSV with a header, written by all tasks; writing the same path again replaces it."""
+    df.write.mode("overwrite").option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)

@@ -215,10 +215,55 @@ def test_load_resumes_and_stops(spark, tmp_path):
     done = plan.withColumn("status", F.when(F.col("window_id") == 0, "done").otherwise("pending"))
     target, states = flows.windowed_load(source, source.where("k <= 25"), done, "k", str(tmp_path))
     assert target.count() == 100 and [r["status"] for r in states.orderBy("window_id").collect()] == ["done"] * 4
-    twice, states = flows.windowed_load(source, source.where("k = 30").union(source.where("k = 30")), plan.where("window_id > 0"), "k", str(tmp_path))
+    twice, states = flows.windowed_load(source, source.where("k = 30").union(source.where("k = 30")), plan.where("window_id > 0"), "k", str(tmp_path / "twice"))
     assert [r["status"] for r in states.orderBy("window_id").collect()] == ["pending"] * 3
 
 
+def test_load_survives_a_lost_driver(spark, tmp_path, monkeypatch):
+    source = rows(spark, [(i,) for i in range(1, 101)], "k bigint")
+    plan, read = bulkload.plan_windows(source, "k", 4, "c"), bulkload.read_window
+
+    def failing(df, key, lo, hi):
+        if lo >= 50:
+            raise RuntimeError("lost")
+        return read(df, key, lo, hi)
+
+    monkeypatch.setattr(bulkload, "read_window", failing)
+    with pytest.raises(RuntimeError):
+        flows.windowed_load(source, source.limit(0), plan, "k", str(tmp_path))
+    seen = []
+    monkeypatch.setattr(bulkload, "read_window", lambda df, key, lo, hi: seen.append(lo) or read(df, key, lo, hi))
+    target, states = flows.windowed_load(source, source.limit(0), plan, "k", str(tmp_path))
+    assert set(seen) == {50, 75} and sorted(r["k"] for r in target.collect()) == list(range(1, 101)) and not flows.more_pending(states)
+
+
+@pytest.mark.parametrize("name", ["COMMENTS", "pk_derived", "_null", "_Dup", "_type"])
+def test_reserved_columns_are_rejected(spark, name):
+    with pytest.raises(ValueError, match=name):
+        flows.ingest_tab(tab(spark, ("1", "a")).withColumn(name, F.lit("own")), SPEC, F.lit(None).cast("timestamp_ntz"))
+
+
+def test_table_lookup(spark):
+    schema = "serial_number bigint, file_name_prefix string, sheet_tab_name string, table_name string, sheet_column_name string, original_column_name string, array_column_name string, data_type string, is_primary_key boolean"
+    df = rows(spark, [(2, "P", "T", "Tab", "K", None, None, "BIGINT", True), (1, "P", "U", "tab", "L", "M", "", "int", True), (3, "P", "V", "other", "K", None, None, "int", True)], schema)
+    with pytest.warns(UserWarning, match="2 tabs"):
+        assert registry.table_spec(df, "TAB") == (TabSpec("tab", (Key("L", "M", "int", True),)), "P", "U")
+    assert registry.table_spec(df, "other")[0].keys[0].name == "K" and registry.table_spec(df, "none") is None
+
+
+def test_export_path_and_banner():
+    at = dt.datetime(2024, 2, 1, 14, 5, 9)
+    assert sinks.export_path("/b/", "t", "Feed", at) == "/b/t/2024/02/01/14/Feed_REGEN_20240201_140509"
+    assert sinks.banner_text("Feed", at) == "Feed 02/01/2024 02:05 PM"
+
+
+def test_long_sheets_go_into_more_workbooks(spark):
+    data = [("a.xlsx", t, i, [str(i)]) for t in ("T", "U") for i in range(25)]
+    books = grids.encode_grids(rows(spark, data, grids.GRID), 10)
+    assert books.count() == 6
+    assert sorted(tuple(r) for r in grids.text_grid(grids.decode_grids(books)).collect()) == data
+
+
 def test_merge_modes(spark):
     old, new = rows(spark, [(1, "o"), (2, "o")], "k int, v string"), rows(spark, [(2, "n"), (3, "n")], "k int, v string")
     assert sorted(map(tuple, bulkload.merge_upsert(old, new, ["k"]).collect())) == [(1, "o"), (2, "n"), (3, "n")]

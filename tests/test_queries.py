@@ -12,13 +12,8 @@ def test_same_as_sql(spark, sf, name):
     assert_same(QUERIES[name](spark, sf), SQL[name], sf)
 
 
-def test_only_the_folder_listing_has_no_sql():
-    assert set(QUERIES) - set(SQL) == {"file_landing"}
-
-
-def test_landing_finds_all_tables(spark, sf):
-    names = {r["file_name"] for r in QUERIES["file_landing"](spark, sf).collect()}
-    assert {"orders.parquet", "events.parquet", "documents.parquet"} <= names
+def test_all_have_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry_needs_no_corpus_operators(spark):
