@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,13 +35,28 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="spark-shared-"))
 
 
+_written: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes a table into the shared folder and reads it back: cuts the lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/gridloom-{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that were materialized inside, at the end: for results that are written by then."""
+    before = len(_written)
+    yield
+    for path in _written[before:]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    del _written[before:]
+
+
 def internal(docs: DataFrame, **columns: str) -> tuple[DataFrame, list[Column]]:
     """Renames every column by its position, then the named ones to `_<key>`; also how to get the old columns back.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import ceil, log
@@ -12,23 +13,25 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, internal, materialize, split_words
+from .common import internal, materialize
 
 #: Counts are held as 1 + floor(log(count) / log(BASE)); an n-gram is in the filter once for each of these levels.
 BASE = 1.5
 LEVELS = 64
 #: Bits of the filter for each level of each n-gram, and bits that one level sets.
 BITS, HASHES = 9, 5
-#: A shard of the filter takes about so many training tokens' n-grams.
-SHARD_TOKENS = 1 << 21
-#: The filter is broadcast in groups of shards of up to so many bytes, a pass over the texts for each.
-GROUP_BYTES = 128 << 20
+#: A shard of the filter takes the n-grams of about so many bytes of training text; there are 64 shards at least.
+SHARD_BYTES, LEAST_SHARD_BITS = 1 << 21, 6
+#: A filter of up to so many bytes is broadcast; of a larger one, the shards answer where they are.
+BROADCAST_BYTES = 128 << 20
+#: Parts that the questions to a shard are dealt into, each with the shard's filter.
+SALTS = 8
 #: The commonest words, up to so many, whose exact counts are broadcast; counts of all others are joined.
 HOT_WORDS = 1 << 19
 #: Weight, in observations, of the unigram in a bigram's probability.
 PRIOR = 100.0
-#: Tokens that are scored at a time.
-CHUNK = 400_000
+#: Tokens that are scored, or counted, at a time.
+CHUNK, COUNT_CHUNK = 400_000, 1_500_000
 
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 START = np.uint64(0x5851F42D4C957F2D)
@@ -81,38 +84,37 @@ def built(keys: np.ndarray, counts: np.ndarray) -> tuple[int, bytes]:
     return bits, np.packbits(marks, bitorder="little").tobytes()
 
 
+def probed(keys: np.ndarray, bits: int, data: bytes) -> np.ndarray:
+    """The level of each key: level 1, 2, ... is probed until one is missing."""
+    marks, found, alive = np.frombuffer(data, np.uint8), np.zeros(len(keys), np.int64), np.arange(len(keys))
+    for j in range(1, LEVELS + 1):
+        left = keys[alive]
+        ok = np.ones(len(left), bool)
+        for at in places(left, j, bits):
+            ok &= (marks[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        alive = alive[ok]
+        if not len(alive):
+            break
+        found[alive] = j
+    return found
+
+
 @dataclass
 class Filter:
-    """Shards of a log-frequency Bloom filter: by shard number, its bits and bytes. Keys' first bits name their shard."""
+    """All shards of a log-frequency Bloom filter: by shard number, its bits and bytes. Keys' first bits name their shard."""
 
     shard_bits: int
     shards: dict[int, tuple[int, bytes]]
 
-    def counts(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Expected counts of sorted keys, and which of them are in these shards at all."""
-        level, here = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """The levels of sorted keys."""
+        level = np.zeros(len(keys), np.int64)
         edges = np.searchsorted(keys >> np.uint64(64 - self.shard_bits), np.arange((1 << self.shard_bits) + 1)) if self.shard_bits else [0, len(keys)]
         for shard, (bits, data) in self.shards.items():
             a, b = int(edges[shard]), int(edges[shard + 1])
-            here[a:b] = True
             if a < b:
-                level[a:b] = self._levels(keys[a:b], bits, np.frombuffer(data, np.uint8))
-        return EXPECTED[level], here
-
-    @staticmethod
-    def _levels(keys: np.ndarray, bits: int, data: np.ndarray) -> np.ndarray:
-        """Probes level 1, 2, ... of each key until one is missing."""
-        found, alive = np.zeros(len(keys), np.int64), np.arange(len(keys))
-        for j in range(1, LEVELS + 1):
-            left = keys[alive]
-            ok = np.ones(len(left), bool)
-            for at in places(left, j, bits):
-                ok &= (data[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            alive = alive[ok]
-            if not len(alive):
-                break
-            found[alive] = j
-        return found
+                level[a:b] = probed(keys[a:b], bits, data)
+        return level
 
 
 def learns(doc_id: Column) -> Column:
@@ -120,17 +122,17 @@ def learns(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(7)) != 2, F.lit(True))
 
 
-def chunks(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def chunks(texts: list[str | None], size: int = CHUNK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Of consecutive texts: the first one's number, the hashes of all tokens, and how many tokens each text has."""
-    digest, first, hashes, sizes = xxhash.xxh64_intdigest, 0, [], []
+    digest, first, hashes, sizes = xxhash.xxh64_intdigest, 0, array("Q"), []
     for i, text in enumerate(texts):
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        hashes += [digest(w, SEED) for w in words]
+        hashes.extend([digest(w, SEED) for w in words])
         hashes.append(END)
         sizes.append(len(words) + 1)
-        if len(hashes) >= CHUNK or i == len(texts) - 1:
+        if len(hashes) >= size or i == len(texts) - 1:
             yield first, np.array(hashes, np.uint64), np.array(sizes, np.int64)
-            first, hashes, sizes = i + 1, [], []
+            first, hashes, sizes = i + 1, array("Q"), []
 
 
 def histories(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,49 +144,99 @@ def histories(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
     return before, begins
 
 
-def vocabulary(train: DataFrame) -> DataFrame:
-    """(h, c): exact counts of all training tokens, by hash."""
-    words = split_words(ascii_lower(F.col("_text")))
-    token = train.select(F.explode_outer(F.array_append(words, F.lit(""))).alias("w"))
-    return materialize(token.groupBy(F.xxhash64("w").alias("h")).agg(F.count("*").alias("c")), "lm-words")
-
-
-def bigrams(train: DataFrame) -> DataFrame:
-    """(k, c): counts of training bigrams, summed over chunks of each task only."""
+def counted(train: DataFrame) -> DataFrame:
+    """(n, k, c): counts of training unigrams (n = 1) and bigrams (2), summed over a chunk of tokens each, in one pass."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, hashes, sizes in chunks(batch.column(0).to_pylist()):
+            for _, hashes, sizes in chunks(batch.column(0).to_pylist(), COUNT_CHUNK):
                 before, _ = histories(hashes, sizes)
-                keys, counts = np.unique(bigram_keys(before, hashes), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int32))], names=["k", "c"])
+                for n, keys in ((1, hashes), (2, bigram_keys(before, hashes))):
+                    keys, counts = np.unique(keys, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), n, np.int8)), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int32))], names=["n", "k", "c"])
 
-    return train.select("_text").mapInArrow(count, "k long, c int")
+    return train.select("_text").mapInArrow(count, "n byte, k long, c int")
+
+
+def shard_of(key: Column, shard_bits: int) -> Column:
+    return (F.shiftrightunsigned(key, 64 - shard_bits) if shard_bits else F.lit(0)).cast("int")
 
 
 def filter_shards(counts: DataFrame, shard_bits: int, stage: str) -> DataFrame:
-    """(shard, bits, data): the filter of counts (k, c), each shard in one task from all its keys."""
-    shard = (F.shiftrightunsigned("k", 64 - shard_bits) if shard_bits else F.lit(0)).cast("int")
+    """(n, shard, bits, data, h, c): the filter of counts, each shard in one task from all its keys; of unigrams also
+    the exact counts."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
             of, keys, counts = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            for s in np.unique(of):
-                parts.setdefault(int(s), []).append((keys[of == s], counts[of == s]))
+            order = np.argsort(of, kind="stable")
+            of, keys, counts = of[order], keys[order], counts[order]
+            for s, a, b in zip(*np.unique(of, return_index=True), [*np.unique(of, return_index=True)[1][1:], len(of)], strict=True):
+                parts.setdefault(int(s), []).append((keys[a:b].copy(), counts[a:b].copy()))
         for s in sorted(parts):
             found = parts.pop(s)
             keys, inverse = np.unique(np.concatenate([k for k, _ in found]).view(np.uint64), return_inverse=True)
-            bits, data = built(keys, np.bincount(inverse, weights=np.concatenate([c for _, c in found])))
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([bits]), pa.array([data], pa.binary())], names=["shard", "bits", "data"])
+            sums = np.bincount(inverse, weights=np.concatenate([c for _, c in found]))
+            bits, data = built(keys, sums)
+            exact = (keys.view(np.int64), sums.astype(np.int64)) if s & 1 else (np.zeros(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array([2 - (s & 1)], pa.int8()), pa.array([s >> 1], pa.int32()), pa.array([bits]), pa.array([data], pa.binary()), *[pa.array([x], pa.list_(pa.int64())) for x in exact]], names=["n", "shard", "bits", "data", "h", "c"])
 
-    placed = counts.select(shard.alias("shard"), "k", F.col("c").cast("long").alias("c")).repartition(1 << shard_bits, "shard")
-    return materialize(placed.mapInArrow(build, "shard int, bits long, data binary"), stage)
+    of = shard_of(F.col("k"), shard_bits) * 2 + F.when(F.col("n") == 1, 1).otherwise(0)
+    placed = counts.select(of.cast("int").alias("_of"), "k", "c").repartition(2 << shard_bits, "_of")
+    return materialize(placed.mapInArrow(build, "n byte, shard int, bits long, data binary, h array<long>, c array<long>"), stage)
 
 
 def fetched(shards: DataFrame) -> dict[int, tuple[int, bytes]]:
     """The shards of a filter, brought to the driver one partition at a time."""
-    return {r["shard"]: (r["bits"], bytes(r["data"])) for r in shards.toLocalIterator()}
+    return {r["shard"]: (r["bits"], bytes(r["data"])) for r in shards.select("shard", "bits", "data").toLocalIterator()}
+
+
+def questions(rows: DataFrame) -> DataFrame:
+    """(_row, n, k): every different token and bigram of each row."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column(0).to_numpy(zero_copy_only=False)
+            for first, hashes, sizes in chunks(batch.column(1).to_pylist()):
+                before, begins = histories(hashes, sizes)
+                keys, ends = bigram_keys(before, hashes), begins + sizes
+                for i, (a, b) in enumerate(zip(begins, ends, strict=True)):
+                    for n, own in ((1, np.unique(hashes[a:b])), (2, np.unique(keys[a:b]))):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), row[first + i], np.int64)), pa.array(np.full(len(own), n, np.int8)), pa.array(own.view(np.int64))], names=["_row", "n", "k"])
+
+    return rows.select("_row", "_text").mapInArrow(ask, "_row long, n byte, k long")
+
+
+def answered(asked: DataFrame, shards: DataFrame, shard_bits: int) -> DataFrame:
+    """(_row, k, level): the filter's answers. Questions go to the shards, not shards to the questions.
+
+    A shard's filter comes first among the rows of its part, so a task holds one filter and streams the questions; the
+    questions to one shard are dealt into SALTS parts by row, so no n-gram, however common, is one task's.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    filters = shards.select("n", "shard", salts, F.lit(0).alias("_asks"), F.lit(0).cast("long").alias("_row"), F.lit(0).cast("long").alias("k"), "bits", "data")
+    dealt = asked.select("n", shard_of(F.col("k"), shard_bits).alias("shard"), F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int").alias("_salt"), F.lit(1).alias("_asks"), "_row", "k", F.lit(0).cast("long").alias("bits"), F.lit(None).cast("binary").alias("data"))
+    order = ["n", "shard", "_salt"]
+    placed = filters.unionByName(dealt).repartition(*order).sortWithinPartitions(*order, "_asks")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, bits, data = None, 0, b""
+        for batch in batches:
+            n, shard, salt, asks, row, key, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+            part = np.stack([n, shard, salt, asks]).astype(np.int64)
+            edges = [0, *(np.flatnonzero((part[:, 1:] != part[:, :-1]).any(axis=0)) + 1), len(n)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == b:
+                    continue
+                if not asks[a]:
+                    held, bits, data = (n[a], shard[a], salt[a]), int(size[a]), batch.column(7)[int(a)].as_py()
+                    continue
+                keys = np.ascontiguousarray(key[a:b]).view(np.uint64)
+                level = probed(keys, bits, data) if held == (n[a], shard[a], salt[a]) else np.zeros(b - a, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(row[a:b]), pa.array(key[a:b]), pa.array(level.astype(np.int8))], names=["_row", "k", "level"])
+
+    return placed.mapInArrow(answer, "_row long, k long, level byte")
 
 
 def hot_words(vocab: DataFrame, most: int) -> tuple[int, np.ndarray, np.ndarray]:
@@ -203,7 +255,7 @@ def hot_words(vocab: DataFrame, most: int) -> tuple[int, np.ndarray, np.ndarray]
     return edge, keys[order], hot["c"].to_numpy(float)[order]
 
 
-def score_documents(docs: DataFrame, prior: float = PRIOR, group_bytes: int = GROUP_BYTES, hot: int = HOT_WORDS) -> DataFrame:
+def score_documents(docs: DataFrame, prior: float = PRIOR, broadcast_bytes: int = BROADCAST_BYTES, hot: int = HOT_WORDS) -> DataFrame:
     """One row for each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words of the text lower-cased A-Z, then one end token. Training documents, those whose crc32(id) mod
@@ -211,6 +263,9 @@ def score_documents(docs: DataFrame, prior: float = PRIOR, group_bytes: int = GR
     base_score: the sum over tokens of log10((c + 1) / (N + V + 1)). score: the sum of log10((b + prior * p) / (a +
     prior)), where p is that unigram probability, and p and the counts b of the bigram and a of the token before come
     from the filters: level after level is probed until one is missing, and the last gives the expected count.
+    A filter of up to broadcast_bytes is broadcast, and the texts are read once. A larger one stays where it was built:
+    each row's n-grams are sent to the shards and the levels come back, so the work is linear in the corpus and no
+    broadcast grows with it; the score is the same.
     A null text has the end token alone; without training documents every probability is 1 / (N + V + 1) = 1. Repeated
     rows come out repeated, documents without an id are training documents; an empty table gives an empty one.
     """
@@ -218,66 +273,58 @@ def score_documents(docs: DataFrame, prior: float = PRIOR, group_bytes: int = GR
     frame, _ = internal(docs, id="doc_id", text="text")
     frame = frame.select("_id", "_text")
     train = frame.where(learns(F.col("_id")))
-    vocab = vocabulary(train)
-    n, v = (int(x or 0) for x in vocab.agg(F.sum("c"), F.count("*")).first())
-    n_train = vocab.where(F.col("h") == F.xxhash64(F.lit(""))).agg(F.sum("c")).first()[0] or 0
-    shard_bits = max(0, ceil(np.log2(max(1, n / SHARD_TOKENS))))
-    ones = filter_shards(vocab.select(F.col("h").alias("k"), "c"), max(0, shard_bits - 3), "lm-unigrams")
-    twos = filter_shards(bigrams(train), shard_bits, "lm-bigrams")
-    unigrams = Filter(max(0, shard_bits - 3), fetched(ones))
-    groups: list[list[int]] = [[]]
-    room = group_bytes
-    for shard, size in sorted((r[0], r[1]) for r in twos.select("shard", F.octet_length("data")).collect()):
-        if size > room and groups[-1]:
-            groups.append([])
-            room = group_bytes
-        groups[-1].append(shard)
-        room -= size
+    size = train.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    shard_bits = max(LEAST_SHARD_BITS, ceil(np.log2(max(1, size / SHARD_BYTES))))
+    shards = filter_shards(counted(train), shard_bits, "lm-shards")
+    vocab = shards.where("n = 1").select(F.explode(F.arrays_zip("h", "c")).alias("w")).select("w.h", "w.c")
+    n, v, n_train = (int(x or 0) for x in vocab.agg(F.sum("c"), F.count("*"), F.sum(F.when(F.col("h") == F.xxhash64(F.lit("")), F.col("c")))).first())
     edge, hot_keys, hot_counts = hot_words(vocab, hot)
     rest = float(n + v + 1)
+    whole = shards.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0] <= broadcast_bytes
+    filters = tuple(Filter(shard_bits, fetched(shards.where(F.col("n") == k))) for k in (1, 2)) if whole else None
+    model = spark.sparkContext.broadcast((filters, hot_keys, hot_counts))
 
-    def scorer(group: list[int], with_base: bool):
-        held = twos.where(F.col("shard").isin(group)) if len(groups) > 1 else twos
-        model = spark.sparkContext.broadcast((unigrams, Filter(shard_bits, fetched(held)), hot_keys if with_base else None, hot_counts if with_base else None))
-
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ones, twos, known, counts = model.value
-            for batch in batches:
-                for first, hashes, sizes in chunks(batch.column(2).to_pylist()):
-                    before, begins = histories(hashes, sizes)
-                    words, at = np.unique(hashes, return_inverse=True)
-                    seen = ones.counts(words)[0][at]
-                    history = np.empty_like(seen)
-                    history[1:] = seen[:-1]
-                    history[begins] = n_train
-                    keys, place = np.unique(bigram_keys(before, hashes), return_inverse=True)
-                    both, here = twos.counts(keys)
-                    p = np.log10((both[place] + prior * (seen + 1) / rest) / (history + prior))
-                    p[~here[place]] = 0
-                    out = [batch.column(i).slice(first, len(sizes)) for i in (0, 1)] + [pa.array(np.add.reduceat(p, begins))]
-                    names = ["_id", "_th", "_score"]
-                    if with_base:
-                        slot = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
-                        is_hot = known[slot] == words if len(known) else np.zeros(len(words), bool)
-                        c = np.where(is_hot, counts[slot], 0.0)[at] if len(known) else np.zeros(len(hashes))
-                        cold = ~is_hot[at]
-                        ends = np.concatenate(([0], np.cumsum(np.add.reduceat(cold.astype(np.int64), begins))))
-                        out += [pa.array(sizes), pa.array(np.add.reduceat((c > 0).astype(np.int64), begins)), pa.array(np.add.reduceat(np.log10(c + 1), begins)), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes[cold].view(np.int64)))]
-                        names += ["_n", "_known", "_log", "_cold"]
-                    yield pa.RecordBatch.from_arrays(out, names=names)
-
-        kind = frame.schema["_id"].dataType.simpleString()
-        schema = f"_id {kind}, _th long, _score double" + ", _n long, _known long, _log double, _cold array<long>" * with_base
-        return frame.select("_id", F.xxhash64("_text").alias("_th"), "_text").mapInArrow(score, schema)
-
-    rows = materialize(scorer(groups[0], True).withColumn("_row", F.monotonically_increasing_id()), "lm-rows")
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters, known, counts = model.value
+        for batch in batches:
+            told = None if filters else (batch.column(3), batch.column(4))
+            for first, hashes, sizes in chunks(batch.column(2).to_pylist()):
+                before, begins = histories(hashes, sizes)
+                words, at = np.unique(hashes, return_inverse=True)
+                keys, place = np.unique(bigram_keys(before, hashes), return_inverse=True)
+                if filters:
+                    ones, twos = filters[0].levels(words), filters[1].levels(keys)
+                else:
+                    answers = [x.slice(first, len(sizes)).flatten().to_numpy(zero_copy_only=False) for x in told]
+                    of, one = np.unique(answers[0].view(np.uint64), return_index=True)
+                    ones, twos = (answers[1][one][np.searchsorted(of, x)] for x in (words, keys))
+                seen, both = EXPECTED[ones][at], EXPECTED[twos][place]
+                history = np.empty_like(seen)
+                history[1:] = seen[:-1]
+                history[begins] = n_train
+                p = np.log10((both + prior * (seen + 1) / rest) / (history + prior))
+                slot = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
+                is_hot = known[slot] == words if len(known) else np.zeros(len(words), bool)
+                c = np.where(is_hot, counts[slot], 0.0)[at] if len(known) else np.zeros(len(hashes))
+                cold = ~is_hot[at]
+                ends = np.concatenate(([0], np.cumsum(np.add.reduceat(cold.astype(np.int64), begins))))
+                out = [batch.column(i).slice(first, len(sizes)) for i in (0, 1)]
+                out += [pa.array(np.add.reduceat(p, begins)), pa.array(sizes), pa.array(np.add.reduceat((c > 0).astype(np.int64), begins)), pa.array(np.add.reduceat(np.log10(c + 1), begins))]
+                out.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes[cold].view(np.int64))))
+                yield pa.RecordBatch.from_arrays(out, names=["_row", "_id", "_score", "_n", "_known", "_log", "_cold"])
+
+    kind = frame.schema["_id"].dataType.simpleString()
+    schema = f"_row long, _id {kind}, _score double, _n long, _known long, _log double, _cold array<long>"
+    if whole:
+        rows = frame.select(F.monotonically_increasing_id().alias("_row"), "_id", "_text")
+    else:
+        rows = materialize(frame.withColumn("_row", F.monotonically_increasing_id()), "lm-texts").select("_row", "_id", "_text")
+        levels = answered(questions(rows), shards, shard_bits).groupBy("_row").agg(F.collect_list(F.struct("k", "level")).alias("_a"))  # a row's own n-grams
+        rows = rows.join(levels, "_row").select("_row", "_id", "_text", F.col("_a.k").alias("_k"), F.col("_a.level").alias("_l"))
+    rows = materialize(rows.mapInArrow(score, schema), "lm-rows")
     cold = rows.select("_row", F.explode("_cold").alias("h")).groupBy("_row", "h").agg(F.count("*").alias("m"))
     cold = cold.join(vocab, "h").groupBy("_row").agg(F.sum(F.col("m") * F.log10(F.col("c") + 1)).alias("_more"), F.sum("m").alias("_too"))
     found = rows.drop("_cold").join(cold, "_row", "left")
-    score = F.col("_score")
-    for i, group in enumerate(groups[1:]):
-        part = scorer(group, False).groupBy(F.col("_id").alias(f"_i{i}"), F.col("_th").alias(f"_t{i}")).agg(F.first("_score").alias(f"_s{i}"))
-        found = found.join(part, F.col("_id").eqNullSafe(F.col(f"_i{i}")) & (F.col("_th") == F.col(f"_t{i}")))
-        score = score + F.col(f"_s{i}")
     logs = F.col("_log") + F.coalesce("_more", F.lit(0.0)) - F.col("_n") * F.log10(F.lit(rest))
-    return found.select(F.col("_id").alias("doc_id"), (~learns(F.col("_id"))).alias("held_out"), F.col("_n").alias("n_tokens"), (F.col("_known") + F.coalesce("_too", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), logs.alias("base_score"), score.alias("score"))
+    held = F.coalesce(~learns(F.col("_id")), F.lit(False))
+    return found.select(F.col("_id").alias("doc_id"), held.alias("held_out"), F.col("_n").alias("n_tokens"), (F.col("_known") + F.coalesce("_too", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), logs.alias("base_score"), F.col("_score").alias("score"))

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, internal, with_added
+from .common import ascii_lower, internal, materialize, with_added
 
 #: (rule, verdict); a rule is a host with a path's beginning.
 RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
@@ -71,7 +71,8 @@ class UrlModel:
         self.hashing = HashingTF(inputCol="_grams", outputCol="_features", numFeatures=features, binary=True)
         rows = labelled.select(F.col("label"), ngrams(host_of(F.col("url")), path_of(F.col("url"))).alias("_grams"))
         learner = LogisticRegression(featuresCol="_features", labelCol="label", regParam=ridge, maxIter=steps, predictionCol="_p", rawPredictionCol="_raw", probabilityCol="_prob")
-        self.model = learner.fit(self.hashing.transform(rows).cache())
+        rows = materialize(self.hashing.transform(rows).select("label", "_features"), "urls-labelled")  # read once for each step
+        self.model = learner.fit(rows)
 
     def scored(self, frame: DataFrame, host: str, path: str, name: str) -> DataFrame:
         """frame with the probability that a URL is to be blocked."""
@@ -80,6 +81,20 @@ class UrlModel:
         return found.select(*kept, vector_to_array("_prob")[1].alias(name))
 
 
+def held_out(url: Column) -> Column:
+    """Whether a labelled URL is for measuring: a fifth of them."""
+    return F.pmod(F.crc32(url), F.lit(5)) == 0
+
+
+def measured(labelled: DataFrame, threshold: float = 0.5) -> dict[str, int]:
+    """How a model of four fifths of a labelled table judges the last fifth: right and wrong verdicts of either kind."""
+    model = UrlModel(labelled.where(~held_out(F.col("url"))))
+    parsed = labelled.where(held_out(F.col("url"))).select("label", host_of(F.col("url")).alias("_host"), path_of(F.col("url")).alias("_path"))
+    found = model.scored(parsed, "_host", "_path", "_score").select((F.col("label") == 1).alias("bad"), (F.col("_score") >= threshold).alias("blocked"))
+    count = {(r["bad"], r["blocked"]): r["count"] for r in found.groupBy("bad", "blocked").count().collect()}
+    return {"caught": count.get((True, True), 0), "missed": count.get((True, False), 0), "false": count.get((False, True), 0), "passed": count.get((False, False), 0)}
+
+
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, labelled: DataFrame | None = None, threshold: float = 0.5, carry: list[str] | None = None) -> DataFrame:
     """Every row of pages with host, path, rule, score and verdict (allow or block).
 
