@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PENDING, DONE = "pending", "done"
@@ -32,6 +32,18 @@ def read_window(source: DataFrame, key: str, lo: int, hi: int) -> DataFrame:
     return source.where((F.col(key) > lo) & (F.col(key) <= hi))
 
 
+def window_predicates(key: str, lo: int, hi: int, partitions: int = 64) -> list[str]:
+    """Conditions that part a window's keys (lo < key <= hi) into ranges, for one read task each."""
+    parts = max(1, min(partitions, hi - lo))
+    edges = [lo + (hi - lo) * i // parts for i in range(parts + 1)]
+    return [f"{key} > {a} AND {key} <= {b}" for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def read_jdbc_window(spark: SparkSession, url: str, table: str, key: str, lo: int, hi: int, partitions: int = 64, **options: str) -> DataFrame:
+    """The rows of one window of a database table, read by so many tasks side by side."""
+    return spark.read.jdbc(url, table, predicates=window_predicates(key, lo, hi, partitions), properties=options)
+
+
 def pending(windows: DataFrame, done: DataFrame) -> DataFrame:
     """Windows of a cycle that aren't done yet."""
     return windows.join(done.select("cycle_id", "window_id"), ["cycle_id", "window_id"], "left_anti")

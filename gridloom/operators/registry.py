@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REGISTRY = (
@@ -35,6 +35,19 @@ class TabSpec:
     data_column: str = "DATA"
 
 
+def seeded(spark: SparkSession, tabs: dict[tuple[str, str], TabSpec]) -> DataFrame:
+    """Registry rows for the specs of tabs, by (file name prefix, tab): one for each key column, in order.
+
+    A full load without keys gets a row that names no key, so that the tab is known.
+    """
+    rows = []
+    for (prefix, tab), spec in tabs.items():
+        for key in spec.keys or (None,):
+            named = (key.sheet, key.name, spec.data_column, key.type, True, key.check_not_null) if key else (None, None, spec.data_column, None, False, False)
+            rows.append((len(rows) + 1, None, prefix, tab, spec.table, *named, spec.delta, None, None))
+    return spark.createDataFrame(rows, REGISTRY)
+
+
 def flag(df: DataFrame, name: str) -> Column:
     """A boolean column that is true where it is null or missing."""
     return F.coalesce(F.col(name), F.lit(True)) if name in df.columns else F.lit(True)

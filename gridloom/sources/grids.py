@@ -21,6 +21,8 @@ GRID = "file_name string, sheet_tab_name string, row_idx bigint, cells array<str
 RAW = "file_name string, sheet_tab_name string, row_idx bigint, cells array<struct<kind:string,value:string>>, error string"
 HEADER_ROW, DATA_ROW = 1, 2
 NO_RESULTS = "report status"
+#: How many levels of dated folders count, by frequency.
+DEPTH = {"monthly": 1, "daily": 2, "hourly": 3, "minutely": 4, "minutes": 4}
 #: Rows of a sheet that one workbook takes at most; a longer sheet goes into more of them.
 BOOK_ROWS = 100_000
 
@@ -32,8 +34,12 @@ def landing(spark: SparkSession, folder: str, suffix: str = ".xlsx") -> DataFram
     return files.where(F.lower("path").endswith(suffix)).select(name.alias("file_name"), "path", "length", "content")
 
 
-def latest_partition(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The rows of the greatest partition, in the order of the columns. A scalar, so that only that partition is read."""
+def latest_partition(df: DataFrame, columns: list[str], frequency: str | None = None) -> DataFrame:
+    """The rows of the greatest partition, in the order of the columns. A scalar, so that only that partition is read.
+
+    frequency: only as many of the columns count as its folders are deep (an unknown one: two); else all do.
+    """
+    columns = columns if frequency is None else columns[: DEPTH.get(frequency.lower(), 2)]
     newest = df.agg(F.max(F.struct(*columns)).alias("m")).first()["m"]
     if newest is None:
         return df.limit(0)

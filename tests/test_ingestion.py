@@ -264,6 +264,25 @@ def test_long_sheets_go_into_more_workbooks(spark):
     assert sorted(tuple(r) for r in grids.text_grid(grids.decode_grids(books)).collect()) == data
 
 
+def test_seeded_registry_gives_its_specs(spark):
+    tabs = {("P", "T"): SPEC, ("P", "Full"): TabSpec("full", (), False)}
+    known = registry.seeded(spark, tabs)
+    assert all(registry.tab_spec(known, *at) == spec for at, spec in tabs.items())
+
+
+def test_window_predicates_part_the_keys(spark):
+    source = spark.range(0, 500).withColumnRenamed("id", "k")
+    for lo, hi, parts in ((10, 300, 64), (5, 8, 64), (0, 100, 1)):
+        wheres = bulkload.window_predicates("k", lo, hi, parts)
+        assert len(wheres) == min(parts, hi - lo) and sorted(r["k"] for w in wheres for r in source.where(w).collect()) == list(range(lo + 1, hi + 1))
+
+
+def test_latest_partition_by_frequency(spark):
+    df = rows(spark, [("2024", "02", "01"), ("2024", "02", "03"), ("2024", "01", "09"), ("2023", "12", "31")], "y string, m string, d string")
+    count = lambda *f: grids.latest_partition(df, ["y", "m", "d"], *f).count()
+    assert (count("monthly"), count("daily"), count("hourly"), count("other"), count()) == (3, 2, 1, 2, 1)
+
+
 def test_merge_modes(spark):
     old, new = rows(spark, [(1, "o"), (2, "o")], "k int, v string"), rows(spark, [(2, "n"), (3, "n")], "k int, v string")
     assert sorted(map(tuple, bulkload.merge_upsert(old, new, ["k"]).collect())) == [(1, "o"), (2, "n"), (3, "n")]
