@@ -41,9 +41,10 @@ def learns(doc_id: Column) -> Column:
 
 
 def windows(text: str | None) -> list[bytes]:
-    """Every two words that follow each other, of digits, letters and characters beyond ASCII, lower-cased A-Z."""
+    """The words two by two, and a last one alone; of digits, letters and characters beyond ASCII, lower-cased A-Z."""
     words = WORD.findall((text or "").encode("utf-8", "surrogatepass").lower())
-    return [b" %b %b " % pair for pair in zip(words, words[1:], strict=False)] or [b" %b " % w for w in words]
+    pairs = [b" %b %b " % pair for pair in zip(words[::2], words[1::2], strict=False)]
+    return [*pairs, b" %b " % words[-1]] if len(words) % 2 else pairs
 
 
 @dataclass
@@ -129,7 +130,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROW
 
 
 def labelled_windows(fitted: DataFrame) -> DataFrame:
-    """(a, b, t, o): the different windows (two words) of the fitted documents, in how many of either class."""
+    """(a, b, t, o): every two words that follow each other in the fitted documents, in how many of either class."""
     words = F.filter(split_words(ascii_lower(F.col("_text")), NOT_ALNUM), lambda w: F.octet_length(w) <= WORD_BYTES)
     many = F.greatest(F.size("_w") - 1, F.lit(0))
     pairs = F.zip_with(F.slice("_w", 1, many), F.slice("_w", 2, many), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
