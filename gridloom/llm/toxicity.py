@@ -61,25 +61,29 @@ class Model:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "_pair"}
 
-    def distance(self, window: bytes) -> int:
-        """Bytes that the toxic dictionary saves over the ordinary one."""
+    def distances(self, windows: list[bytes]) -> list[int]:
+        """Bytes that the toxic dictionary saves over the ordinary one, for each window."""
+        if not windows:
+            return []
         if "_pair" not in self.__dict__:
             self._pair = [_compressor(d) for d in (self.ordinary, self.toxic)]
-        framed = FRAME + window + FRAME[:40]
-        ordinary, toxic = self._pair
-        return len(ordinary.compress(framed)) - len(toxic.compress(framed))
+        framed = [FRAME + w + FRAME[:40] for w in windows]
+        ordinary, toxic = (map(len, c.multi_compress_to_buffer(framed)) for c in self._pair)
+        return [a - b for a, b in zip(ordinary, toxic, strict=True)]
 
     def features(self, text: str | None) -> tuple[int, ...]:
         """How many different windows of the text have which distance, and how many windows there are."""
         memo, counts, every = _memo(self.name), [0] * (BINS + 1), windows(text)
-        for window in set(every):
-            d = memo.get(window)
-            if d is None:
-                d = min(max(self.distance(window), 0), BINS)
-                if len(memo) >= MEMO:
-                    memo.clear()
-                memo[window] = d
-            counts[d] += 1
+        different = set(every)
+        unknown = [w for w in different if w not in memo]
+        if len(memo) + len(unknown) > MEMO:
+            memo.clear()
+            unknown = list(different)
+        for i in range(0, len(unknown), 4096):
+            some = unknown[i : i + 4096]
+            memo.update(zip(some, (min(max(d, 0), BINS) for d in self.distances(some)), strict=True))
+        for window in different:
+            counts[memo[window]] += 1
         return (*counts[1:], len(every))
 
     def score(self, text: str | None) -> float:
@@ -211,8 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> Model:
 
         def distances(batches: Iterator[pd.DataFrame], model: Model = model) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                saved = [model.distance(b" %b %b " % (a.encode(), b.encode())) for a, b in zip(batch["a"], batch["b"], strict=True)]
-                yield batch.assign(d=saved)
+                yield batch.assign(d=model.distances([b" %b %b " % (a.encode(), b.encode()) for a, b in zip(batch["a"], batch["b"], strict=True)]))
 
         fooled = seen.where("o >= 2").select("a", "b", "o").repartition(partitions(seen.sparkSession)).mapInPandas(distances, "a string, b string, o long, d long").where(F.col("d") >= FOOLED)
         more = [window(r) for r in fooled.orderBy(F.desc("o"), F.desc("d"), "a", "b").limit(len(own) // 5 + 1).collect()]
