@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass
 from math import ceil, log
 
 import numpy as np
@@ -13,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import internal, materialize
+from .common import internal, materialize, partitions
 
 #: Counts are held as 1 + floor(log(count) / log(BASE)); an n-gram is in the filter once for each of these levels.
 BASE = 1.5
@@ -21,7 +20,9 @@ LEVELS = 64
 #: Bits of the filter for each level of each n-gram, and bits that one level sets.
 BITS, HASHES = 9, 5
 #: A shard of the filter takes the n-grams of about so many bytes of training text; there are 64 shards at least.
-SHARD_BYTES, LEAST_SHARD_BITS = 1 << 21, 6
+SHARD_BYTES, LEAST_SHARD_BITS = 1 << 24, 6
+#: Tasks that build shards, at most, unless there are more shuffle partitions; a task builds one shard after the other.
+BUILDERS = 1 << 16
 #: A filter of up to so many bytes is broadcast; of a larger one, the shards answer where they are.
 BROADCAST_BYTES = 128 << 20
 #: Parts that the questions to a shard are dealt into, each with the shard's filter.
@@ -63,12 +64,12 @@ def _expected() -> np.ndarray:
 EXPECTED = _expected()
 
 
-def places(keys: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
-    """The bits that stand for a level of each key."""
+def places(keys: np.ndarray, level: int, bits: np.ndarray | np.uint64) -> Iterator[np.ndarray]:
+    """The bits that stand for a level of each key, of so many (or of as many as `bits` has for each)."""
     at = mixed(keys + np.uint64(level * int(_K1) % (1 << 64)))
     step = mixed(at) | np.uint64(1)
     for _ in range(HASHES):
-        yield ((at >> np.uint64(32)) * np.uint64(bits)) >> np.uint64(32)
+        yield ((at >> np.uint64(32)) * bits) >> np.uint64(32)
         at = at + step
 
 
@@ -79,42 +80,44 @@ def built(keys: np.ndarray, counts: np.ndarray) -> tuple[int, bytes]:
     marks = np.zeros(bits, bool)
     for j in range(1, int(level.max(initial=0)) + 1):
         held = keys[level >= j]
-        for at in places(held, j, bits):
+        for at in places(held, j, np.uint64(bits)):
             marks[at.astype(np.int64)] = True
     return bits, np.packbits(marks, bitorder="little").tobytes()
 
 
-def probed(keys: np.ndarray, bits: int, data: bytes) -> np.ndarray:
-    """The level of each key: level 1, 2, ... is probed until one is missing."""
-    marks, found, alive = np.frombuffer(data, np.uint8), np.zeros(len(keys), np.int64), np.arange(len(keys))
+def probed(keys: np.ndarray, bits: np.ndarray, first: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """The level of each key: level 1, 2, ... is probed until one is missing. bits, first: how many bits the shard of
+    each key has, and its first one in the marks."""
+    found, alive = np.zeros(len(keys), np.int64), np.arange(len(keys))
     for j in range(1, LEVELS + 1):
-        left = keys[alive]
-        ok = np.ones(len(left), bool)
-        for at in places(left, j, bits):
+        ok = np.ones(len(keys), bool)
+        for at in places(keys, j, bits):
+            at += first
             ok &= (marks[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        alive = alive[ok]
+        alive, keys, bits, first = alive[ok], keys[ok], bits[ok], first[ok]
         if not len(alive):
             break
         found[alive] = j
     return found
 
 
-@dataclass
 class Filter:
-    """All shards of a log-frequency Bloom filter: by shard number, its bits and bytes. Keys' first bits name their shard."""
-
-    shard_bits: int
-    shards: dict[int, tuple[int, bytes]]
+    """All shards of a log-frequency Bloom filter, one behind the other. Keys' first bits name their shard."""
+
+    def __init__(self, shard_bits: int, shards: dict[int, tuple[int, bytes]]) -> None:
+        self.shard_bits = shard_bits
+        self.bits, self.first, at = np.zeros(1 << shard_bits, np.uint64), np.zeros(1 << shard_bits, np.uint64), 8
+        parts = [b"\0"]  # the byte of shards that aren't there: one bit, not set
+        for shard, (bits, data) in sorted(shards.items()):
+            self.bits[shard], self.first[shard] = bits, at
+            parts.append(data)
+            at += 8 * len(data)
+        self.marks = np.frombuffer(b"".join(parts), np.uint8)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        """The levels of sorted keys."""
-        level = np.zeros(len(keys), np.int64)
-        edges = np.searchsorted(keys >> np.uint64(64 - self.shard_bits), np.arange((1 << self.shard_bits) + 1)) if self.shard_bits else [0, len(keys)]
-        for shard, (bits, data) in self.shards.items():
-            a, b = int(edges[shard]), int(edges[shard + 1])
-            if a < b:
-                level[a:b] = probed(keys[a:b], bits, data)
-        return level
+        """The levels of keys; best sorted, so that a shard's bytes are read together."""
+        shard = (keys >> np.uint64(64 - self.shard_bits)).astype(np.int64) if self.shard_bits else np.zeros(len(keys), np.int64)
+        return probed(keys, self.bits[shard], self.first[shard], self.marks)
 
 
 def learns(doc_id: Column) -> Column:
@@ -164,26 +167,32 @@ def shard_of(key: Column, shard_bits: int) -> Column:
 
 def filter_shards(counts: DataFrame, shard_bits: int, stage: str) -> DataFrame:
     """(n, shard, bits, data, h, c): the filter of counts, each shard in one task from all its keys; of unigrams also
-    the exact counts."""
+    the exact counts. Keys come sorted by shard, so a task holds those of one shard."""
+
+    def shard(s: int, found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, inverse = np.unique(np.concatenate([k for k, _ in found]).view(np.uint64), return_inverse=True)
+        sums = np.bincount(inverse, weights=np.concatenate([c for _, c in found]))
+        bits, data = built(keys, sums)
+        exact = (keys.view(np.int64), sums.astype(np.int64)) if s & 1 else (np.zeros(0, np.int64),) * 2
+        return pa.RecordBatch.from_arrays([pa.array([2 - (s & 1)], pa.int8()), pa.array([s >> 1], pa.int32()), pa.array([bits]), pa.array([data], pa.binary()), *[pa.array([x], pa.list_(pa.int64())) for x in exact]], names=["n", "shard", "bits", "data", "h", "c"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        now, found = None, []
         for batch in batches:
             of, keys, counts = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            order = np.argsort(of, kind="stable")
-            of, keys, counts = of[order], keys[order], counts[order]
-            for s, a, b in zip(*np.unique(of, return_index=True), [*np.unique(of, return_index=True)[1][1:], len(of)], strict=True):
-                parts.setdefault(int(s), []).append((keys[a:b].copy(), counts[a:b].copy()))
-        for s in sorted(parts):
-            found = parts.pop(s)
-            keys, inverse = np.unique(np.concatenate([k for k, _ in found]).view(np.uint64), return_inverse=True)
-            sums = np.bincount(inverse, weights=np.concatenate([c for _, c in found]))
-            bits, data = built(keys, sums)
-            exact = (keys.view(np.int64), sums.astype(np.int64)) if s & 1 else (np.zeros(0, np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([pa.array([2 - (s & 1)], pa.int8()), pa.array([s >> 1], pa.int32()), pa.array([bits]), pa.array([data], pa.binary()), *[pa.array([x], pa.list_(pa.int64())) for x in exact]], names=["n", "shard", "bits", "data", "h", "c"])
+            edges = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)] if len(of) else []
+            for a, b in zip(edges, edges[1:], strict=False):
+                if found and of[a] != now:
+                    yield shard(now, found)
+                    found = []
+                now = int(of[a])
+                found.append((keys[a:b].copy(), counts[a:b].copy()))
+        if found:
+            yield shard(now, found)
 
     of = shard_of(F.col("k"), shard_bits) * 2 + F.when(F.col("n") == 1, 1).otherwise(0)
-    placed = counts.select(of.cast("int").alias("_of"), "k", "c").repartition(2 << shard_bits, "_of")
+    builders = min(2 << shard_bits, max(BUILDERS, partitions(counts.sparkSession)))
+    placed = counts.select(of.cast("int").alias("_of"), "k", "c").repartition(builders, "_of").sortWithinPartitions("_of")
     return materialize(placed.mapInArrow(build, "n byte, shard int, bits long, data binary, h array<long>, c array<long>"), stage)
 
 
@@ -233,7 +242,8 @@ def answered(asked: DataFrame, shards: DataFrame, shard_bits: int) -> DataFrame:
                     held, bits, data = (n[a], shard[a], salt[a]), int(size[a]), batch.column(7)[int(a)].as_py()
                     continue
                 keys = np.ascontiguousarray(key[a:b]).view(np.uint64)
-                level = probed(keys, bits, data) if held == (n[a], shard[a], salt[a]) else np.zeros(b - a, np.int64)
+                one = lambda x, m=b - a: np.full(m, x, np.uint64)
+                level = probed(keys, one(bits), one(0), np.frombuffer(data, np.uint8)) if held == (n[a], shard[a], salt[a]) else np.zeros(b - a, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(row[a:b]), pa.array(key[a:b]), pa.array(level.astype(np.int8))], names=["_row", "k", "level"])
 
     return placed.mapInArrow(answer, "_row long, k long, level byte")
