@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, licenses, lm_scoring, mixing, quality, sharding, simhash, token_counts, toxicity, url_filter
+from . import ball_tree_search, decontamination, licenses, lm_scoring, mixing, periodic_runs, quality, sharding, simhash, substring_dedup, token_counts, toxicity, url_filter
+from .common import split_words
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,7 +54,46 @@ def op10_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_log_frequency_bloom_lm, op2_likelihood_ratio_quality, op3_prefix_join_decontamination, op4_multi_index_simhash, op5_compression_toxicity, op6_minhash_license_scan, op7_segment_tree_token_counts, op8_regression_url_filter, op9_feistel_shards, op10_fair_queue_mix)}
+def planted_periods(text: Column, doc_id: Column) -> Column:
+    """The text, or for a tenth of the ids a text whose words repeat from some word on: both from the crc32 of the id.
+
+    A null id has none. The words are a lambda's variable, so a text is split once.
+    """
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w).cast("long")
+        a = g % F.greatest(n, F.lit(1))
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+        return F.concat_ws(" ", F.transform(w, lambda x, i: F.when(i >= a, F.get(w, (a + (i - a) % p).cast("int"))).otherwise(x)))
+
+    return F.when(h % 10 == 0, F.transform(F.array(split_words(text)), repeated)[0]).otherwise(text)
+
+
+def op11_sparse_diagonal_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted_periods(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic_runs.periodic_runs(docs, carry=["doc_id"])
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    told = F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256)
+    top = F.col("strongest")
+    milli = F.floor(1000 * top["length"] / top["period"]).cast("long")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), top["length"].alias("length"), top["period"].alias("period"),
+        milli.alias("exponent_milli"), told.alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_count_min_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_log_frequency_bloom_lm, op2_likelihood_ratio_quality, op3_prefix_join_decontamination, op4_multi_index_simhash, op5_compression_toxicity, op6_minhash_license_scan, op7_segment_tree_token_counts, op8_regression_url_filter, op9_feistel_shards, op10_fair_queue_mix, op11_sparse_diagonal_runs, op12_count_min_substring_dedup, op13_ball_tree_search)}
 
 SQL: dict[str, str] = {}
 SQL["op10_fair_queue_mix"] = r"""
@@ -113,3 +153,26 @@ h AS (SELECT id, count(DISTINCT license) AS n, string_agg(DISTINCT license, ','
 SELECT s.id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_licenses, coalesce(l, '') AS licenses, coalesce(b, 0)::DOUBLE AS best_share
 FROM s LEFT JOIN h ON h.id = s.id WHERE s.kind = 'd'
 """
+
+SQL["op12_count_min_substring_dedup"] = r"""
+WITH s AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+p AS (SELECT doc_id, array_to_string(w[i : i + 19], ' ') AS win, i FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM s)),
+f AS (SELECT doc_id, i, min(struct_pack(d := doc_id, i := i)) OVER (PARTITION BY win) AS first FROM p),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS pos FROM f WHERE first.d <> doc_id OR first.i <> i),
+c AS (SELECT doc_id, list(pos) AS gone FROM g GROUP BY doc_id)
+SELECT s.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, j: gone IS NULL OR NOT list_contains(gone, j)), ' ')) AS kept_sha256
+FROM s LEFT JOIN c ON c.doc_id = s.doc_id
+"""
+
+SQL["op13_ball_tree_search"] = r"""
+WITH x AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+s AS (SELECT kind, id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), []) AS t FROM x),
+q AS (SELECT id AS item_id, term, count(*) AS times FROM (SELECT id, unnest(t) AS term FROM s WHERE kind = 'b') GROUP BY 1, 2),
+g AS (SELECT count(*) AS n_docs, sum(len(t)) AS total FROM s WHERE kind = 'd' AND len(t) > 0),
+f AS (SELECT id AS doc_id, n, term, count(*) AS tf FROM (SELECT id, len(t) AS n, unnest(t) AS term FROM s WHERE kind = 'd') WHERE term IN (SELECT term FROM q) GROUP BY 1, 2, 3),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM f, g GROUP BY term),
+v AS (SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // total)) AS x FROM f, g),
+p AS (SELECT item_id, doc_id, sum(times * w * x)::BIGINT AS score FROM q JOIN w USING (term) JOIN v USING (term) GROUP BY 1, 2)
+SELECT item_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM p WHERE score > 0) WHERE rank <= 20
+"""
