@@ -17,6 +17,8 @@ from .common import internal, materialize
 
 #: Documents of one ball tree, and of one leaf.
 TREE_DOCS, LEAF_DOCS = 4096, 16
+#: Groups of terms, each with a radius of its own.
+TERM_GROUPS = 1024
 #: Bytes of item texts that are searched for in one pass: bounds what is broadcast. More items are dealt into more passes.
 PASS_BYTES = 16 << 20
 #: A bound is raised by this share and by one, over a thousand times what sums of doubles can lose here.
@@ -46,10 +48,15 @@ class Items:
 
 
 class Tree:
-    """A ball tree over sparse rows (begins, cols, vals), each ball with a centroid's products with all items and a radius."""
+    """A ball tree over sparse rows (begins, cols, vals), each ball with its centroid's products with all items and radii.
 
-    def __init__(self, begins: np.ndarray, cols: np.ndarray, vals: np.ndarray, n_terms: int, items: tuple[np.ndarray, np.ndarray, np.ndarray], leaf: int = LEAF_DOCS):
+    Terms are dealt into groups, and a ball has a radius in each: an item of a few dozen terms meets the radii of its own
+    groups alone. One radius over thousands of terms would be so great that it rules nothing out.
+    """
+
+    def __init__(self, begins: np.ndarray, cols: np.ndarray, vals: np.ndarray, n_terms: int, items: tuple[np.ndarray, np.ndarray, np.ndarray], leaf: int = LEAF_DOCS, groups: int = TERM_GROUPS):
         self.begins, self.cols, self.vals, self.n_terms, self.leaf = begins, cols, vals.astype(np.float64), n_terms, leaf
+        self.groups = max(1, min(groups, n_terms))
         self.item_begins, self.item_cols, self.item_weights = items
         self.squares = self._sums(self.vals**2, begins)
         self.docs, self.children, self.products, self.radii = [], [], [], []
@@ -72,30 +79,35 @@ class Tree:
     def _ball(self, docs: np.ndarray) -> int:
         begins, cols, vals = self.rows(docs)
         center = np.bincount(cols, weights=vals, minlength=self.n_terms) / len(docs)
-        away = np.maximum(self.squares[docs] - 2 * self._sums(center[cols] * vals, begins) + center @ center, 0)
+        cell = np.repeat(np.arange(len(docs)) * self.groups, np.diff(begins)) + cols % self.groups
+        by_group = lambda values: np.bincount(cell, weights=values, minlength=len(docs) * self.groups).reshape(len(docs), self.groups)
+        own = np.bincount(np.arange(self.n_terms) % self.groups, weights=center**2, minlength=self.groups)
+        away = by_group(vals * (vals - 2 * center[cols]))
         number = len(self.radii)
         self.docs.append(docs)
         self.children.append(())
         self.products.append(self._sums(center[self.item_cols] * self.item_weights, self.item_begins))
-        # a difference of squares loses digits: the radius is raised by what the greatest of them can lose
-        self.radii.append(math.sqrt(float(away.max()) + 1e-9 * float(self.squares[docs].max() + center @ center)))
+        # a difference of squares loses digits: radii are raised by more than the greatest of them can lose
+        self.radii.append(np.sqrt(np.maximum(away.max(axis=0) + own, 0) + SAFE * (by_group(vals**2).max(axis=0) + own)))
         if len(docs) > self.leaf:
             one, other = (np.zeros(self.n_terms) for _ in range(2))
-            far = int(np.argmax(away))
+            far = int(np.argmax(away.sum(axis=1)))
             one[cols[begins[far] : begins[far + 1]]] = vals[begins[far] : begins[far + 1]]
             from_one = self.squares[docs] - 2 * self._sums(one[cols] * vals, begins)
             far = int(np.argmax(from_one))
             other[cols[begins[far] : begins[far + 1]]] = vals[begins[far] : begins[far + 1]]
             side = np.argsort(self._sums((one - other)[cols] * vals, begins), kind="stable")
             half = len(docs) // 2
-            del cols, vals, one, other
+            del cols, vals, one, other, away, cell
             self.children[number] = (self._ball(docs[np.sort(side[:half])]), self._ball(docs[np.sort(side[half:])]))
         return number
 
     def bounds(self) -> np.ndarray:
         """balls x items: whole numbers that no inner product of a ball's documents with the item exceeds."""
-        norms = np.sqrt(self._sums(self.item_weights.astype(np.float64) ** 2, self.item_begins))
-        return np.floor((np.stack(self.products) + np.array(self.radii)[:, None] * norms) * (1 + SAFE)) + 1
+        of = np.repeat(np.arange(len(self.item_begins) - 1), np.diff(self.item_begins))
+        squares = np.bincount(of * self.groups + self.item_cols % self.groups, weights=self.item_weights.astype(np.float64) ** 2, minlength=(len(self.item_begins) - 1) * self.groups)
+        norms = np.sqrt(squares.reshape(-1, self.groups))
+        return np.floor((np.stack(self.products) + np.stack(self.radii) @ norms.T) * (1 + SAFE)) + 1
 
 
 def _searched(tree: Tree, keys: list, exact: np.ndarray, best: list[list], top: int, bound: np.ndarray) -> int:
@@ -225,8 +237,8 @@ def search(docs: DataFrame, items: DataFrame, top: int = 20, pass_bytes: int = P
 
     A score is an inner product: of an item's weights and a document's whole numbers, over the items' terms alone, as no
     other term scores. Every task builds ball trees over its documents and searches each for all items, best ball first;
-    a ball whose bound, centroid's product plus radius times the item's length, rounded up, is below the item's present
-    last place holds nothing better. Leaves are scored in whole numbers. Each task gives its own best, and those of all
+    a ball whose bound, centroid's product plus radii times the item's lengths by group of terms, rounded up, is below the
+    item's present last place holds nothing better. Leaves are scored in whole numbers. Each task gives its own best, and those of all
     tasks are ranked for each item. Items come in passes of up to pass_bytes of text, so what is broadcast is bounded.
 
     Null and empty texts have no terms: such a document is never found, such an item finds nothing. Every row of items is
