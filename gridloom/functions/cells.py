@@ -6,19 +6,79 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Milliseconds of a day, and days from the epoch of 1900 to that of 1904.
+DAY, LATER_EPOCH = 86_400_000, 1462
+#: Serial numbers of dates that have a text: up to the end of the year 9999.
+LAST_DAY = 2_958_465
+
+
+def number_text(number: Column) -> Column:
+    """The text of a double: whole numbers without a fraction, others by the fewest digits that read back as the same
+    number, with an exponent below 0.0001 (`1e-12`). Whole numbers beyond 4e37 keep the engine's own text."""
+    whole = number == F.rint(number)
+    # two exact halves: a cast of the double itself would go through its shortest text
+    half = F.lit(float(1 << 62))
+    high = F.floor(F.abs(number) / half)
+    low = F.abs(number) - high.cast("double") * half
+    exact = high.cast("decimal(38,0)") * F.lit(1 << 62).cast("decimal(38,0)") + low.try_cast("bigint").cast("decimal(38,0)")
+    large = F.concat(F.when(number < 0, "-").otherwise(""), exact.try_cast("decimal(38,0)").cast("string"))
+    own = number.cast("string")
+    plain = F.regexp_replace(F.regexp_replace(own.try_cast("decimal(38,21)").cast("string"), r"0+$", ""), r"\.$", "")
+    power = F.regexp_extract(own, r"E-(\d+)$", 1)
+    small = F.concat(F.regexp_replace(F.substring_index(own, "E", 1), r"\.0$", ""), F.lit("e-"), F.when(F.length(power) < 2, F.concat(F.lit("0"), power)).otherwise(power))
+    told = F.when(whole & (F.abs(number) < 1e15), number.try_cast("bigint").cast("string")).when(whole & (F.abs(number) < 4e37), large)
+    return F.coalesce(told.when(F.abs(number) < 1e-4, small).when(whole, own).otherwise(plain), own)
+
+
+def _clock(ms: Column, hours: int) -> Column:
+    """h:mm:ss of milliseconds of a day, with six digits of a fraction if there is one."""
+    two = lambda x, n=2: F.lpad(x.cast("string"), n, "0")
+    part = lambda unit, most: F.floor(ms / unit) % most
+    hour = two(F.floor(ms / 3_600_000)) if hours == 2 else F.floor(ms / 3_600_000).cast("string")
+    fraction = F.when(ms % 1000 == 0, "").otherwise(F.concat(F.lit("."), two(ms % 1000, 3), F.lit("000")))
+    return F.concat(hour, F.lit(":"), two(part(60_000, 60)), F.lit(":"), two(part(1000, 60)), fraction)
+
+
+def serial_text(number: Column, later_epoch: Column) -> Column:
+    """The text of a serial date: `yyyy-MM-dd`, with ` HH:mm:ss` unless it is midnight, or `HH:mm:ss` below one day.
+
+    Days count from the end of 1899, or from 1904; the first one counts a 29 February 1900, which never was, so serials
+    below 60 are a day short. Times are rounded to milliseconds. Null for what has no date of four digits.
+    """
+    from_1900 = number + F.when(later_epoch, F.lit(float(LATER_EPOCH))).otherwise(F.lit(0.0))
+    days = from_1900 + F.when(from_1900 < 60, F.lit(1.0)).otherwise(F.lit(0.0))
+    ms = F.when((days >= 0) & (days < LAST_DAY + 1), F.round(days * DAY)).try_cast("bigint")
+    date = F.date_add(F.lit("1899-12-30").cast("date"), F.floor(ms / DAY).cast("int")).cast("string")
+    clock = _clock(ms % DAY, 2)
+    return F.when(number < 1, clock).when(number == F.floor(number), date).otherwise(F.concat(date, F.lit(" "), clock))
+
+
+def elapsed_text(number: Column) -> Column:
+    """The text of a span of days: `h:mm:ss`, from a day on `2 days, h:mm:ss`; a negative one has negative days and time beyond them."""
+    ms = F.when(F.abs(number) < 1e9, F.round(number * DAY)).try_cast("bigint")
+    days = F.floor(ms / DAY)
+    named = F.when(days == 0, "").otherwise(F.concat(days.cast("string"), F.when(F.abs(days) == 1, " day, ").otherwise(" days, ")))
+    return F.concat(named, _clock(ms - days * DAY, 1))
+
+
 def cell_text(value: Column, kind: Column) -> Column:
-    """The text of a cell from what it holds (string) and its kind: `b` boolean, `n` number, else text.
+    """The text of a cell from what it holds (string) and its kind.
 
-    Booleans are `true` and `false`; whole numbers have no fraction, other ones their shortest plain form; empty texts
-    are null; all else stays as it is, not trimmed.
+    `b` boolean: `true` and `false`; `n` number (number_text); `d` and `d4` serial date from 1900 and 1904 (serial_text);
+    `e` span of time (elapsed_text); `i` ISO date, whose `T` becomes a space; all else is text and stays as it is, not
+    trimmed. Empty texts are null, what can't be read as its kind stays text.
     """
-    number = value.try_cast("double")
-    whole = (number == F.floor(number)) & (F.abs(number) < 1e15)
-    short = F.regexp_replace(F.regexp_replace(number.cast("decimal(38,10)").cast("string"), r"0+$", ""), r"\.$", "")
-    plain = F.when(whole, number.cast("decimal(38,0)").cast("string")).otherwise(short)
+    number = F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
+    number = F.when(F.abs(number) < float("inf"), number)
     truth = F.when(F.lower(value).isin("1", "true"), "true").otherwise("false")
-    told = F.when(kind == "b", truth).when((kind == "n") & number.isNotNull(), plain).otherwise(value)
-    return F.when(value == "", F.lit(None).cast("string")).otherwise(told)
+    told = (
+        F.when(kind == "b", truth)
+        .when((kind == "n") & number.isNotNull(), number_text(number))
+        .when(kind.isin("d", "d4") & number.isNotNull(), F.coalesce(serial_text(number, kind == "d4"), number_text(number)))
+        .when((kind == "e") & number.isNotNull(), F.coalesce(elapsed_text(number), number_text(number)))
+        .when(kind == "i", F.regexp_replace(value, r"^(\d{4}-\d{2}-\d{2})T", "$1 "))
+    )
+    return F.when(value == "", F.lit(None).cast("string")).otherwise(F.coalesce(told, value))
 
 
 def header_names(cells: Column) -> Column:

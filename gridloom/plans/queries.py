@@ -420,10 +420,42 @@ def file_landing(spark, sf):
     orders.select("o_orderstatus", "o_orderkey").write.option("maxRecordsPerFile", 1_000_000).partitionBy("o_orderstatus").csv(folder)
     orders.select(F.col("o_orderkey").cast("string")).write.mode("append").text(folder)
     lines = F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 1
-    found = grids.landing(spark, folder, ".csv").select(F.regexp_extract("path", "o_orderstatus=([^/]*)", 1).alias("o_orderstatus"), "file_name", lines.alias("n"))
+    found = grids.landing(spark, folder, ".csv", recursive=True).select(F.regexp_extract("path", "o_orderstatus=([^/]*)", 1).alias("o_orderstatus"), "file_name", lines.alias("n"))
     return found.groupBy("o_orderstatus").agg(F.sum("n").alias("n_lines"), F.bool_and(F.endswith("file_name", F.lit(".csv"))).alias("only_wanted"))
 
 
+@query("SELECT 'LINES.CSV' AS file_name, count(*) AS n_lines FROM {orders} WHERE o_orderstatus = 'F'")
+def folder_landing(spark, sf):
+    """One status of the orders landed in a folder, another in a folder below; the lines in what the one folder has."""
+    folder = shared(spark)
+    orders = table(spark, sf, "orders").select("o_orderstatus", F.col("o_orderkey").cast("string").alias("value"))
+    for status, below in (("F", ""), ("O", "/below")):
+        orders.where(F.col("o_orderstatus") == status).select("value").write.mode("append").option("lineSep", "\n").text(folder + below)
+    sinks.renamed_files(spark, folder, ".txt", ".CSV")
+    lines = F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 1
+    return grids.landing(spark, folder, ".csv").agg(F.lit("LINES.CSV").alias("file_name"), F.sum(lines).alias("n_lines"))
+
+
+EPOCH = "CAST(date_diff('day', DATE '1899-12-30', CAST(o_orderdate AS DATE)) AS STRING)"
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 06:00:00' WHEN 2 THEN '12:00:00' WHEN 3 THEN CAST(o_orderkey % 300 AS STRING) || ' days, 18:00:00'
+  ELSE CAST(o_orderkey AS STRING) || '.1' END AS cell FROM {orders} WHERE o_orderkey % 5 <> 3 OR o_orderkey % 300 > 1""")
+def cell_dates(spark, sf):
+    """The orders' dates as cells of a workbook with number formats, in both epochs, decoded to their texts."""
+    k = F.col("o_orderkey")
+    days = F.datediff("o_orderdate", F.lit("1899-12-30"))
+    kind = F.when(k % 5 == 3, "e").when(k % 5 == 4, "n").otherwise(F.when(k % 2 == 0, "d").otherwise("d4"))
+    own = days - F.when(kind == "d4", 1462).otherwise(0)
+    raw = F.when(k % 5 == 0, own.cast("string")).when(k % 5 == 1, F.concat(own.cast("string"), F.lit(".25"))).when(k % 5 == 2, "0.5").when(k % 5 == 3, F.concat((k % 300).cast("string"), F.lit(".75"))).otherwise(F.concat(k.cast("string"), F.lit(".1")))
+    rows = table(spark, sf, "orders").where((k % 5 != 3) | (k % 300 > 1))
+    cells = F.array(F.struct(F.lit("s").alias("kind"), k.cast("string").alias("value")), F.struct(kind.alias("kind"), raw.alias("value")))
+    at = F.floor(k / 4_000_000).cast("string")
+    books = rows.select(F.concat_ws("-", F.lit("Book"), kind, at).alias("file_name"), F.lit("All").alias("sheet_tab_name"), F.row_number().over(Window.partitionBy(kind, at).orderBy(k)).cast("long").alias("row_idx"), cells.alias("cells"))
+    found = grids.text_grid(grids.decode_grids(grids.encode_grids(books)))
+    return found.select(F.col("cells")[0].cast("long").alias("o_orderkey"), F.col("cells")[1].alias("cell"))
+
+
 @query("""SELECT o_orderkey, v AS raw, CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN (CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END) WHEN 2 THEN CAST(o_orderkey AS STRING) WHEN 3 THEN CAST(o_orderkey AS STRING) || '.5' ELSE ' x ' END AS cell
 FROM (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN '' WHEN 1 THEN CAST(o_orderkey % 2 AS STRING) WHEN 2 THEN CAST(o_orderkey AS STRING) || '.0' WHEN 3 THEN CAST(o_orderkey AS STRING) || '.50' ELSE ' x ' END AS v FROM {orders}) a""".replace("o_orderkey % 2 = 0 THEN 'true' ELSE 'false'", "o_orderkey % 2 = 1 THEN 'true' ELSE 'false'"))
 def cell_canonical(spark, sf):
@@ -648,6 +680,17 @@ def latest_partition(spark, sf):
     return grids.latest_partition(read, ["y", "m"]).select("o_orderkey", "o_orderpriority")
 
 
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y/%m/%d') AS folder FROM {orders} WHERE CAST(o_orderdate AS DATE) = (SELECT max(CAST(o_orderdate AS DATE)) FROM {orders})")
+def newest_folder(spark, sf):
+    """The orders in folders by year, month and day; those of the newest folder, found without scanning any other."""
+    base, at = shared(spark), F.col("o_orderdate")
+    orders = table(spark, sf, "orders").select("o_orderkey", *[F.date_format(at, p).alias(n) for n, p in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))])
+    orders.repartition("year", "month").write.partitionBy("year", "month", "day").parquet(base)
+    newest = grids.newest_folder(spark, base, "hourly")
+    folder = "/".join(part.split("=")[1] for part in newest.split("/")[-3:])
+    return spark.read.parquet(newest).select("o_orderkey", F.lit(folder).alias("folder"))
+
+
 @query("""SELECT row_number() OVER (ORDER BY s_suppkey) + 1 AS row_idx, CAST(s_suppkey AS STRING) || '/' || s_name AS cells FROM {supplier}
 UNION ALL SELECT 0, 'Suppliers' FROM (SELECT count(*) FROM {supplier}) a UNION ALL SELECT 1, 's_suppkey/s_name' FROM (SELECT count(*) FROM {supplier}) b""")
 def export_grid(spark, sf):

@@ -6,12 +6,16 @@ files and tabs of a run are one DataFrame.
 
 from __future__ import annotations
 
+import functools
 import io
+import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,19 +23,64 @@ from ..functions.cells import cell_text, header_names
 
 GRID = "file_name string, sheet_tab_name string, row_idx bigint, cells array<string>"
 RAW = "file_name string, sheet_tab_name string, row_idx bigint, cells array<struct<kind:string,value:string>>, error string"
+_RAW = pa.schema([("file_name", pa.string()), ("sheet_tab_name", pa.string()), ("row_idx", pa.int64()), ("cells", pa.list_(pa.struct([("kind", pa.string()), ("value", pa.string())]))), ("error", pa.string())])
 HEADER_ROW, DATA_ROW = 1, 2
 NO_RESULTS = "report status"
 #: How many levels of dated folders count, by frequency.
 DEPTH = {"monthly": 1, "daily": 2, "hourly": 3, "minutely": 4, "minutes": 4}
 #: Rows of a sheet that one workbook takes at most; a longer sheet goes into more of them.
 BOOK_ROWS = 100_000
+#: Rows that a decoder hands on at a time, and blocks of a thousand shared texts that it holds unpacked.
+BATCH_ROWS, SHARED_BLOCKS = 2000, 64
 
 
-def landing(spark: SparkSession, folder: str, suffix: str = ".xlsx") -> DataFrame:
-    """The files of a folder, or one file, whose name ends in the suffix whatever its case: file_name, path, length, content."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.where(F.lower("path").endswith(suffix)).select(name.alias("file_name"), "path", "length", "content")
+def _any_case(suffix: str) -> str:
+    """A glob for names with a suffix, whatever its case."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
+
+
+def landing(spark: SparkSession, folder: str, suffix: str = ".xlsx", recursive: bool = False) -> DataFrame:
+    """The files of one folder whose name ends in the suffix, whatever its case: file_name, path, length, content.
+
+    folder may also be one file, whatever its name. Names are matched on listing, so other files are never opened, and
+    folders below aren't listed unless recursive. A folder without such files gives no rows; one that isn't there raises.
+    """
+    files = spark.read.format("binaryFile")
+    plain = re.sub(r"([{}\[\]*?\\])", r"\\\1", folder.rstrip("/"))
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.getFileStatus(at).isFile():
+        files = files.load(plain)
+    elif recursive:
+        files = files.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{_any_case(suffix)}").load(plain)
+    else:
+        wanted = f"{plain}/*{_any_case(suffix)}"
+        there = any(s.isFile() for s in system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(wanted)))
+        files = files.load(wanted) if there else spark.createDataFrame([], "path string, length long, content binary")
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", "length", "content")
+
+
+def newest_folder(spark: SparkSession, base: str, frequency: str = "hourly", seen: list[str] | None = None) -> str:
+    """The newest dated folder below base: of its levels, as many as the frequency has, always the greatest name.
+
+    Goes down the greatest names through the file system, one listing for each level; other years and months are neither
+    listed nor scanned. An empty folder is passed over for the one before it. Nothing below base: base itself. seen: takes
+    the folders that were listed.
+    """
+    jvm = spark._jvm
+    system = jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def down(at: str, level: int) -> str | None:
+        if seen is not None:
+            seen.append(at)
+        found = list(system.listStatus(jvm.org.apache.hadoop.fs.Path(at)))
+        if level:
+            for name in sorted((s.getPath().getName() for s in found if s.isDirectory()), key=lambda n: n + "/", reverse=True):
+                if below := down(f"{at}/{name}", level - 1):
+                    return below
+        return at if found else None
+
+    return down(base.rstrip("/"), DEPTH.get(frequency.lower(), 2)) or base.rstrip("/")
 
 
 def latest_partition(df: DataFrame, columns: list[str], frequency: str | None = None) -> DataFrame:
@@ -52,82 +101,196 @@ def decode_grids(files: DataFrame) -> DataFrame:
     """The grids of files (file_name, content), one file in a task at a time, and what can't be read as a row with error.
 
     Cells keep their kind; leading empty rows and columns are skipped, the order of tabs is the workbook's. first_row, if
-    the files have that column, is the place of a workbook's first row in its sheet.
+    the files have that column, is the place of a workbook's first row in its sheet. Sheets are parsed as streams, once to
+    find where they begin (and whether they can be read to their end), once for their rows, which are handed on a few
+    thousand at a time: a task's memory grows with the packed file, not with the rows in it.
     """
     placed = files if "first_row" in files.columns else files.withColumn("first_row", F.lit(0))
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, content, first in zip(batch["file_name"], batch["content"], batch["first_row"], strict=True):
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _RAW.types, strict=True)], schema=_RAW)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for files in batches:
+            for i in range(files.num_rows):
+                name, content, first = (files.column(c)[i].as_py() for c in range(3))
                 try:
-                    rows = [(name, tab, first + i, cells, None) for tab, grid in _workbook(content) for i, cells in enumerate(grid)]
-                except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, ValueError) as e:
-                    rows = [(name, None, None, None, f"Workbook could not be read - {e}")]
-                yield pd.DataFrame(rows, columns=["file_name", "sheet_tab_name", "row_idx", "cells", "error"])
+                    for tab, rows in workbook(content):
+                        done = []
+                        for at, cells in rows:
+                            done.append((name, tab, first + at, cells, None))
+                            if len(done) == BATCH_ROWS:
+                                yield batch(done)
+                                done = []
+                        if done:
+                            yield batch(done)
+                except UNREADABLE as e:
+                    yield batch([(name, None, None, None, f"Workbook could not be read - {e}")])
+
+    return placed.select("file_name", "content", F.col("first_row").cast("long").alias("first_row")).mapInArrow(decode, RAW)
+
+
+_MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+UNREADABLE = (zipfile.BadZipFile, KeyError, IndexError, ElementTree.ParseError, ValueError, zlib.error, EOFError, NotImplementedError, RuntimeError)
+# The numbers of built-in formats that are dates or times, and of the one that is a span of time.
+DATE_FORMATS, ELAPSED_FORMAT = (*range(14, 23), 45, 47), 46
 
-    return placed.select("file_name", "content", F.col("first_row").cast("long").alias("first_row")).mapInPandas(decode, RAW)
 
+def format_kind(code: str) -> str:
+    """What a number format makes of a number, by its first section: `d` date or time, `e` elapsed time, `n` number."""
+    shown = re.sub(r'"[^"]*"?|\\.|_.|\*.', "", code).split(";")[0]
+    if re.search(r"\[(h+|m+|s+)\]", shown, re.IGNORECASE):
+        return "e"
+    return "d" if re.search(r"[dmyhs]", re.sub(r"\[[^\]]*\]|general", "", shown, flags=re.IGNORECASE), re.IGNORECASE) else "n"
 
-_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
+def _styles(z: zipfile.ZipFile) -> list[str]:
+    """The kind of a number for each cell style of a workbook."""
+    if "xl/styles.xml" not in z.namelist():
+        return []
+    root = ElementTree.fromstring(z.read("xl/styles.xml"))
+    own = {int(f.get("numFmtId", -1)): format_kind(f.get("formatCode", "")) for f in root.iterfind(f"{_MAIN}numFmts/{_MAIN}numFmt")}
+    built_in = dict.fromkeys(DATE_FORMATS, "d") | {ELAPSED_FORMAT: "e"}
+    return [(built_in | own).get(int(x.get("numFmtId", 0)), "n") for x in root.iterfind(f"{_MAIN}cellXfs/{_MAIN}xf")]
 
-def _workbook(content: bytes) -> Iterator[tuple[str, list[list[dict | None]]]]:
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        parse = lambda name: ElementTree.fromstring(z.read(name))
-        shared = []
+
+class _SharedStrings:
+    """A workbook's shared texts, packed a thousand at a time; no text has a NUL."""
+
+    def __init__(self, z: zipfile.ZipFile):
+        self.packed: list[bytes] = []
+        self.unpacked = functools.lru_cache(SHARED_BLOCKS)(lambda k: zlib.decompress(self.packed[k]).decode("utf-8", "surrogatepass").split("\0"))
+        block: list[str] = []
         if "xl/sharedStrings.xml" in z.namelist():
-            shared = ["".join(t.text or "" for t in si.iterfind(".//m:t", _NS)) for si in parse("xl/sharedStrings.xml").iterfind("m:si", _NS)]
-        targets = {r.get("Id"): r.get("Target", "").lstrip("/").removeprefix("xl/") for r in parse("xl/_rels/workbook.xml.rels")}
-        for sheet in parse("xl/workbook.xml").iterfind("m:sheets/m:sheet", _NS):
-            yield sheet.get("name", ""), _cells(parse("xl/" + targets[sheet.get(_REL)]), shared)
+            for item in _elements(z, "xl/sharedStrings.xml", f"{_MAIN}si"):
+                block.append("".join(t.text or "" for t in item.iter(f"{_MAIN}t")))
+                if len(block) == 1000:
+                    self._pack(block)
+                    block = []
+        self._pack(block)
+
+    def _pack(self, block: list[str]) -> None:
+        self.packed.append(zlib.compress("\0".join(block).encode("utf-8", "surrogatepass"), 1))
+
+    def __getitem__(self, i: int) -> str:
+        if not 0 <= i < 1000 * len(self.packed):
+            raise IndexError(f"no shared text {i}")
+        return self.unpacked(i // 1000)[i % 1000]
+
+
+def _elements(z: zipfile.ZipFile, name: str, tag: str) -> Iterator[ElementTree.Element]:
+    """The elements of a tag below the root or below one of its children, each dropped when the next is asked for."""
+    path: list[ElementTree.Element] = []
+    with z.open(name) as stream:
+        for event, element in ElementTree.iterparse(stream, ("start", "end")):
+            if event == "start":
+                path.append(element)
+                continue
+            path.pop()
+            if element.tag == tag:
+                yield element
+                path[-1].clear()
+
 
+def workbook(content: bytes) -> Iterator[tuple[str, Iterator[tuple[int, list[dict | None]]]]]:
+    """(tab, rows) of a workbook's tabs in order; rows are (place, cells), from the first row and column that hold something.
 
-def _cells(sheet: ElementTree.Element, shared: list[str]) -> list[list[dict | None]]:
-    found: dict[int, dict[int, dict]] = {}
-    for r, row in enumerate(sheet.iterfind("m:sheetData/m:row", _NS)):
-        at = int(row.get("r", r + 1)) - 1
-        for c, cell in enumerate(row.iterfind("m:c", _NS)):
-            letters = "".join(x for x in cell.get("r", "") if x.isalpha())
-            column = c
+    All sheets are gone through once before the first row is given, so a workbook that breaks off gives none.
+    """
+    with zipfile.ZipFile(io.BytesIO(content)) as z:
+        parse = lambda name: ElementTree.fromstring(z.read(name))
+        shared, styles, book = _SharedStrings(z), _styles(z), parse("xl/workbook.xml")
+        later = book.find(f"{_MAIN}workbookPr")
+        if later is not None and later.get("date1904", "0").lower() in ("1", "true"):
+            styles = ["d4" if kind == "d" else kind for kind in styles]
+        targets = {r.get("Id"): r.get("Target", "").lstrip("/").removeprefix("xl/") for r in parse("xl/_rels/workbook.xml.rels")}
+        sheets = [(s.get("name", ""), "xl/" + targets[s.get(_REL)]) for s in book.iterfind(f"{_MAIN}sheets/{_MAIN}sheet")]
+        corners = []
+        for _, part in sheets:
+            top, left = None, 0
+            for at, row in _sheet_rows(z, part, shared, styles):
+                top, left = (at, min(row)) if top is None else (min(top, at), min(left, *row))
+            corners.append((top, left))
+        for (tab, part), (top, left) in zip(sheets, corners, strict=True):
+            if top is not None:
+                yield tab, _placed(_sheet_rows(z, part, shared, styles), top, left)
+
+
+def _placed(rows: Iterator[tuple[int, dict[int, dict]]], top: int, left: int) -> Iterator[tuple[int, list[dict | None]]]:
+    """Rows with their cells in a list; rows that are missing in between are empty."""
+    expected = top
+    for at, row in rows:
+        yield from ((i - top, []) for i in range(expected, at))
+        yield at - top, [row.get(c) for c in range(left, max(row) + 1)]
+        expected = max(expected, at + 1)
+
+
+def _sheet_rows(z: zipfile.ZipFile, part: str, shared: _SharedStrings, styles: list[str]) -> Iterator[tuple[int, dict[int, dict]]]:
+    """(place, cells by column) of a sheet's rows that hold something, in the order of the file."""
+    after = 0
+    for row in _elements(z, part, f"{_MAIN}row"):
+        at = int(row.get("r", after + 1)) - 1
+        after, found, column = at + 1, {}, -1
+        for cell in row.iterfind(f"{_MAIN}c"):
+            letters, column = cell.get("r", "").rstrip("0123456789"), column + 1
             if letters:
-                column = -1
-                for x in letters:
-                    column = 26 * (column + 1) + ord(x.upper()) - ord("A")
-            kind, v = cell.get("t", "n"), cell.find("m:v", _NS)
+                column = functools.reduce(lambda n, x: 26 * n + ord(x) - ord("A") + 1, letters.upper(), 0) - 1
+            kind, v = cell.get("t", "n"), cell.find(f"{_MAIN}v")
             if kind == "inlineStr":
-                value = {"kind": "s", "value": "".join(t.text or "" for t in cell.iterfind(".//m:t", _NS))}
-            elif v is None or v.text is None:
-                continue
-            else:
-                value = {"kind": "s", "value": shared[int(v.text)]} if kind == "s" else {"kind": kind if kind in ("b", "n") else "s", "value": v.text}
-            found.setdefault(at, {})[column] = value
-    if not found:
-        return []
-    left = min(c for row in found.values() for c in row)
-    return [[found.get(i, {}).get(c) for c in range(left, max(found[i]) + 1)] if i in found else [] for i in range(min(found), max(found) + 1)]
+                found[column] = {"kind": "s", "value": "".join(t.text or "" for t in cell.iter(f"{_MAIN}t"))}
+            elif v is not None and v.text is not None:
+                if kind == "s":
+                    found[column] = {"kind": "s", "value": shared[int(v.text)]}
+                elif kind == "n":
+                    style = int(cell.get("s", 0))
+                    found[column] = {"kind": styles[style] if style < len(styles) else "n", "value": v.text}
+                else:
+                    found[column] = {"kind": {"b": "b", "d": "i"}.get(kind, "s"), "value": v.text}
+        if found:
+            yield at, found
+
+
+#: The number formats that a workbook of ours has, by the kind of cell that they make.
+OWN_FORMATS = {"d": 22, "e": ELAPSED_FORMAT}
 
 
 def encode_grids(grid: DataFrame, book_rows: int = BOOK_ROWS) -> DataFrame:
-    """Workbooks (file_name, first_row, content) of grids of texts: the inverse of decode_grids.
+    """Workbooks (file_name, first_row, content) of grids: the inverse of decode_grids.
 
-    Each has one tab, and of that `book_rows` rows at most, so no task gets more of a long sheet.
+    Cells are texts, or structs of kind and value as decode_grids gives them. Each workbook has one tab, and of that
+    `book_rows` rows at most, so no task gets more of a long sheet. Dates of a workbook are all of one epoch: if any cell
+    is of kind `d4`, that of 1904.
     """
 
     def encode(rows: pd.DataFrame) -> pd.DataFrame:
         esc = lambda x: x.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").replace('"', "&quot;")
         main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+        styles, epochs = ["n", *OWN_FORMATS], set()
+
+        def cell(c: object) -> str:
+            kind, value = ("s", c) if c is None or isinstance(c, str) else (c["kind"], c["value"])
+            epochs.add(kind)
+            if value is None:
+                return "<c/>"
+            if kind in ("n", "d", "d4", "e"):
+                return f'<c s="{styles.index(kind.rstrip("4"))}"><v>{value}</v></c>'
+            if kind in ("b", "i"):
+                return f'<c t="{"b" if kind == "b" else "d"}"><v>{esc(value)}</v></c>'
+            return f'<c t="inlineStr"><is><t xml:space="preserve">{esc(value)}</t></is></c>'
+
         tabs, first = sorted(set(rows["sheet_tab_name"])), int(rows["_part"].iloc[0]) * book_rows
         out = io.BytesIO()
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
             for i, tab in enumerate(tabs):
-                body = []
-                for at, cells in sorted(zip(*[rows.loc[rows["sheet_tab_name"] == tab, c] for c in ("row_idx", "cells")], strict=True), key=lambda x: x[0]):
-                    texts = "".join("<c/>" if c is None else f'<c t="inlineStr"><is><t xml:space="preserve">{esc(c)}</t></is></c>' for c in cells)
-                    body.append(f'<row r="{at - first + 1}">{texts}</row>')
-                z.writestr(f"xl/worksheets/sheet{i}.xml", f"<worksheet {main}><sheetData>{''.join(body)}</sheetData></worksheet>")
+                own = rows[rows["sheet_tab_name"] == tab].sort_values("row_idx")
+                body = "".join(f'<row r="{at - first + 1}">{"".join(map(cell, cells))}</row>' for at, cells in zip(own["row_idx"], own["cells"], strict=True))
+                z.writestr(f"xl/worksheets/sheet{i}.xml", f"<worksheet {main}><sheetData>{body}</sheetData></worksheet>")
             sheets = "".join(f'<sheet name="{esc(t)}" sheetId="{i + 1}" r:id="r{i}"/>' for i, t in enumerate(tabs))
-            z.writestr("xl/workbook.xml", f"<workbook {main}><sheets>{sheets}</sheets></workbook>")
+            epoch = '<workbookPr date1904="1"/>' if "d4" in epochs else ""
+            z.writestr("xl/workbook.xml", f"<workbook {main}>{epoch}<sheets>{sheets}</sheets></workbook>")
+            formats = "".join(f'<xf numFmtId="{OWN_FORMATS.get(k, 0)}"/>' for k in styles)
+            z.writestr("xl/styles.xml", f'<styleSheet {main}><cellXfs count="{len(styles)}">{formats}</cellXfs></styleSheet>')
             rels = "".join(f'<Relationship Id="r{i}" Target="worksheets/sheet{i}.xml"/>' for i in range(len(tabs)))
             z.writestr("xl/_rels/workbook.xml.rels", f"<Relationships>{rels}</Relationships>")
         return pd.DataFrame({"file_name": [rows["file_name"].iloc[0]], "first_row": [first], "content": [out.getvalue()]})

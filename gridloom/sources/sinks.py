@@ -37,6 +37,14 @@ def write_curated(rows: DataFrame, path: str, time: Column, frequency: str = "da
     rows.withColumns(dated).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*dated).parquet(path)
 
 
+def renamed_files(spark: SparkSession, folder: str, suffix: str, to: str) -> int:
+    """Gives the files of one folder another suffix; how many there were."""
+    jvm = spark._jvm
+    system = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    paths = [s.getPath() for s in system.listStatus(jvm.org.apache.hadoop.fs.Path(folder)) if s.isFile() and s.getPath().getName().endswith(suffix)]
+    return sum(system.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), p.getName()[: -len(suffix)] + to)) for p in paths)
+
+
 def create_table(spark: SparkSession, table: str, schema: str) -> None:
     """An append table, if it isn't there yet."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet")
