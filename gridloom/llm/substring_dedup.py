@@ -23,46 +23,71 @@ PART_BYTES = 8 << 20
 DEPTH, CELLS, BLOCK_BITS = 2, 4, 23
 #: Bytes of a text for a word, about: sizes the sketch.
 WORD_BYTES = 6
-_SEED = (0, 1)
+
+
+#: Odd numbers by which hashes of words are combined, one for each half of a digest.
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def _words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-def _digests(words: list[bytes], window: int) -> np.ndarray:
-    """128 bits for each window of a text, as rows of two numbers."""
-    n = len(words) - window + 1
-    if n <= 0:
-        return np.zeros((0, 2), np.uint64)
-    line, digest = b" ".join(words), xxhash.xxh3_128_digest
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    begins = np.concatenate(([0], ends[:-1] + 1))
-    spans = zip(begins[:n].tolist(), ends[window - 1 :].tolist(), strict=True)
-    return np.frombuffer(b"".join([digest(line[a:b]) for a, b in spans]), np.uint64).reshape(-1, 2)
+def _digests(hashes: np.ndarray, window: int, factor: int) -> np.ndarray:
+    """64 bits for each stretch of `window` numbers: a polynomial in the factor, from stretches of doubling length."""
+    n, at, length = len(hashes) - window + 1, 0, 1
+    done = np.zeros(max(n, 0), np.uint64)
+    power = lambda k: np.uint64(pow(factor, k, 1 << 64))
+    while n > 0 and at < window:
+        if window & length:
+            done += hashes[at : at + n] * power(at)
+            at += length
+        if at < window:
+            hashes, length = hashes[:-length] + hashes[length:] * power(length), 2 * length
+    return done
 
 
 class _Part:
-    """The windows of a part: documents in order of their ids (null last), then of rows; each different window's first place."""
+    """The windows of a part: documents in order of their ids (null last), then of rows; words are split once."""
 
     def __init__(self, part: pa.Table, window: int):
         ids, rows, texts = (part.column(c).to_pylist() for c in ("_id", "_row", "_text"))
-        self.order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] if ids[i] is not None else 0, rows[i]))
-        self.ids, self.rows, self.texts = ids, rows, texts
-        found = [_digests(_words(texts[i]), window) for i in self.order]
+        order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] if ids[i] is not None else 0, rows[i]))
+        self.ids, self.rows = [ids[i] for i in order], [rows[i] for i in order]
+        numbers: dict[bytes, int] = {}
+        found = []
+        for i in order:
+            words = _words(texts[i])
+            new = set(words).difference(numbers)
+            numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
+            found.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+            texts[i] = None
+        self.vocabulary = list(numbers)
         self.sizes = np.array([len(f) for f in found], np.int64)
-        self.begins = np.concatenate(([0], np.cumsum(self.sizes)))
-        self.digests = np.concatenate(found) if found else np.zeros((0, 2), np.uint64)
-        by = np.lexsort((np.arange(len(self.digests)), self.digests[:, 1], self.digests[:, 0]))
-        new = np.ones(len(by), bool)
-        new[1:] = (self.digests[by[1:]] != self.digests[by[:-1]]).any(axis=1)
-        self.first = by[new]  # places of the different windows
-        self.group = np.empty(len(by), np.int64)
-        self.group[by] = np.cumsum(new) - 1
-
-    def cells(self, bits: int) -> list[np.ndarray]:
-        """For each row of the sketch the cells of the different windows."""
-        return [self.digests[self.first, _SEED[d]] >> np.uint64(64 - bits) for d in range(DEPTH)]
+        self.ends = np.cumsum(self.sizes)
+        self.words = np.concatenate(found) if found else np.zeros(0, np.int64)
+        hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, self.vocabulary)), np.uint64).reshape(-1, 2)
+        inside = np.arange(len(self.words)) + window <= np.repeat(self.ends, self.sizes)
+        self.starts = np.flatnonzero(inside)  # places, in all words, where a document's windows start
+        self.digests = [_digests(hashes[self.words, d], window, _FACTORS[d])[self.starts] for d in range(2)]
+
+    def cells(self, bits: int, of: np.ndarray | slice = slice(None)) -> list[np.ndarray]:
+        """For each row of the sketch the cells of windows."""
+        return [self.digests[d][of] >> np.uint64(64 - bits) for d in range(DEPTH)]
+
+    def grouped(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first of each different window, and for every window which of these it equals."""
+        by = np.argsort(self.digests[0], kind="stable")
+        one, other = (d[by] for d in self.digests)
+        same = one[1:] == one[:-1]
+        if (other[1:] != other[:-1])[same].any():  # equal in one half alone
+            by = np.lexsort((self.digests[1], self.digests[0]))
+            one, other = (d[by] for d in self.digests)
+            same = (one[1:] == one[:-1]) & (other[1:] == other[:-1])
+        new = np.concatenate(([True], ~same)) if len(by) else np.zeros(0, bool)
+        group = np.empty(len(by), np.int64)
+        group[by] = np.cumsum(new) - 1
+        return by[new], group
 
 
 def _packed(cells: np.ndarray) -> bytes:
@@ -87,7 +112,8 @@ def part_sketches(parts: DataFrame, bits: int, block_bits: int, window: int) ->
     def sketch(part: pa.Table) -> pa.Table:
         number, rows = part.column("_part")[0].as_py(), []
         for depth, cells in enumerate(_Part(part, window).cells(bits)):
-            cells = np.unique(cells)
+            cells = np.sort(cells)
+            cells = cells[np.concatenate(([True], cells[1:] != cells[:-1]))] if len(cells) else cells
             blocks = (cells >> np.uint64(block_bits)).astype(np.int64)
             edges = np.concatenate(([0], np.flatnonzero(np.diff(blocks)) + 1, [len(cells)])).tolist() if len(cells) else [0]
             for a, b in zip(edges, edges[1:], strict=False):
@@ -126,17 +152,17 @@ def later_windows(parts: DataFrame, estimated: DataFrame, bits: int, block_bits:
         schema = pa.schema([("_k1", pa.int64()), ("_k2", pa.int64()), ("_part", pa.int64()), ("_place", pa.int64()), ("_id", part.schema.field("_id").type), ("_row", pa.int64())])
         if not part.num_rows or not repeats.num_rows:
             return schema.empty_table()
-        own, here = _Part(part, window), None
+        own, number = _Part(part, window), part.column("_part")[0].as_py()
+        first, _ = own.grouped()
         told: list[list[np.ndarray]] = [[] for _ in range(DEPTH)]
         for depth, block, cells in zip(*(repeats.column(c).to_pylist() for c in ("_depth", "_block", "_cells")), strict=True):
             told[depth].append(_unpacked(cells) + (block << block_bits))
-        for depth, cells in enumerate(own.cells(bits)):
-            among = np.isin(cells.astype(np.int64), np.concatenate(told[depth])) if told[depth] else np.zeros(len(cells), bool)
-            here = among if here is None else here & among
-        places = np.sort(own.first[here])
-        docs = [own.order[d] for d in (np.searchsorted(own.begins, places, "right") - 1).tolist()]
-        keys = own.digests[places].view(np.int64)
-        columns = [pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(np.full(len(places), part.column("_part")[0].as_py(), np.int64)), pa.array(places)]
+        here = np.ones(len(first), bool)
+        for among, cells in zip(told, own.cells(bits, first), strict=True):
+            here &= np.isin(cells.astype(np.int64), np.concatenate(among)) if among else False
+        places = np.sort(first[here])
+        docs = np.searchsorted(own.ends, own.starts[places], "right").tolist()
+        columns = [pa.array(d[places].view(np.int64)) for d in own.digests] + [pa.array(np.full(len(places), number, np.int64)), pa.array(places)]
         return pa.Table.from_arrays([*columns, pa.array([own.ids[d] for d in docs], schema.field("_id").type), pa.array([own.rows[d] for d in docs], pa.int64())], schema=schema)
 
     asked = parts.groupBy("_part").cogroup(estimated.groupBy("_part")).applyInArrow(ask, f"_k1 bigint, _k2 bigint, _part bigint, _place bigint, _id {kind}, _row bigint")
@@ -152,21 +178,21 @@ def _kept(parts: DataFrame, later: DataFrame, window: int, kind: str) -> DataFra
     def remove(part: pa.Table, later: pa.Table) -> pa.Table:
         schema = pa.schema([("_row", pa.int64()), ("_id", part.schema.field("_id").type), ("_n", pa.int64()), ("_removed", pa.int64()), ("_kept", pa.string())])
         own = _Part(part, window)
-        again = np.ones(len(own.digests), bool)
-        again[own.first] = False
+        first, group = own.grouped()
+        again = np.ones(len(group), bool)
+        again[first] = False
         if later.num_rows:
-            again |= np.isin(own.group, own.group[later.column("_place").to_numpy()])
+            there = np.zeros(len(first), bool)
+            there[group[later.column("_place").to_numpy()]] = True
+            again |= there[group]
+        covered = np.zeros(len(own.words) + 1, np.int64)
+        covered[own.starts[again]] += 1
+        covered[own.starts[again] + window] -= 1
+        stays = np.cumsum(covered[:-1]) == 0
         rows = []
-        for at, (i, begin, size) in enumerate(zip(own.order, own.begins.tolist(), own.sizes.tolist(), strict=False)):
-            words = _words(own.texts[i])
-            starts = np.flatnonzero(again[begin : begin + size])
-            gone = np.zeros(len(words) + 1, np.int64)
-            np.add.at(gone, starts, 1)
-            np.add.at(gone, starts + window, -1)
-            stays = np.flatnonzero(np.cumsum(gone[:-1]) == 0) if len(starts) else None
-            kept = words if stays is None else [words[j] for j in stays.tolist()]
-            rows.append((own.rows[i], own.ids[i], len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")))
-            own.texts[i] = None
+        for id_, row, begin, end in zip(own.ids, own.rows, (own.ends - own.sizes).tolist(), own.ends.tolist(), strict=True):
+            kept = [own.vocabulary[w] for w in own.words[begin:end][stays[begin:end]].tolist()]
+            rows.append((row, id_, end - begin, end - begin - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")))
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
