@@ -20,7 +20,7 @@ WINDOW = 20
 PART_BYTES = 8 << 20
 #: Rows of the sketch, cells of each for a window, and cells (as a power of two) that are merged in one task. The width
 #: grows with the texts, so that estimates are as good at any size; no task and no message holds a whole sketch.
-DEPTH, CELLS, BLOCK_BITS = 2, 4, 23
+DEPTH, CELLS, BLOCK_BITS = 2, 8, 23
 #: Bytes of a text for a word, about: sizes the sketch.
 WORD_BYTES = 6
 
