@@ -22,6 +22,23 @@ def plan_windows(source: DataFrame, key: str, windows: int, cycle: str) -> DataF
     return plan.select(F.lit(cycle).alias("cycle_id"), F.col("id").cast("int").alias("window_id"), lo.alias("lo"), F.least(lo + width, F.lit(high)).alias("hi"), F.lit(PENDING).alias("status"))
 
 
+def plan_row_windows(source: DataFrame, key: str, rows: int, cycle: str, accuracy: int = 100) -> DataFrame:
+    """Windows of about `rows` rows each, however keys are spread; in the shape of plan_windows.
+
+    Their edges are quantiles of the keys from one mergeable sketch, a few numbers to the driver, exact to a
+    1 / accuracy-th of a window. Rows of one key are never parted, so a key with more rows than that has its own window.
+    """
+    spark = source.sparkSession
+    total, low, high = source.agg(F.count(key), F.min(key), F.max(key)).first()
+    if not total:
+        return spark.createDataFrame([], "cycle_id string, window_id int, lo long, hi long, status string")
+    n = ceil(total / rows)
+    shares = F.array(*[F.lit(i / n) for i in range(1, n)]) if n > 1 else F.array(F.lit(1.0))
+    edges = sorted({x for x in source.agg(F.percentile_approx(key, shares, accuracy * n)).first()[0] if x < high} | {high})
+    lows = [low - 1, *edges[:-1]]
+    return spark.createDataFrame([(cycle, i, lo, hi, PENDING) for i, (lo, hi) in enumerate(zip(lows, edges, strict=True))], "cycle_id string, window_id int, lo long, hi long, status string")
+
+
 def window_of(key: Column, low: int, width: int) -> Column:
     """The window of a key, by arithmetic: no join."""
     return F.floor((key - low) / width).cast("int")

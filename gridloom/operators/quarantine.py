@@ -23,13 +23,18 @@ def process_id(execution_id: Column, file_name: Column, tab: Column) -> Column:
 def error_rows(bad: DataFrame, spec: TabSpec, execution_id: Column, file_name: Column, tab: Column, path: Column, inserted: Column) -> DataFrame:
     """A row of the error table for each rejected row. The record is taken before any column is added; its nulls go."""
     own = [c for c in bad.columns if c not in ("_null", "_type", "_dup")]
-    category = F.regexp_replace("COMMENTS", r"\s*\|\|\s*$", "")
     key = F.concat_ws(" | ", *[F.concat(F.lit(f"{k.name}="), F.col(f"`{k.name}`")) for k in spec.keys]) if spec.keys else F.lit("(no PK configured)")
+    return described(bad, F.lit(spec.table), key, F.to_json(F.struct(*[F.col(f"`{c}`") for c in own])), execution_id, file_name, tab, path, inserted)
+
+
+def described(bad: DataFrame, table: Column, key: Column, record: Column, execution_id: Column, file_name: Column, tab: Column, path: Column, inserted: Column) -> DataFrame:
+    """Rows of the error table from rejected rows with COMMENTS and PK_DERIVED, the text of their key and their record."""
+    category = F.regexp_replace("COMMENTS", r"\s*\|\|\s*$", "")
     made = {
         "process_id": process_id(execution_id, file_name, tab), "execution_id": execution_id, "file_name": file_name,
-        "table_name": F.lit(spec.table), "sheet_tab_name": tab, "file_path": path, "error_category": category,
+        "table_name": table, "sheet_tab_name": tab, "file_path": path, "error_category": category,
         "error_description": F.concat(F.lit(BEFORE), category, F.lit(KEY), key, F.lit(DERIVED), F.col("PK_DERIVED"), F.lit(AFTER)),
-        "pk_value": key, "pk_derived": F.col("PK_DERIVED"), "err_record": F.to_json(F.struct(*[F.col(f"`{c}`") for c in own])),
+        "pk_value": key, "pk_derived": F.col("PK_DERIVED"), "err_record": record,
         "comments": F.col("COMMENTS"), "az_insert_ts": inserted,
     }
     return bad.select(*[made[c].alias(c) for c in ERROR_COLUMNS])

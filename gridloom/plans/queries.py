@@ -369,6 +369,21 @@ def round_trip(spark, sf):
     return second.join(back, same).select("PK_DERIVED", "ORDER_ID", "REGION_ID", *keys)
 
 
+URGENT = f"SELECT * FROM ({CURATED_ORDERS}) c WHERE AZ_INPUT_XLS_TAB_NAME = '1-URGENT' AND FILE_DTTM = (SELECT max(FILE_DTTM) FROM ({CURATED_ORDERS}) d WHERE AZ_INPUT_XLS_TAB_NAME = '1-URGENT')"
+
+
+@query(f"""SELECT md5(CAST(ORDER_ID AS STRING) || '!@~' || coalesce(CAST(REGION_ID AS STRING), '~') || '!@~' || '~') AS PK_DERIVED, ORDER_ID, REGION_ID, DATA, DATA_KEYS, FILE_DTTM FROM (
+  SELECT *, count(*) OVER (PARTITION BY ORDER_ID, REGION_ID) AS n FROM ({URGENT}) u) v WHERE n = 1""")
+def round_trip_file(spark, sf):
+    """The newest batch of a table as a workbook, decoded and ingested again with the prefix and time that it had."""
+    _, curated = flows.ingest_tab(orders_tab(spark, sf), SPEC, ntz())
+    one = curated.where(F.col(fold.TAB_NAME) == "1-URGENT")
+    time = one.agg(F.max(fold.FILE_TIME)).first()[0]
+    books = flows.regenerate_workbook(one, SPEC, "Orders_REGEN_20240201_123000.xlsx", "1-URGENT", "Orders")
+    again = flows.ingest_workbook(books, SPEC, "Orders", time, ntz())[1]
+    return again.select("PK_DERIVED", "ORDER_ID", "REGION_ID", "DATA", "DATA_KEYS", "FILE_DTTM")
+
+
 # ---- grids and batches of tabs --------------------------------------------------------------------------------------
 
 HEADER = ["USER_KEY", " AMOUNT ", "PROPS", "NOTE", "NOTE", ""]
@@ -522,6 +537,95 @@ def reserved_headers(spark, sf):
     return checked.where(F.size("reserved") > 0).select("file_name", "sheet_tab_name", F.concat_ws(",", "reserved").alias("reserved")).distinct()
 
 
+def batch_written(spark, sf, run: str = RUN) -> tuple[str, DataFrame]:
+    """The feed through its tables: where they are, and the control rows."""
+    grid, known = feed_grid(spark, sf), made(spark, sf, REGISTRY)
+    empty = registry.with_specs(grids.tab_counts(grid).where("no_data").withColumn("file_name_prefix", file_meta(F.col("file_name"))["file_name_prefix"]), known)
+    broken = table(spark, sf, "events").agg(F.lit("Broken.xlsx").alias("file_name"), F.lit("Workbook could not be read").alias("error"))
+    base = shared(spark)
+    return base, flows.ingest_tables(grids.promoted(grid), empty, broken, known, base, run, ntz(), F.lit("/landing"))
+
+
+@query(f"""SELECT CASE WHEN sheet_tab_name = 'click' THEN 'feed_click' ELSE 'feed_shared' END AS table_name, file_name, sheet_tab_name, PK_DERIVED, CASE WHEN sheet_tab_name = 'view' THEN CAST(USER_KEY AS BIGINT) END AS USER_ID,
+  CASE WHEN sheet_tab_name = 'purchase' THEN CAST(nullif(trim(USER_KEY), '') AS BIGINT) END AS USER_KEY, DATA FROM ({BATCH_CHECKED}) c WHERE COMMENTS = ''""")
+def batch_tables(spark, sf):
+    """The curated tables of a batch, read back: keys have their types, columns of a table's tabs stand side by side."""
+    base, _ = batch_written(spark, sf)
+    read = lambda t: flows.read_curated(spark, base, t).withColumn("table_name", F.lit(t))
+    rows = read("feed_shared").unionByName(read("feed_click"), allowMissingColumns=True)
+    return rows.select("table_name", F.col(fold.FILE_NAME).alias("file_name"), F.col(fold.TAB_NAME).alias("sheet_tab_name"), "PK_DERIVED", "USER_ID", "USER_KEY", "DATA")
+
+
+@query(f"""SELECT 'feed_shared' AS table_name, file_name, sheet_tab_name, PK_DERIVED AS pk_derived, regexp_replace(COMMENTS, '\\s*\\|\\|\\s*$', '') AS error_category, coalesce((CASE WHEN sheet_tab_name = 'view' THEN 'USER_ID=' ELSE 'USER_KEY=' END) || USER_KEY, '') AS pk_value
+FROM ({BATCH_CHECKED}) c WHERE COMMENTS <> ''""")
+def batch_error_rows(spark, sf):
+    """The rejected rows of a batch, read back."""
+    base, _ = batch_written(spark, sf)
+    return spark.read.parquet(f"{base}/errors/{RUN}").select("table_name", "file_name", "sheet_tab_name", "pk_derived", "error_category", "pk_value")
+
+
+@query()
+def batch_outcomes(spark, sf):
+    """The control rows of a batch that writes its tables, of which some tabs fail as a whole; a second run of the same
+    execution finds them there."""
+    base, rows = batch_written(spark, sf)
+    return spark.read.parquet(f"{base}/control/{RUN}").select("file_name", "sheet_tab_name", "source_row_count", "valid_record_count", "error_record_count", "final_ingestion_status")
+
+
+SQL["batch_outcomes"] = SQL["control_rows"]
+KINDS = "CASE sheet_tab_name WHEN 'view' THEN 'decimal(5,2)' WHEN 'purchase' THEN 'SmallInt' WHEN 'click' THEN 'tinyint' WHEN 'signup' THEN 'float' ELSE 'no such type' END"
+
+
+@query(f"""SELECT file_name, sheet_tab_name, {KINDS} AS kind, count(*) AS source_row_count,
+  count(*) FILTER (sheet_tab_name <> 'error' AND NOT bad) AS valid_record_count, count(*) FILTER (sheet_tab_name <> 'error' AND bad) AS error_record_count,
+  CASE WHEN sheet_tab_name = 'error' OR count(*) FILTER (bad) > 0 THEN 'Failed' ELSE 'Succeeded' END AS final_ingestion_status
+FROM (SELECT *, CASE sheet_tab_name WHEN 'view' THEN abs(CAST(k AS DECIMAL(18, 2))) > 999.99 WHEN 'purchase' THEN CAST(k AS BIGINT) > 32767 WHEN 'click' THEN CAST(k AS BIGINT) > 127 WHEN 'signup' THEN k = 'x' ELSE false END AS bad
+  FROM (SELECT file_name, sheet_tab_name, CASE sheet_tab_name WHEN 'view' THEN CAST(event_id AS STRING) || '.25' WHEN 'signup' THEN (CASE WHEN event_id % 11 = 0 THEN 'x' ELSE CAST(event_id AS STRING) || '.5' END) ELSE CAST(event_id AS STRING) END AS k FROM ({FEED}) f) g) h GROUP BY file_name, sheet_tab_name""".replace("WHEN event_id % 11 = 0 THEN 'x'", "WHEN event_id % 11 = 0 THEN 'x' || CAST(event_id AS STRING)").replace("WHEN 'signup' THEN k = 'x'", "WHEN 'signup' THEN k LIKE 'x%'"))
+def batch_key_types(spark, sf):
+    """Keys of types that nobody listed, and one of a type that there isn't: its tab fails, the others go on."""
+    feed, tab = made(spark, sf, FEED), F.col("sheet_tab_name")
+    text = F.col("event_id").cast("string")
+    k = F.when(tab == "view", F.concat(text, F.lit(".25"))).when(tab == "signup", F.when(F.col("event_id") % 11 == 0, F.concat(F.lit("x"), text)).otherwise(F.concat(text, F.lit(".5")))).otherwise(text)
+    promoted = feed.select("file_name", "sheet_tab_name", F.col("event_id").alias("row_idx"), F.array(F.lit("K"), F.lit("NOTE")).alias("header"), F.array(k, F.col("NOTE")).alias("values"))
+    known = spark.sql(
+        f"SELECT CAST(row_number() OVER (ORDER BY sheet_tab_name) AS BIGINT) AS serial_number, 'Feed' AS file_name_prefix, sheet_tab_name, 'typed_' || sheet_tab_name AS table_name, 'K' AS sheet_column_name, CAST(NULL AS STRING) AS original_column_name, 'DATA' AS array_column_name, {KINDS} AS data_type, TRUE AS is_primary_key, TRUE AS is_nullable, TRUE AS load_type_delta FROM {{feed}} GROUP BY sheet_tab_name",
+        feed=feed,
+    )
+    none = lambda schema: spark.createDataFrame([], schema)
+    rows = flows.ingest_tables(promoted, none("file_name string, sheet_tab_name string, table_name string"), none("file_name string, error string"), known, shared(spark), RUN, ntz(), F.lit("/landing"))
+    kinds = known.select("sheet_tab_name", F.col("data_type").alias("kind"))
+    return rows.join(kinds, "sheet_tab_name").select("file_name", "sheet_tab_name", "kind", "source_row_count", "valid_record_count", "error_record_count", "final_ingestion_status")
+
+
+@query(f"""SELECT 'orders_feed' AS table_name, file_name, sheet_tab_name, total AS source_row_count, valid AS valid_record_count, bad AS error_record_count, CASE WHEN bad > 0 THEN 'Failed' ELSE 'Succeeded' END AS final_ingestion_status, true AS has_data FROM ({COUNTS}) c
+UNION ALL SELECT t, file_name, sheet_tab_name, count(*), 0, 0, 'Failed', false FROM ({ORDERS}) o, (VALUES ('no_key'), ('reserved_header'), ('no_type')) v(t) GROUP BY t, file_name, sheet_tab_name
+UNION ALL SELECT 'all_columns', file_name, sheet_tab_name, count(*), count(*), 0, 'Succeeded', true FROM ({ORDERS}) o GROUP BY file_name, sheet_tab_name""")
+def isolated_tabs(spark, sf):
+    """Tables one after the other: a good one, one whose key is missing, one with a reserved column, one of an unknown key
+    type, and a full load whose keys are configured all the same, with a dotted header."""
+    rows, base = orders_tab(spark, sf), shared(spark)
+    named = lambda name, spec: TabSpec(name, spec.keys, spec.delta)
+    runs = [
+        (rows, SPEC), (rows, TabSpec("no_key", (Key("ABSENT", "A"),))), (rows.withColumn("COMMENTS", F.lit("own")), named("reserved_header", SPEC)),
+        (rows, TabSpec("no_type", (Key("ORDER_KEY", "K", "number(5)"),))), (rows.withColumnRenamed("TOTAL", "No. of items"), TabSpec("all_columns", SPEC.keys, False)),
+    ]
+    told = [flows.ingest_chain(df, spec, base, RUN, ntz(), F.lit("/landing")) for df, spec in runs]
+    rows = told[0]
+    for t in told[1:]:
+        rows = rows.unionByName(t)
+    return rows.select("table_name", "file_name", "sheet_tab_name", "source_row_count", "valid_record_count", "error_record_count", "final_ingestion_status", F.col("final_parquet_source_raw").isNotNull().alias("has_data"))
+
+
+@query(f"SELECT execution_id, count(*) AS n, count(DISTINCT pk_derived) AS n_keys FROM (SELECT pk_derived, unnest(['run-1', 'run-2']) AS execution_id FROM ({QUARANTINE}) q) r GROUP BY execution_id")
+def idempotent_append(spark, sf):
+    """The rejected rows of two runs, the first of which is appended three times: each run is there once."""
+    name = f"gridloom_{uuid.uuid4().hex}"
+    sinks.create_run_table(spark, name, quarantine.ERRORS)
+    for run in (RUN, "run-2", RUN, RUN):
+        sinks.replace_run(quarantined(spark, sf), name, run)
+    return spark.table(name).groupBy("execution_id").agg(F.count("*").alias("n"), F.count_distinct("pk_derived").alias("n_keys"))
+
+
 def appended(spark, schema: str) -> str:
     """The name of a new append table."""
     name = f"gridloom_{uuid.uuid4().hex}"
@@ -755,6 +859,50 @@ def windowed_load(spark, sf):
     return states.select("window_id", "status", "source_count", "target_count")
 
 
+@query("SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, 8 AS n_windows, true AS even FROM {orders}")
+def equal_row_windows(spark, sf):
+    """Windows of an eighth of the rows over keys that crowd at the low end; each row in one window, none over 1.5 times the mean."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.pow("o_orderkey", F.lit(3)).cast("bigint").alias("k"))
+    n = orders.count()
+    plan = bulkload.plan_row_windows(orders, "k", -(-n // 8), "c1")
+    windows = plan.collect()
+    edge = F.array(*[F.lit(w["hi"]) for w in windows])
+    of = orders.withColumn("w", F.size(F.filter(edge, lambda e: e < F.col("k"))))
+    sizes = of.groupBy("w").agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("k"))
+    return sizes.agg(F.sum("n").alias("n_rows"), F.sum("k").alias("n_keys"), F.count("*").cast("int").alias("n_windows"), (F.max("n") <= 1.5 * F.avg("n")).alias("even"))
+
+
+DATED = "CASE WHEN o_orderkey % 4 = 3 THEN 'no time ' || CAST(o_orderkey AS STRING) ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) || ' 00:00:00' END"
+
+
+def loaded_in_windows(spark, sf, upsert: bool):
+    """The orders with times as texts, some unreadable, some without a key, onto a table that has a third of them."""
+    k = F.col("o_orderkey")
+    source = made(spark, sf, f"SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey, {DATED} AS at, 'new' AS state FROM {{orders}}")
+    target = table(spark, sf, "orders").where(k % 3 == 0).select("o_orderkey", F.lit(None).cast("timestamp_ntz").alias("at"), F.lit("old").alias("state"))
+    target = target.where(k % 101 != 0)
+    plan, path = bulkload.plan_row_windows(source, "o_orderkey", -(-table(spark, sf, "orders").count() // 6), "c1"), shared(spark)
+    whole, states = flows.windowed_load(source, target, plan, "o_orderkey", path, {"at": tolerant_timestamp}, upsert=upsert)
+    return whole, states, path
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 4 = 3 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS at, CASE WHEN o_orderkey % 4 = 3 THEN 'old' ELSE 'new' END AS state
+FROM {orders} WHERE o_orderkey % 101 <> 0 AND (o_orderkey % 4 <> 3 OR o_orderkey % 3 = 0)""")
+def windowed_upsert(spark, sf):
+    """Rows that are there are updated, new ones added; what can't be cast leaves the old row."""
+    return loaded_in_windows(spark, sf, True)[0]
+
+
+@query("""SELECT CAST(NULL AS BIGINT) AS o_orderkey, 'Mandatory PK field is NULL' AS error_category, count(*) AS n FROM {orders} WHERE o_orderkey % 101 = 0
+UNION ALL SELECT o_orderkey, 'Cast failed', 1 FROM {orders} WHERE o_orderkey % 101 <> 0 AND o_orderkey % 4 = 3 AND o_orderkey % 3 <> 0""")
+def rejected_casts(spark, sf):
+    """What a load that inserts couldn't read, and rows without a key; with what is loaded they are all of the source."""
+    _, states, path = loaded_in_windows(spark, sf, False)
+    rows = flows.rejected_rows(spark, states, path, "o_orderkey", "orders", RUN, ntz())
+    key = F.get_json_object("err_record", "$.o_orderkey").cast("bigint")
+    return rows.groupBy(key.alias("o_orderkey"), "error_category").agg(F.count("*").alias("n"))
+
+
 @query("SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS at FROM {orders}")
 def windowed_resume(spark, sf):
     """Five windows, then the rest by another run from the stored states; times come as texts and are cast."""

@@ -31,10 +31,13 @@ def land_raw(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy("file_name", "sheet_tab_name").parquet(path)
 
 
-def write_curated(rows: DataFrame, path: str, time: Column, frequency: str = "daily") -> None:
-    """Curated rows by date; writing a date again replaces it and no other."""
-    dated = dated_columns(time, frequency)
-    rows.withColumns(dated).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*dated).parquet(path)
+def write_curated(rows: DataFrame, path: str, time: Column, frequency: str = "daily", within: dict[str, Column] | None = None, above: list[str] | None = None) -> None:
+    """Curated rows by date, perhaps within other columns of theirs (above) and further parted (within, by name).
+
+    Writing a partition again replaces it and no other.
+    """
+    dated = dated_columns(time, frequency) | (within or {})
+    rows.withColumns(dated).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*(above or []), *dated).parquet(path)
 
 
 def renamed_files(spark: SparkSession, folder: str, suffix: str, to: str) -> int:
@@ -57,6 +60,24 @@ def append_aligned(rows: DataFrame, table: str) -> None:
     rows.select(*[column(f).cast(f.dataType).alias(f.name) for f in fields]).write.insertInto(table)
 
 
+def create_run_table(spark: SparkSession, table: str, schema: str, by: str = "execution_id") -> None:
+    """A table whose rows are replaced by run (see replace_run), if it isn't there yet."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet PARTITIONED BY ({by})")
+
+
+def replace_run(rows: DataFrame, table: str, run: str, by: str = "execution_id") -> None:
+    """Makes the rows those of a run in a table of create_run_table; appended twice, a run is there once.
+
+    Rows are aligned by name as in append_aligned. The run's partition is overwritten as a whole, also by no rows; other
+    runs aren't touched, and a reader sees the old partition or the new one.
+    """
+    spark = rows.sparkSession
+    fields, names = spark.table(table).schema.fields, {c.lower() for c in rows.columns}
+    column = lambda f: F.col(f"`{f.name}`") if f.name.lower() in names else F.lit(None)
+    aligned = rows.select(*[column(f).cast(f.dataType).alias(f.name) for f in fields if f.name != by])
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({by} = {{run}}) SELECT * FROM {{rows}}", run=run, rows=aligned)
+
+
 def capped(df: DataFrame, most: int = 500_000) -> DataFrame:
     """df itself, if it has no more rows than a sheet may have."""
     if df.limit(most + 1).count() > most:
@@ -100,6 +121,11 @@ def export_path(base: str, table: str, prefix: str, time: dt.datetime) -> str:
     return f"{base.rstrip('/')}/{table}/{time:%Y/%m/%d/%H}/{prefix}_REGEN_{time:%Y%m%d_%H%M%S}"
 
 
+def dated_name(prefix: str, time: dt.datetime) -> str:
+    """The name of a feed's file of that time, which tells both again (see functions.files)."""
+    return f"{prefix}.{time:%Y.%m.%d.%H.%M.%S}.xlsx"
+
+
 def write_headered(df: DataFrame, path: str) -> None:
     """CSV with a header, written by all tasks; writing the same path again replaces it."""
     df.write.mode("overwrite").option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
