@@ -48,13 +48,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 @contextmanager
 def intermediates(spark: SparkSession) -> Iterator[None]:
-    """Removes the tables that were materialized inside, at the end: for results that are written by then."""
+    """Removes the tables that were materialized inside, at the end or on a failure: for results that are written by then."""
     before = len(_written)
-    yield
-    for path in _written[before:]:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    del _written[before:]
+    try:
+        yield
+    finally:
+        for path in _written[before:]:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        del _written[before:]
 
 
 def internal(docs: DataFrame, **columns: str) -> tuple[DataFrame, list[Column]]:

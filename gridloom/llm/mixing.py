@@ -11,8 +11,8 @@ from .common import count_words, internal, materialize, partitions, with_added,
 
 #: Tables of up to so many rows are broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 200_000
-#: Rows of a source that one running sum covers, about, and the most such buckets a source has.
-BUCKET_ROWS, MAX_BUCKETS = 4096, 65536
+#: Rows that one running sum covers, about; there are as many sums as shuffle partitions at least.
+SUM_ROWS = 1_000_000
 
 
 def shuffle_key(doc_id: Column, seed: str) -> Column:
@@ -52,7 +52,8 @@ def mix(docs: DataFrame, carry: list[str] | None = None, **settings: object) ->
     shuffled order, `most` times over; the virtual finish time of a document is its source's running words divided by
     the source's target. All queues are range-sorted by finish time together and cut where the budget is full. Within a
     queue that cut is a greatest key for each pass, so a small table of sources decides about every document. Rows with
-    equal source, id and size are taken alike. carry: the columns to keep (all). Empty texts are taken at no cost; an
+    equal ids, or none, are told apart by a hash of their text, equal rows by their place in the input: each is a document
+    of its own, and any number of them is dealt over many tasks. carry: the columns to keep (all). Empty texts are taken at no cost; an
     empty table gives an empty one.
     """
     rows, kept = decide(docs, carry, **settings)
@@ -64,27 +65,32 @@ def decide(docs: DataFrame, carry: list[str] | None, weights: tuple[int, ...] =
     spark = docs.sparkSession
     frame, back = internal(docs, id="doc_id", text="text", source="source")
     kept = [(n, b) for n, b in zip(docs.columns, back, strict=True) if carry is None or n in carry]
-    sized = frame.withColumns({"_size": count_words(F.col("_text")), "_u": shuffle_key(F.col("_id"), seed)})
+    # the place of a row comes from the scan, so that two passes over the same files agree; it parts equal rows alone
+    sized = frame.withColumns({"_size": count_words(F.col("_text")), "_u": shuffle_key(F.col("_id"), seed), "_th": F.xxhash64("_text"), "_row": F.monotonically_increasing_id()})
     own = [frame.columns[docs.columns.index(n)] for n, _ in kept]
-    narrow = materialize(sized.select(*dict.fromkeys(["_id", "_source", "_size", "_u", *(own if carry is not None else [])])), "mix-sizes")
+    narrow = materialize(sized.select(*dict.fromkeys(["_id", "_source", "_size", "_u", "_th", "_row", *(own if carry is not None else [])])), "mix-sizes")
 
     sources = narrow.groupBy("_source").agg(F.sum("_size").alias("_total"), F.count("*").alias("_rows"))
     ranked, n_sources = with_row_number(sources.withColumn("_k0", F.col("_source").isNull()), ["_k0", "_source"], "_sid", "mix-sources", drop=["_k0"])
     table = materialize(targets(ranked, weights, share, most), "mix-targets")
-    budget = floor(share * (table.agg(F.sum("_total")).first()[0] or 0))
+    words, n_rows = table.agg(F.sum("_total"), F.sum("_rows")).first()
+    budget, parts = floor(share * (words or 0)), max(partitions(spark), (n_rows or 0) // SUM_ROWS + 1)
 
     same = lambda other: F.col("_source").eqNullSafe(other)
-    of = table.select(F.col("_source").alias("_s"), "_sid", "_total", "_target", F.least(F.lit(MAX_BUCKETS), F.ceil(F.col("_rows") / BUCKET_ROWS)).cast("long").alias("_buckets"))
-    queued = narrow.select("_id", "_source", "_size", "_u").join(small(of, n_sources), same(F.col("_s"))).withColumn("_b", F.shiftright(F.shiftright("_u", 20) * F.col("_buckets"), 40))
+    of = table.select(F.col("_source").alias("_s"), "_sid", "_total", "_target")
+    key = ["_u", "_id", "_th", "_size", "_row"]
+    queued = narrow.select("_source", *key).join(small(of, n_sources), same(F.col("_s"))).drop("_source", "_s")
+    queued = queued.repartitionByRange(parts, "_sid", *key).sortWithinPartitions("_sid", *key).withColumn("_b", F.spark_partition_id())
+    queued = materialize(queued, "mix-lines")
     sums = queued.groupBy("_sid", "_b").agg(F.sum("_size").alias("_sum"))
     before = sums.select("_sid", "_b", (F.sum("_sum").over(Window.partitionBy("_sid").orderBy("_b")) - F.col("_sum")).alias("_before"))
-    line = Window.partitionBy("_sid", "_b").orderBy("_u", "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
-    run = queued.join(before, ["_sid", "_b"]).withColumn("_run", F.col("_before") + F.sum("_size").over(line))
+    line = Window.partitionBy("_sid", "_b").orderBy(*key).rowsBetween(Window.unboundedPreceding, 0)
+    run = queued.join(small(before, parts + n_sources), ["_sid", "_b"]).withColumn("_run", F.col("_before") + F.sum("_size").over(line))
     time = lambda k: F.when(F.col("_target") > 0, (F.col("_run") + k * F.col("_total")).cast("double") / F.col("_target")).otherwise(0.0)
     passes = F.explode(F.array(*[F.struct(F.lit(k).alias("_pass"), time(k).alias("_finish")) for k in range(most)]))
-    order = ["_finish", "_sid", "_pass", "_u", "_id", "_size"]
-    line_up = run.select("_sid", "_u", "_id", "_size", passes.alias("_x")).select("_sid", "_u", "_id", "_size", "_x._pass", "_x._finish")
-    line_up = line_up.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    order = ["_finish", "_sid", "_pass", *key]
+    line_up = run.select("_sid", *key, passes.alias("_x")).select("_sid", *key, "_x._pass", "_x._finish")
+    line_up = line_up.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
     line_up = materialize(line_up, "mix-queue")
 
     left, cut = budget, None
@@ -98,12 +104,12 @@ def decide(docs: DataFrame, carry: list[str] | None, weights: tuple[int, ...] =
     whole = line_up if cut is None else line_up.where(F.col("_part") < cut)
     last = line_up.where(F.col("_part") == (-1 if cut is None else cut)).withColumn("_run", F.sum("_size").over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
     taken = whole.unionByName(last.where(F.col("_run") <= left).drop("_run"))
-    key = F.struct("_u", "_id", "_size")
-    limits = taken.groupBy("_sid").agg(*[F.max(F.when(F.col("_pass") == k, key)).alias(f"_limit{k}") for k in range(most)])
-    decided = materialize(of.join(small(limits, n_sources), "_sid", "left").drop("_buckets"), "mix-cuts")
+    place = F.struct(*key)
+    limits = taken.groupBy("_sid").agg(*[F.max(F.when(F.col("_pass") == k, place)).alias(f"_limit{k}") for k in range(most)])
+    decided = materialize(of.join(small(limits, n_sources), "_sid", "left"), "mix-cuts")
 
     rows = (narrow if carry is not None else sized).join(small(decided, n_sources), same(F.col("_s")))
-    times = sum((F.coalesce(key <= F.col(f"_limit{k}"), F.lit(False)).cast("int") for k in range(most)), F.lit(0))
+    times = sum((F.coalesce(place <= F.col(f"_limit{k}"), F.lit(False)).cast("int") for k in range(most)), F.lit(0))
     return rows.withColumn("_times", times), kept
 
 

@@ -215,3 +215,33 @@ def test_bounds_hold_and_prune():
         order = sorted(range(n), key=lambda i: (-scores[i, k], i))[:20]
         assert [(s, key.id) for s, key in sorted(heap, key=lambda e: (-e[0], e[1].id))] == [(scores[i, k], i) for i in order if scores[i, k] > 0]
     assert scored < 0.7 * n * q
+
+
+# ---- 10, rows that share an id
+
+
+@pytest.mark.parametrize("kind", ["null", "seven", "same rows"])
+def test_mix_of_rows_that_share_an_id(spark, kind):
+    from gridloom.llm import mixing
+
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(10)) if kind != "same rows" else "one two three four five six seven eight nine ten"
+    data = [(None if kind == "null" else 7, text(i), "en", f"s{i % 3}", 0) for i in range(3000)]
+    docs = spark.createDataFrame(data, DOCS).repartition(6).cache()
+    rows = mixing.mix(docs).collect()
+    taken = Counter()
+    for r in rows:
+        taken[r["source"]] += r["taken"]
+    targets = {r["source"]: r["target"] for r in rows}
+    assert sum(taken.values()) <= 45_000 and all(abs(taken[s] - t) <= 20 for s, t in targets.items())
+    assert max(r["times"] for r in rows) <= 2 and mixing.mixed(docs).count() == sum(r["times"] for r in rows)
+
+
+def test_intermediates_are_removed_on_a_failure(spark):
+    from gridloom.llm import common
+
+    with pytest.raises(KeyError):
+        with common.intermediates(spark):
+            common.materialize(spark.range(3), "kept")
+            path = common._written[-1]
+            raise KeyError
+    assert not spark._jvm.java.io.File(path).exists()
