@@ -2,38 +2,29 @@
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import internal, materialize, partitions
+from .common import internal, partitions
 
 #: Counts are held as 1 + floor(log(count) / log(BASE)); an n-gram is in the filter once for each of these levels.
 BASE = 1.5
 LEVELS = 64
 #: Bits of the filter for each level of each n-gram, and bits that one level sets.
 BITS, HASHES = 9, 5
-#: A shard of the filter takes the n-grams of about so many bytes of training text; there are 64 shards at least.
-SHARD_BYTES, LEAST_SHARD_BITS = 1 << 24, 6
-#: Tasks that build shards, at most, unless there are more shuffle partitions; a task builds one shard after the other.
-BUILDERS = 1 << 16
-#: A filter of up to so many bytes is broadcast; of a larger one, the shards answer where they are.
-BROADCAST_BYTES = 128 << 20
-#: Parts that the questions to a shard are dealt into, each with the shard's filter.
-SALTS = 8
-#: The commonest words, up to so many, whose exact counts are broadcast; counts of all others are joined.
-HOT_WORDS = 1 << 19
+#: Bytes of text of a part, and of a shard of the filter, about; there are 64 shards at least. Both grow in number with
+#: the texts, not in size.
+PART_BYTES, SHARD_BYTES, LEAST_SHARD_BITS = 8 << 20, 1 << 26, 6
 #: Weight, in observations, of the unigram in a bigram's probability.
 PRIOR = 100.0
-#: Tokens that are scored, or counted, at a time.
-CHUNK, COUNT_CHUNK = 400_000, 1_500_000
-
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 START = np.uint64(0x5851F42D4C957F2D)
 SEED = 42  # that of the built-in xxhash64
@@ -125,147 +116,108 @@ def learns(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(7)) != 2, F.lit(True))
 
 
-def chunks(texts: list[str | None], size: int = CHUNK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Of consecutive texts: the first one's number, the hashes of all tokens, and how many tokens each text has."""
-    digest, first, hashes, sizes = xxhash.xxh64_intdigest, 0, array("Q"), []
-    for i, text in enumerate(texts):
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        hashes.extend([digest(w, SEED) for w in words])
-        hashes.append(END)
-        sizes.append(len(words) + 1)
-        if len(hashes) >= size or i == len(texts) - 1:
-            yield first, np.array(hashes, np.uint64), np.array(sizes, np.int64)
-            first, hashes, sizes = i + 1, array("Q"), []
-
-
-def histories(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The token before each token (START at the beginning of a text), and where texts begin."""
-    begins = np.cumsum(sizes) - sizes
-    before = np.empty_like(hashes)
-    before[1:] = hashes[:-1]
-    before[begins] = START
-    return before, begins
+class _Part:
+    """The tokens of some documents: words lower-cased A-Z, and one end for each document."""
 
+    def __init__(self, part: pa.Table):
+        texts, train = part.column("_text").to_pylist(), part.column("_train").to_numpy()
+        numbers: dict[bytes, int] = {b"": 0}  # no word is empty: that is the end
+        found = []
+        for i, text in enumerate(texts):
+            words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+            new = set(words).difference(numbers)
+            numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
+            words.append(b"")
+            found.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+            texts[i] = None
+        self.sizes = np.array([len(f) for f in found], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        digest = xxhash.xxh64_intdigest
+        self.hashes = np.fromiter((digest(w, SEED) for w in numbers), np.uint64, len(numbers))[np.concatenate(found)]
+        self.learnt = np.repeat(train, self.sizes)
+        before = np.empty_like(self.hashes)
+        before[1:] = self.hashes[:-1]
+        before[self.begins] = START
+        self.keys = {1: self.hashes, 2: bigram_keys(before, self.hashes)}
 
-def counted(train: DataFrame) -> DataFrame:
-    """(n, k, c): counts of training unigrams (n = 1) and bigrams (2), summed over a chunk of tokens each, in one pass."""
+    def distinct(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The different n-grams in order, how often each occurs in training documents, and which of them each token's is."""
+        order = np.argsort(self.keys[n], kind="stable")
+        keys = self.keys[n][order]
+        new = np.concatenate(([True], keys[1:] != keys[:-1]))
+        at = np.empty(len(order), np.int64)
+        at[order] = np.cumsum(new) - 1
+        return keys[new], np.add.reduceat(self.learnt[order].astype(np.int64), np.flatnonzero(new)), at
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, hashes, sizes in chunks(batch.column(0).to_pylist(), COUNT_CHUNK):
-                before, _ = histories(hashes, sizes)
-                for n, keys in ((1, hashes), (2, bigram_keys(before, hashes))):
-                    keys, counts = np.unique(keys, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), n, np.int8)), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int32))], names=["n", "k", "c"])
 
-    return train.select("_text").mapInArrow(count, "n byte, k long, c int")
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, the lowest bytes first, compressed: small ones take little."""
+    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def shard_of(key: Column, shard_bits: int) -> Column:
-    return (F.shiftrightunsigned(key, 64 - shard_bits) if shard_bits else F.lit(0)).cast("int")
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
-def filter_shards(counts: DataFrame, shard_bits: int, stage: str) -> DataFrame:
-    """(n, shard, bits, data, h, c): the filter of counts, each shard in one task from all its keys; of unigrams also
-    the exact counts. Keys come sorted by shard, so a task holds those of one shard."""
+def _rising(keys: np.ndarray) -> bytes:
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
 
-    def shard(s: int, found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        keys, inverse = np.unique(np.concatenate([k for k, _ in found]).view(np.uint64), return_inverse=True)
-        sums = np.bincount(inverse, weights=np.concatenate([c for _, c in found]))
-        bits, data = built(keys, sums)
-        exact = (keys.view(np.int64), sums.astype(np.int64)) if s & 1 else (np.zeros(0, np.int64),) * 2
-        return pa.RecordBatch.from_arrays([pa.array([2 - (s & 1)], pa.int8()), pa.array([s >> 1], pa.int32()), pa.array([bits]), pa.array([data], pa.binary()), *[pa.array([x], pa.list_(pa.int64())) for x in exact]], names=["n", "shard", "bits", "data", "h", "c"])
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, found = None, []
-        for batch in batches:
-            of, keys, counts = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            edges = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)] if len(of) else []
-            for a, b in zip(edges, edges[1:], strict=False):
-                if found and of[a] != now:
-                    yield shard(now, found)
-                    found = []
-                now = int(of[a])
-                found.append((keys[a:b].copy(), counts[a:b].copy()))
-        if found:
-            yield shard(now, found)
+_ASKED = "_n tinyint, _shard int, _part bigint, _keys binary, _counts binary"
+_ANSWERED = "_n tinyint, _shard int, _part bigint, _levels binary, _exact binary, _tokens bigint, _words bigint, _texts bigint"
 
-    of = shard_of(F.col("k"), shard_bits) * 2 + F.when(F.col("n") == 1, 1).otherwise(0)
-    builders = min(2 << shard_bits, max(BUILDERS, partitions(counts.sparkSession)))
-    placed = counts.select(of.cast("int").alias("_of"), "k", "c").repartition(builders, "_of").sortWithinPartitions("_of")
-    return materialize(placed.mapInArrow(build, "n byte, shard int, bits long, data binary, h array<long>, c array<long>"), stage)
 
+def questions(parts: DataFrame, shard_bits: int) -> DataFrame:
+    """For each part and shard the different n-grams that the part has there, and their counts in its training documents.
 
-def fetched(shards: DataFrame) -> dict[int, tuple[int, bytes]]:
-    """The shards of a filter, brought to the driver one partition at a time."""
-    return {r["shard"]: (r["bits"], bytes(r["data"])) for r in shards.select("shard", "bits", "data").toLocalIterator()}
-
-
-def questions(rows: DataFrame) -> DataFrame:
-    """(_row, n, k): every different token and bigram of each row."""
+    A part asks for an n-gram once, so even the commonest one has no more questions than there are parts.
+    """
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row = batch.column(0).to_numpy(zero_copy_only=False)
-            for first, hashes, sizes in chunks(batch.column(1).to_pylist()):
-                before, begins = histories(hashes, sizes)
-                keys, ends = bigram_keys(before, hashes), begins + sizes
-                for i, (a, b) in enumerate(zip(begins, ends, strict=True)):
-                    for n, own in ((1, np.unique(hashes[a:b])), (2, np.unique(keys[a:b]))):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), row[first + i], np.int64)), pa.array(np.full(len(own), n, np.int8)), pa.array(own.view(np.int64))], names=["_row", "n", "k"])
+    def ask(part: pa.Table) -> pa.Table:
+        own, number, rows = _Part(part), part.column("_part")[0].as_py(), []
+        for n in (1, 2):
+            keys, counts, _ = own.distinct(n)
+            shards = (keys >> np.uint64(64 - shard_bits)).astype(np.int64)
+            edges = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(keys)]
+            rows += [{"_n": n, "_shard": int(shards[a]), "_part": number, "_keys": _rising(keys[a:b]), "_counts": _packed(counts[a:b])} for a, b in zip(edges, edges[1:], strict=False)]
+        return pa.Table.from_pylist(rows, pa.schema([("_n", pa.int8()), ("_shard", pa.int32()), ("_part", pa.int64()), ("_keys", pa.binary()), ("_counts", pa.binary())]))
 
-    return rows.select("_row", "_text").mapInArrow(ask, "_row long, n byte, k long")
+    return parts.groupBy("_part").applyInArrow(ask, _ASKED)
 
 
-def answered(asked: DataFrame, shards: DataFrame, shard_bits: int) -> DataFrame:
-    """(_row, k, level): the filter's answers. Questions go to the shards, not shards to the questions.
+def answers(asked: DataFrame) -> DataFrame:
+    """For each question the levels of its n-grams, of unigrams also the exact counts; and the shard's totals, once.
 
-    A shard's filter comes first among the rows of its part, so a task holds one filter and streams the questions; the
-    questions to one shard are dealt into SALTS parts by row, so no n-gram, however common, is one task's.
+    Counts of all parts make the shard's filter, whose levels are probed for every n-gram that was asked.
     """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    filters = shards.select("n", "shard", salts, F.lit(0).alias("_asks"), F.lit(0).cast("long").alias("_row"), F.lit(0).cast("long").alias("k"), "bits", "data")
-    dealt = asked.select("n", shard_of(F.col("k"), shard_bits).alias("shard"), F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int").alias("_salt"), F.lit(1).alias("_asks"), "_row", "k", F.lit(0).cast("long").alias("bits"), F.lit(None).cast("binary").alias("data"))
-    order = ["n", "shard", "_salt"]
-    placed = filters.unionByName(dealt).repartition(*order).sortWithinPartitions(*order, "_asks")
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, bits, data = None, 0, b""
-        for batch in batches:
-            n, shard, salt, asks, row, key, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
-            part = np.stack([n, shard, salt, asks]).astype(np.int64)
-            edges = [0, *(np.flatnonzero((part[:, 1:] != part[:, :-1]).any(axis=0)) + 1), len(n)]
-            for a, b in zip(edges, edges[1:], strict=False):
-                if a == b:
-                    continue
-                if not asks[a]:
-                    held, bits, data = (n[a], shard[a], salt[a]), int(size[a]), batch.column(7)[int(a)].as_py()
-                    continue
-                keys = np.ascontiguousarray(key[a:b]).view(np.uint64)
-                one = lambda x, m=b - a: np.full(m, x, np.uint64)
-                level = probed(keys, one(bits), one(0), np.frombuffer(data, np.uint8)) if held == (n[a], shard[a], salt[a]) else np.zeros(b - a, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(row[a:b]), pa.array(key[a:b]), pa.array(level.astype(np.int8))], names=["_row", "k", "level"])
-
-    return placed.mapInArrow(answer, "_row long, k long, level byte")
-
-
-def hot_words(vocab: DataFrame, most: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """The least count of a hot word, and the hot words' sorted hashes and counts: at most `most` of them."""
-    bins = sorted(((r[0], r[1]) for r in vocab.groupBy(F.floor(F.log2("c") * 16).cast("int")).count().collect()), reverse=True)
-    total, edge = 0, None
-    for at, n in bins:
-        if total + n > most:
-            break
-        total, edge = total + n, at
-    if edge is None:
-        return 1 << 62, np.zeros(0, np.uint64), np.zeros(0)
-    hot = vocab.where(F.floor(F.log2("c") * 16) >= edge).toPandas()
-    keys = hot["h"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return edge, keys[order], hot["c"].to_numpy(float)[order]
-
 
-def score_documents(docs: DataFrame, prior: float = PRIOR, broadcast_bytes: int = BROADCAST_BYTES, hot: int = HOT_WORDS) -> DataFrame:
+    def answer(shard: pa.Table) -> pa.Table:
+        n = shard.column("_n")[0].as_py()
+        asked = [np.cumsum(_unpacked(k.as_py())) for k in shard.column("_keys")]
+        every, counts = np.concatenate(asked), np.concatenate([_unpacked(c.as_py()) for c in shard.column("_counts")]).astype(np.int64)
+        order = np.argsort(every, kind="stable")
+        new = np.concatenate(([True], every[order[1:]] != every[order[:-1]]))
+        keys, sums = every[order][new], np.add.reduceat(counts[order], np.flatnonzero(new))
+        del every, order
+        seen = sums > 0
+        level = Filter(0, {0: built(keys[seen], sums[seen].astype(float))}).levels(keys).astype(np.uint8)
+        totals = (int(sums.sum()), int(seen.sum()), int(sums[keys == np.uint64(END)].sum())) if n == 1 else (0, 0, 0)
+        at = [np.searchsorted(keys, k) for k in asked]
+        compress = zstandard.ZstdCompressor(level=1).compress
+        return pa.Table.from_arrays(
+            [
+                shard.column("_n").cast(pa.int8()), shard.column("_shard").cast(pa.int32()), shard.column("_part"), pa.array([compress(level[i].tobytes()) for i in at], pa.binary()),
+                pa.array([_packed(sums[i]) if n == 1 else None for i in at], pa.binary()), *[pa.array([t] + [0] * (len(at) - 1), pa.int64()) for t in totals],
+            ],
+            names=["_n", "_shard", "_part", "_levels", "_exact", "_tokens", "_words", "_texts"],
+        )
+
+    return asked.groupBy("_n", "_shard").applyInArrow(answer, _ANSWERED)
+
+
+def score_documents(docs: DataFrame, prior: float = PRIOR, part_bytes: int = PART_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row for each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words of the text lower-cased A-Z, then one end token. Training documents, those whose crc32(id) mod
@@ -273,68 +225,52 @@ def score_documents(docs: DataFrame, prior: float = PRIOR, broadcast_bytes: int
     base_score: the sum over tokens of log10((c + 1) / (N + V + 1)). score: the sum of log10((b + prior * p) / (a +
     prior)), where p is that unigram probability, and p and the counts b of the bigram and a of the token before come
     from the filters: level after level is probed until one is missing, and the last gives the expected count.
-    A filter of up to broadcast_bytes is broadcast, and the texts are read once. A larger one stays where it was built:
-    each row's n-grams are sent to the shards and the levels come back, so the work is linear in the corpus and no
-    broadcast grows with it; the score is the same.
+
+    The filter grows with the corpus, so it isn't sent to the texts: it stays in shards by the n-grams' first bits, each
+    in one task, and what travels are the n-grams. Texts are dealt into parts; a part sends each of its different n-grams
+    once to its shard, with the count in its training documents; the shard adds up the counts, builds its filter, and
+    answers each part with the levels. Nothing is collected or broadcast, at any size, and all steps are linear in the
+    corpus; they read the texts from one shuffle.
+
     A null text has the end token alone; without training documents every probability is 1 / (N + V + 1) = 1. Repeated
     rows come out repeated, documents without an id are training documents; an empty table gives an empty one.
     """
     spark = docs.sparkSession
     frame, _ = internal(docs, id="doc_id", text="text")
-    frame = frame.select("_id", "_text")
-    train = frame.where(learns(F.col("_id")))
-    size = train.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    shard_bits = max(LEAST_SHARD_BITS, ceil(np.log2(max(1, size / SHARD_BYTES))))
-    shards = filter_shards(counted(train), shard_bits, "lm-shards")
-    vocab = shards.where("n = 1").select(F.explode(F.arrays_zip("h", "c")).alias("w")).select("w.h", "w.c")
-    n, v, n_train = (int(x or 0) for x in vocab.agg(F.sum("c"), F.count("*"), F.sum(F.when(F.col("h") == F.xxhash64(F.lit("")), F.col("c")))).first())
-    edge, hot_keys, hot_counts = hot_words(vocab, hot)
-    rest = float(n + v + 1)
-    whole = shards.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0] <= broadcast_bytes
-    filters = tuple(Filter(shard_bits, fetched(shards.where(F.col("n") == k))) for k in (1, 2)) if whole else None
-    model = spark.sparkContext.broadcast((filters, hot_keys, hot_counts))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters, known, counts = model.value
-        for batch in batches:
-            told = None if filters else (batch.column(3), batch.column(4))
-            for first, hashes, sizes in chunks(batch.column(2).to_pylist()):
-                before, begins = histories(hashes, sizes)
-                words, at = np.unique(hashes, return_inverse=True)
-                keys, place = np.unique(bigram_keys(before, hashes), return_inverse=True)
-                if filters:
-                    ones, twos = filters[0].levels(words), filters[1].levels(keys)
-                else:
-                    answers = [x.slice(first, len(sizes)).flatten().to_numpy(zero_copy_only=False) for x in told]
-                    of, one = np.unique(answers[0].view(np.uint64), return_index=True)
-                    ones, twos = (answers[1][one][np.searchsorted(of, x)] for x in (words, keys))
-                seen, both = EXPECTED[ones][at], EXPECTED[twos][place]
-                history = np.empty_like(seen)
-                history[1:] = seen[:-1]
-                history[begins] = n_train
-                p = np.log10((both + prior * (seen + 1) / rest) / (history + prior))
-                slot = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
-                is_hot = known[slot] == words if len(known) else np.zeros(len(words), bool)
-                c = np.where(is_hot, counts[slot], 0.0)[at] if len(known) else np.zeros(len(hashes))
-                cold = ~is_hot[at]
-                ends = np.concatenate(([0], np.cumsum(np.add.reduceat(cold.astype(np.int64), begins))))
-                out = [batch.column(i).slice(first, len(sizes)) for i in (0, 1)]
-                out += [pa.array(np.add.reduceat(p, begins)), pa.array(sizes), pa.array(np.add.reduceat((c > 0).astype(np.int64), begins)), pa.array(np.add.reduceat(np.log10(c + 1), begins))]
-                out.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes[cold].view(np.int64))))
-                yield pa.RecordBatch.from_arrays(out, names=["_row", "_id", "_score", "_n", "_known", "_log", "_cold"])
-
+    size = frame.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    shard_bits = max(LEAST_SHARD_BITS, ceil(np.log2(max(1, size / shard_bytes))))
+    n_parts = max(partitions(spark), ceil(size / part_bytes))
+    placed = frame.select("_id", "_text", learns(F.col("_id")).alias("_train"), F.monotonically_increasing_id().alias("_row"))
+    parts = placed.withColumn("_part", F.pmod(F.xxhash64("_row"), F.lit(n_parts))).repartition(n_parts, "_part")
+    told = answers(questions(parts, shard_bits)).repartition(n_parts, "_part")
+    # counting the other columns too keeps them in the shuffle, so that the answers are worked out once and read twice
+    others = [F.count(c).alias(c) for c in told.columns if c not in ("_tokens", "_words", "_texts")]
+    totals = told.agg(F.struct(F.sum("_tokens").alias("n"), F.sum("_words").alias("v"), F.sum("_texts").alias("d"), *others).alias("_totals"))
+    told = told.withColumn("_totals", totals.scalar())
     kind = frame.schema["_id"].dataType.simpleString()
-    schema = f"_row long, _id {kind}, _score double, _n long, _known long, _log double, _cold array<long>"
-    if whole:
-        rows = frame.select(F.monotonically_increasing_id().alias("_row"), "_id", "_text")
-    else:
-        rows = materialize(frame.withColumn("_row", F.monotonically_increasing_id()), "lm-texts").select("_row", "_id", "_text")
-        levels = answered(questions(rows), shards, shard_bits).groupBy("_row").agg(F.collect_list(F.struct("k", "level")).alias("_a"))  # a row's own n-grams
-        rows = rows.join(levels, "_row").select("_row", "_id", "_text", F.col("_a.k").alias("_k"), F.col("_a.level").alias("_l"))
-    rows = materialize(rows.mapInArrow(score, schema), "lm-rows")
-    cold = rows.select("_row", F.explode("_cold").alias("h")).groupBy("_row", "h").agg(F.count("*").alias("m"))
-    cold = cold.join(vocab, "h").groupBy("_row").agg(F.sum(F.col("m") * F.log10(F.col("c") + 1)).alias("_more"), F.sum("m").alias("_too"))
-    found = rows.drop("_cold").join(cold, "_row", "left")
-    logs = F.col("_log") + F.coalesce("_more", F.lit(0.0)) - F.col("_n") * F.log10(F.lit(rest))
-    held = F.coalesce(~learns(F.col("_id")), F.lit(False))
-    return found.select(F.col("_id").alias("doc_id"), held.alias("held_out"), F.col("_n").alias("n_tokens"), (F.col("_known") + F.coalesce("_too", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), logs.alias("base_score"), F.col("_score").alias("score"))
+
+    def score(part: pa.Table, told: pa.Table) -> pa.Table:
+        own = _Part(part)
+        totals = told.column("_totals")[0].as_py()
+        n, rest, n_train = totals["n"], float(totals["n"] + totals["v"] + 1), totals["d"]
+        told = told.sort_by([("_n", "ascending"), ("_shard", "ascending")])
+        level: dict[int, list[np.ndarray]] = {1: [], 2: []}
+        exact = []
+        for of, levels_, counts in zip(*(told.column(c).to_pylist() for c in ("_n", "_levels", "_exact")), strict=True):
+            level[of].append(np.frombuffer(zstandard.ZstdDecompressor().decompress(levels_), np.uint8))
+            if of == 1:
+                exact.append(_unpacked(counts))
+        (_, _, one), (_, _, two) = own.distinct(1), own.distinct(2)
+        seen, both = EXPECTED[np.concatenate(level[1])][one], EXPECTED[np.concatenate(level[2])][two]
+        c = np.concatenate(exact).astype(np.int64)[one]
+        history = np.empty_like(seen)
+        history[1:] = seen[:-1]
+        history[own.begins] = n_train
+        add = lambda x: np.add.reduceat(x, own.begins)
+        p = np.log10((both + prior * (seen + 1) / rest) / (history + prior))
+        base = add(np.log10(c + 1.0)) - own.sizes * np.log10(rest)
+        held = pc.invert(part.column("_train"))
+        columns = [part.column("_id"), held, pa.array(own.sizes), pa.array(add((c > 0).astype(np.int64))), pa.array(np.full(len(own.sizes), n, np.int64)), pa.array(base), pa.array(add(p))]
+        return pa.Table.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return parts.groupBy("_part").cogroup(told.groupBy("_part")).applyInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

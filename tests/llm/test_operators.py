@@ -75,14 +75,21 @@ def test_lm_counts_and_base(spark, sf):
     assert all(r["score"] <= 0 for r in found)
 
 
-def test_lm_by_questions_to_the_shards_is_the_same(spark, sf):
+def test_lm_score_does_not_depend_on_the_parts(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     whole = {r["doc_id"]: r for r in lm_scoring.score_documents(docs).collect()}
-    parts = lm_scoring.score_documents(docs, hot=50, broadcast_bytes=0).collect()
+    parts = lm_scoring.score_documents(docs.repartition(3), part_bytes=20_000).collect()
     assert len(parts) == len(whole)
     assert all(r["score"] == pytest.approx(whole[r["doc_id"]]["score"]) and r["n_known"] == whole[r["doc_id"]]["n_known"] and r["base_score"] == pytest.approx(whole[r["doc_id"]]["base_score"]) for r in parts)
 
 
+def test_lm_plan_shuffles_texts_once(spark, sf):
+    found = lm_scoring.score_documents(spark.read.parquet(f"{sf}/documents.parquet"))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "ReusedExchange [_id" in plan and "ReusedExchange [_n" in plan
+
+
 def test_lm_score_by_exact_counts(spark, sf):
     """The same smoothing with exact counts, each put to the middle of its level: the filter adds false positives alone."""
     import numpy as np
