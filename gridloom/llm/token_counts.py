@@ -6,6 +6,7 @@ import base64
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 from pathlib import Path
 
 import pandas as pd
@@ -23,6 +24,8 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 LEAF = 64
 EDIT = "array<struct<start:int,length:int,replacement:string>>"
 MEMO = 500_000
+#: Characters behind a pre-token on which it can depend.
+LOOK = 2
 
 
 class Tokenizer:
@@ -49,12 +52,6 @@ class Tokenizer:
         found = list(map(self.memo.get, pieces))
         return [self.count(p) if n is None else n for n, p in zip(found, pieces, strict=True)] if None in found else found
 
-    def pieces(self, text: str, begin: int = 0) -> Iterator[tuple[int, int]]:
-        """(end, tokens) of each pre-token from a boundary on."""
-        count = self.count
-        for m in self.split.finditer(text, begin):
-            yield m.end(), count(m.group())
-
 
 @lru_cache(2)
 def made(vocabulary: bytes, pattern: str) -> Tokenizer:
@@ -68,24 +65,37 @@ def tokenizer(path: str, pattern: str) -> Tokenizer:
 
 
 class CountTree:
-    """A document's leaves, each of some pre-tokens, under sums of characters and tokens."""
+    """A document's leaves, each the text of some pre-tokens, under sums of characters and tokens."""
 
     def __init__(self, text: str, tok: Tokenizer, leaf: int = LEAF, leaves: tuple[list[int], list[int]] | None = None) -> None:
         """leaves: characters and tokens of each leaf, from a tree of the same text; nothing is encoded then."""
-        self.text, self.tok = text, tok
+        self.tok, self.leaf, self.encoded = tok, leaf, 0
         if leaves is None:
             pieces = tok.split.findall(text)
-            counts = tok.counts(pieces)
-            chars = [len("".join(pieces[i : i + leaf])) for i in range(0, len(pieces), leaf)] or [0]
-            tokens = [sum(counts[i : i + leaf]) for i in range(0, len(pieces), leaf)] or [0]
+            parts, tokens = self._cut(pieces, tok.counts(pieces))
         else:
-            chars, tokens = (list(x) or [0] for x in leaves)
-        self.size = 1 << (len(chars) - 1).bit_length()
-        pad = [0] * (self.size - len(chars))
-        self.chars, self.tokens = ([0] * self.size + x + pad for x in (chars, tokens))
+            ends = list(accumulate(leaves[0]))
+            parts, tokens = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)], list(leaves[1])
+        self._grow(parts, tokens)
+
+    def _cut(self, pieces: list[str], counts: list[int]) -> tuple[list[str], list[int]]:
+        """Leaves of `leaf` pre-tokens each, the last one of fewer."""
+        steps = range(0, len(pieces), self.leaf)
+        return ["".join(pieces[i : i + self.leaf]) for i in steps], [sum(counts[i : i + self.leaf]) for i in steps]
+
+    def _grow(self, parts: list[str], tokens: list[int]) -> None:
+        """All sums over the leaves that aren't empty."""
+        kept = [i for i, part in enumerate(parts) if part]
+        self.parts = [parts[i] for i in kept] or [""]
+        self.size = 1 << (len(self.parts) - 1).bit_length()
+        pad = [0] * (self.size - len(self.parts))
+        self.chars, self.tokens = ([0] * self.size + x + pad for x in (list(map(len, self.parts)), [tokens[i] for i in kept] or [0]))
         for i in range(self.size - 1, 0, -1):
             self._sum(i)
-        self.encoded = 0
+
+    @property
+    def text(self) -> str:
+        return "".join(self.parts)
 
     @property
     def leaves(self) -> tuple[list[int], list[int]]:
@@ -93,81 +103,147 @@ class CountTree:
         kept = [i for i in range(self.size, 2 * self.size) if self.chars[i]]
         return [self.chars[i] for i in kept], [self.tokens[i] for i in kept]
 
-    def edit_all(self, edits: list[dict] | None) -> int:
-        """Applies edits that are each against the present text, from the last to the first; how many there were."""
-        limit, todo = len(self.text), ordered(edits)
-        for start, length, replacement in todo:
-            at = min(start, limit)
-            self.edit(at, min(length, limit - at), replacement)
-            limit = min(limit, start)
-        return len(todo)
-
     def _sum(self, i: int) -> None:
         self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
         self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
 
+    @property
+    def n_chars(self) -> int:
+        return self.chars[1]
+
     @property
     def n_tokens(self) -> int:
         return self.tokens[1]
 
-    def _leaf(self, at: int) -> tuple[int, int]:
-        """The leaf that holds a character, and where it begins."""
+    def _find(self, at: int) -> tuple[int, int]:
+        """The leaf that holds a character (the last one beyond the end), and where it begins."""
         i, begin = 1, 0
         while i < self.size:
             i *= 2
             if at >= begin + self.chars[i]:
                 begin += self.chars[i]
                 i += 1
-        return i, begin
+        i = min(i - self.size, len(self.parts) - 1)
+        return i, begin if at < self.n_chars else self.n_chars - len(self.parts[i])
+
+    def _first(self, start: int) -> tuple[int, int]:
+        """The first leaf that an edit can change, and where it begins: that of the second character before the edit, or
+        of the one before the white space that the edit follows. A pre-token depends on its own characters and the next
+        LOOK ones (`'` and `ll`), or on all of a run of white space and the character behind."""
+        far = self._find(max(start - LOOK, 0))
+        i, begin = self._find(max(start - 1, 0))
+        at = start - begin
+        while True:
+            while at and self.tok.space(self.parts[i][at - 1]):
+                at -= 1
+            if at or not i:
+                return min(far, (i, begin))
+            i -= 1
+            at, begin = len(self.parts[i]), begin - len(self.parts[i])
 
-    def _set(self, leaf: int, chars: int, tokens: int) -> None:
-        self.chars[leaf], self.tokens[leaf] = chars, tokens
-        while leaf > 1:
-            leaf //= 2
-            self._sum(leaf)
+    def edit_all(self, edits: list[dict] | None) -> int:
+        """Applies edits that are each against the present text; how many there were."""
+        limit, todo, plain = self.n_chars, ordered(edits), []
+        for start, length, replacement in todo:
+            at = min(start, limit)
+            plain.append((at, min(at + length, limit), replacement))
+            limit = min(limit, start)
+        self._apply([e for e in reversed(plain) if e[0] < e[1] or e[2]])
+        return len(todo)
 
     def edit(self, start: int, length: int, replacement: str) -> None:
-        """Replaces characters start .. start + length of the text as it stands.
-
-        A pre-token depends on its own characters and the next one, or on all of a run of white space and the character
-        behind; so the leaf of the character before the edit, or before the white space that the edit follows, is the
-        first that can change. From its beginning the text is split anew until, behind the edit, a boundary falls on
-        that of an old leaf: from there on all is as before. The first leaf takes what was split, those up to the
-        boundary are emptied, and only the sums over them are renewed.
+        """Replaces characters start .. start + length of the text as it stands."""
+        start = min(max(start, 0), self.n_chars)
+        end = min(start + max(length, 0), self.n_chars)
+        if start < end or replacement:
+            self._apply([(start, end, replacement)])
+
+    def _apply(self, edits: list[tuple[int, int, str]]) -> None:
+        """Edits (start, end, replacement), in order and apart from each other, in one pass over the leaves they touch.
+
+        From the first leaf that an edit can change the text is split anew until, behind the edit, a boundary falls on
+        that of an old leaf: from there on all is as before, unless the next edit can change that leaf too. What was
+        split becomes leaves again, none of more than twice the usual pre-tokens, so that edits at one place, however
+        many, touch a leaf's text each. Sums are renewed on the paths above; all of them if there are more leaves.
         """
-        start = min(max(start, 0), len(self.text))
-        length = min(max(length, 0), len(self.text) - start)
-        if not length and not replacement:
+        changes, k = [], 0
+        while k < len(edits):
+            first, begin = self._first(edits[k][0])
+            k, after, parts, tokens = self._resplit(edits, k, first, begin)
+            changes.append((first, after, parts, tokens))
+        if all(len(parts) <= after - first for first, after, parts, _ in changes):
+            for first, after, parts, tokens in changes:
+                for j in range(first, after):
+                    new = j - first < len(parts)
+                    self._set(j, parts[j - first] if new else "", tokens[j - first] if new else 0)
             return
-        near = start
-        while near and self.tok.space(self.text[near - 1]):
-            near -= 1
-        first, begin = self._leaf(max(near - 1, 0))
-        self.text = self.text[:start] + replacement + self.text[start + length :]
-        shift = len(replacement) - length
-        last, old_end = first, begin + self.chars[first]
-
-        def on() -> None:
-            nonlocal last, old_end
-            last += 1
-            old_end += self.chars[last]
-
-        while old_end < start + length and last < 2 * self.size - 1:
-            on()
-        tokens, end = 0, begin
-        for at, count in self.tok.pieces(self.text, begin):
-            while at > old_end + shift and last < 2 * self.size - 1:
-                on()
-            tokens, end = tokens + count, at
-            if at == old_end + shift:
+        every, sums, at = [], [], 0
+        for first, after, parts, tokens in changes:
+            every += self.parts[at:first] + parts
+            sums += self.tokens[self.size + at : self.size + first] + tokens
+            at = after
+        self._grow(every + self.parts[at:], sums + self.tokens[self.size + at : self.size + len(self.parts)])
+
+    def _set(self, j: int, part: str, tokens: int) -> None:
+        self.parts[j] = part
+        i = j + self.size
+        self.chars[i], self.tokens[i] = len(part), tokens
+        while i > 1:
+            i //= 2
+            self._sum(i)
+
+    def _resplit(self, edits: list[tuple[int, int, str]], k: int, first: int, begin: int) -> tuple[int, int, list[str], list[int]]:
+        """(next edit, next leaf, texts and tokens of the new leaves) of the edits from the k-th on that touch the leaves
+        from `first`, which begins at `begin`."""
+        leaf, old, text = first, begin, ""  # the next leaf to take and where it begins; what is taken but not yet split
+        done, taken, bounds = 0, 0, {}  # characters split and taken; old boundaries behind the last edit, and the leaf there
+        pieces: list[str] = []
+        counts: list[int] = []
+        parts: list[str] = []
+        tokens: list[int] = []
+
+        def take() -> None:
+            nonlocal leaf, old, text, taken, k
+            raw, at, new = self.parts[leaf], old, []
+            leaf, old = leaf + 1, old + len(self.parts[leaf])
+            edited = False
+            while k < len(edits) and (edits[k][0] <= old or self._first(edits[k][0])[0] < leaf):
+                start, end, replacement = edits[k]
+                while old < end or old < start:
+                    raw, old, leaf = raw + self.parts[leaf], old + len(self.parts[leaf]), leaf + 1
+                new += [raw[len(raw) - (old - at) : len(raw) - (old - start)], replacement]
+                at, k, edited = end, k + 1, True
+            more = "".join([*new, raw[len(raw) - (old - at) :]]) if old > at else "".join(new)
+            text, taken = text + more, taken + len(more)
+            if edited:
+                bounds.clear()
+            bounds[taken] = leaf
+
+        take()
+        while True:
+            if leaf < len(self.parts):
+                take()
+            ended, used = leaf == len(self.parts), 0
+            for m in self.tok.split.finditer(text):
+                if m.end() + LOOK > len(text) and not ended:
+                    break
+                pieces.append(m.group())
+                counts.append(self.tok.count(m.group()))
+                used = m.end()
+                if done + used in bounds:
+                    break
+            text, done = text[used:], done + used
+            if len(pieces) > 2 * self.leaf:
+                whole = len(pieces) - len(pieces) % self.leaf
+                cut = self._cut(pieces[:whole], counts[:whole])
+                parts, tokens = parts + cut[0], tokens + cut[1]
+                del pieces[:whole], counts[:whole]
+            if done in bounds and done or ended and not text:
                 break
-        while end < old_end + shift and last < 2 * self.size - 1:  # the text ends before
-            on()
-        self.encoded += end - begin
-        for leaf in range(first + 1, last + 1):
-            if self.chars[leaf]:
-                self._set(leaf, 0, 0)
-        self._set(first, end - begin, tokens)
+        self.encoded += done
+        if pieces:
+            parts, tokens = [*parts, "".join(pieces)], [*tokens, sum(counts)]
+        return k, bounds.get(done, leaf), parts, tokens
 
 
 def ordered(edits: list[dict] | None) -> list[tuple[int, int, str]]:
@@ -223,7 +299,7 @@ def with_edits(docs: DataFrame, edits: str = "edits", tree: str = "tree", vocabu
             grown = CountTree(text or "", tok, leaf, None if chars is None else (chars, tokens))
             before = grown.n_tokens
             n = grown.edit_all(edits)
-            told = (before, n, len(grown.text), grown.n_tokens, grown.encoded)
+            told = (before, n, grown.n_chars, grown.n_tokens, grown.encoded)
             rows.append((*told, grown.text if text is not None or n else None, dict(zip(("chars", "tokens"), grown.leaves, strict=True))) if keep_text else told)
         return pd.DataFrame(rows, columns=list(kinds))
 

@@ -245,3 +245,40 @@ def test_intermediates_are_removed_on_a_failure(spark):
             path = common._written[-1]
             raise KeyError
     assert not spark._jvm.java.io.File(path).exists()
+
+
+# ---- 7, many edits
+
+
+def test_edits_of_random_batches():
+    from gridloom.llm import token_counts
+
+    tok, rnd = token_counts.tokenizer(token_counts.VOCABULARY, token_counts.PATTERN), random.Random(11)
+    piece = lambda n: "".join(rnd.choice(["a", "b", " ", "  ", "\n", "x1", "'s", "x'll", "l", "'", "é", "!!", "  \n ", "12"]) for _ in range(rnd.randint(0, n)))
+    for _ in range(600):
+        tree = token_counts.CountTree(piece(60), tok, rnd.choice([1, 2, 3, 8]))
+        for _ in range(3):
+            text = tree.text
+            edits = [{"start": rnd.randint(0, len(text) + 1), "length": rnd.choice([0, 1, 2, 9]), "replacement": piece(3)} for _ in range(rnd.randint(0, 8))]
+            tree.edit_all(edits)
+            assert tree.text == token_counts.edited(text, edits) and tree.n_tokens == len(tok.encode(tree.text))
+            assert sum(tree.leaves[0]) == len(tree.text) and sum(tree.leaves[1]) == tree.n_tokens
+
+
+def test_many_edits_encode_little():
+    from gridloom.llm import token_counts
+
+    tok = token_counts.tokenizer(token_counts.VOCABULARY, token_counts.PATTERN)
+    tree = token_counts.CountTree("word " * 8000, tok)
+    for i in range(2000):
+        tree.edit(tree.n_chars, 0, f" tail{i}")
+    assert tree.encoded < 20 * tree.n_chars and max(map(len, tree.parts)) < 2 * 64 * 8
+    for _ in range(200):
+        tree.edit(1000, 0, "more words here ")
+    before = tree.encoded
+    tree.edit(1000, 0, "x")
+    assert tree.encoded - before < 1000
+    text = " ".join(f"user{i}@mail.example.org wrote" for i in range(5000))
+    tree = token_counts.CountTree(text, tok)
+    tree.edit_all([{"start": m.start(), "length": m.end() - m.start(), "replacement": "[removed]"} for m in re.finditer(token_counts.ADDRESS, text)])
+    assert tree.encoded <= len(tree.text) and tree.n_tokens == len(tok.encode(tree.text))
