@@ -11,6 +11,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +97,25 @@ def count_words(c: Column) -> Column:
     return F.size(split_words(c)).cast("long")
 
 
+def packed_texts(df: DataFrame, column: str = "_text") -> DataFrame:
+    """df with a text column as compressed UTF-8 (null stays null), for shuffles: less than half of what Spark's own
+    compression leaves of many short texts."""
+    at, schema = df.columns.index(column), T.StructType([T.StructField(f.name, T.BinaryType() if f.name == column else f.dataType) for f in df.schema.fields])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            texts = pa.array([None if t is None else compress(t.encode("utf-8", "surrogatepass")) for t in batch.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
+
+    return df.mapInArrow(pack, schema)
+
+
+def unpacked_text(data: bytes | None) -> bytes:
+    """The UTF-8 of a packed text; null: none."""
+    return zstandard.ZstdDecompressor().decompress(data) if data is not None else b""
+
+
 def row_hash(df: DataFrame) -> Column:
     """A hash of all columns, nested ones included, as tie-break between rows that differ elsewhere."""
 

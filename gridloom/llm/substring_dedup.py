@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import internal, partitions, with_added
+from .common import internal, packed_texts, partitions, unpacked_text, with_added
 
 #: Words of a window.
 WINDOW = 20
@@ -29,10 +29,6 @@ WORD_BYTES = 6
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
-def _words(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").split()
-
-
 def _digests(hashes: np.ndarray, window: int, factor: int) -> np.ndarray:
     """64 bits for each stretch of `window` numbers: a polynomial in the factor, from stretches of doubling length."""
     n, at, length = len(hashes) - window + 1, 0, 1
@@ -57,7 +53,7 @@ class _Part:
         numbers: dict[bytes, int] = {}
         found = []
         for i in order:
-            words = _words(texts[i])
+            words = unpacked_text(texts[i]).split()
             new = set(words).difference(numbers)
             numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
             found.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
@@ -222,7 +218,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, part_bytes: int = PAR
     bits = max(block_bits, ceil(log2(max(1, size * CELLS // WORD_BYTES))))
     n_parts = max(partitions(spark), ceil(size / part_bytes))
     kind = frame.schema["_id"].dataType.simpleString()
-    placed = frame.withColumn("_row", F.monotonically_increasing_id()).withColumn("_part", F.pmod(F.xxhash64("_row"), F.lit(n_parts)))
+    placed = packed_texts(frame.withColumn("_row", F.monotonically_increasing_id())).withColumn("_part", F.pmod(F.xxhash64("_row"), F.lit(n_parts)))
     parts = placed.repartition(n_parts, "_part")
     estimated = estimated_repeats(part_sketches(parts, bits, block_bits, window), block_bits)
     later = later_windows(parts, estimated, bits, block_bits, window, kind)
