@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import internal, partitions
+from .common import internal, packed_texts, partitions, unpacked_text
 
 #: Counts are held as 1 + floor(log(count) / log(BASE)); an n-gram is in the filter once for each of these levels.
 BASE = 1.5
@@ -124,7 +124,7 @@ class _Part:
         numbers: dict[bytes, int] = {b"": 0}  # no word is empty: that is the end
         found = []
         for i, text in enumerate(texts):
-            words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+            words = unpacked_text(text).lower().split()
             new = set(words).difference(numbers)
             numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
             words.append(b"")
@@ -241,7 +241,7 @@ def score_documents(docs: DataFrame, prior: float = PRIOR, part_bytes: int = PAR
     shard_bits = max(LEAST_SHARD_BITS, ceil(np.log2(max(1, size / shard_bytes))))
     n_parts = max(partitions(spark), ceil(size / part_bytes))
     placed = frame.select("_id", "_text", learns(F.col("_id")).alias("_train"), F.monotonically_increasing_id().alias("_row"))
-    parts = placed.withColumn("_part", F.pmod(F.xxhash64("_row"), F.lit(n_parts))).repartition(n_parts, "_part")
+    parts = packed_texts(placed).withColumn("_part", F.pmod(F.xxhash64("_row"), F.lit(n_parts))).repartition(n_parts, "_part")
     told = answers(questions(parts, shard_bits)).repartition(n_parts, "_part")
     # counting the other columns too keeps them in the shuffle, so that the answers are worked out once and read twice
     others = [F.count(c).alias(c) for c in told.columns if c not in ("_tokens", "_words", "_texts")]
