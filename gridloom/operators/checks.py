@@ -86,7 +86,7 @@ def validated(df: DataFrame, spec: TabSpec, scope: list[str]) -> DataFrame:
         none = {f: F.lit(False) for f in ("_null", "_type", "_dup")}
         return df.withColumns({"PK_DERIVED": full_row_key(columns, F.col(scope[0]), F.col(scope[1]))} | none | {"COMMENTS": F.lit("")})
     keyed = df.withColumns({"PK_DERIVED": derived_key([F.col(f"`{k.name}`") for k in spec.keys]), "_null": null_flag(spec.keys), "_type": type_flag(spec.keys)})
-    flagged = with_duplicate_flag(keyed, [*scope, "PK_DERIVED"])
+    flagged = with_duplicate_flag(keyed, ["PK_DERIVED", *scope])  # the key first: sorts compare what differs
     reasons = [F.when(F.col(f), F.lit(r)).otherwise("") for f, r in (("_null", NULL_REASON), ("_type", TYPE_REASON), ("_dup", DUPLICATE_REASON))]
     return flagged.withColumn("COMMENTS", F.concat(*reasons))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import warnings
+from concurrent.futures import ThreadPoolExecutor
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,8 +105,11 @@ def _ingested(rows: DataFrame, spec: TabSpec, base: str, execution_id: str, inse
     time = file_meta(F.col("file_name"))["file_dttm"]
     data = checks.data_columns(checks.renamed(landed, present), present, SCOPE)
     good = fold.curated(checks.good(checked), present, data, time, F.col("file_name"), F.col("sheet_tab_name"), inserted)
-    sinks.write_curated(good, final, inserted, frequency, {"file": F.col(fold.FILE_NAME)})
-    quarantine.error_rows(checks.bad(checked), present, F.lit(execution_id), F.col("file_name"), F.col("sheet_tab_name"), path, inserted).write.mode("overwrite").parquet(errors)
+    bad = quarantine.error_rows(checks.bad(checked), present, F.lit(execution_id), F.col("file_name"), F.col("sheet_tab_name"), path, inserted)
+    with ThreadPoolExecutor(2) as pool:  # two tables from one, side by side
+        written = [pool.submit(sinks.write_curated, good, final, inserted, frequency, {"file": F.col(fold.FILE_NAME)}), pool.submit(bad.write.mode("overwrite").parquet, errors)]
+    for w in written:
+        w.result()
     told = control.outcome(checks.dq_counts(checked, SCOPE), F.lit(spec.delta), F.lit(spec.table))
     made = {
         "raw_parquet_path": F.lit(raw), "final_parquet_source_raw": F.lit(final),
@@ -146,7 +150,7 @@ def ingest_batch(promoted: DataFrame, known: DataFrame) -> DataFrame:
             "DATA_KEYS": F.to_json(names),
         }
     )
-    flagged = checks.with_duplicate_flag(rows, [*SCOPE, "PK_DERIVED"])
+    flagged = checks.with_duplicate_flag(rows, ["PK_DERIVED", *SCOPE])
     reasons = [F.when(F.col("delta") & F.col(f), F.lit(r)).otherwise("") for f, r in (("_null", checks.NULL_REASON), ("_type", checks.TYPE_REASON), ("_dup", checks.DUPLICATE_REASON))]
     return flagged.withColumn("COMMENTS", F.concat(*reasons)).drop("_record")
 

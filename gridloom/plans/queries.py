@@ -354,6 +354,15 @@ def headers_only(spark, sf):
     return flows.regenerated(made(spark, sf, CURATED), EVENT_SPEC, expected=0)
 
 
+@query("SELECT CAST(0 AS BIGINT) AS row_idx, 'EVENT_ID/k/absent' AS cells, count(*) > 0 AS has_rows FROM {events}")
+def headers_only_sheet(spark, sf):
+    """The sheet of a run that expected no rows: its header alone, though the table has rows."""
+    df = made(spark, sf, CURATED)
+    grid = sinks.export_grid(flows.regenerated(df, EVENT_SPEC, expected=0), "Events_REGEN.xlsx", "All", ["EVENT_ID"])
+    n = df.agg((F.count("*") > 0).alias("has_rows"))
+    return grid.select("row_idx", F.concat_ws("/", "cells").alias("cells")).withColumn("has_rows", n.scalar())
+
+
 @query(f"SELECT PK_DERIVED, ORDER_ID, REGION_ID, json_extract_string(DATA, '$.STATUS') AS STATUS, json_extract_string(DATA, '$.TOTAL') AS TOTAL, json_extract_string(DATA, '$.ODATE') AS ODATE, json_extract_string(DATA, '$.PRIORITY') AS PRIORITY FROM ({CURATED_ORDERS}) c")
 def round_trip(spark, sf):
     """Folds, unfolds, folds again: the second fold's key with the sheet of the first."""

@@ -34,7 +34,7 @@ BOOK_ROWS = 100_000
 BATCH_ROWS, SHARED_BLOCKS = 2000, 64
 
 
-def _any_case(suffix: str) -> str:
+def any_case(suffix: str) -> str:
     """A glob for names with a suffix, whatever its case."""
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
 
@@ -52,9 +52,9 @@ def landing(spark: SparkSession, folder: str, suffix: str = ".xlsx", recursive:
     if system.getFileStatus(at).isFile():
         files = files.load(plain)
     elif recursive:
-        files = files.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{_any_case(suffix)}").load(plain)
+        files = files.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{any_case(suffix)}").load(plain)
     else:
-        wanted = f"{plain}/*{_any_case(suffix)}"
+        wanted = f"{plain}/*{any_case(suffix)}"
         there = any(s.isFile() for s in system.globStatus(spark._jvm.org.apache.hadoop.fs.Path(wanted)))
         files = files.load(wanted) if there else spark.createDataFrame([], "path string, length long, content binary")
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", "length", "content")

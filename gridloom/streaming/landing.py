@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.grids import decode_grids, text_grid
+from ..sources.grids import any_case, decode_grids, text_grid
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
-def stream_files(spark: SparkSession, folder: str, pattern: str = "*.xlsx", files_per_batch: int = 1000) -> DataFrame:
+def stream_files(spark: SparkSession, folder: str, pattern: str = f"*{any_case('.xlsx')}", files_per_batch: int = 1000) -> DataFrame:
     """file_name and content of files as they appear."""
     files = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).load(folder)
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "content")
