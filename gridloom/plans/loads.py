@@ -25,12 +25,13 @@ def _saved(spark: SparkSession, folder: str, state: dict) -> None:
     """Writes a state as a file of its own: under another name first, so that it is there as a whole or not at all."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     name = f"{state['cycle_id']}-{state['window_id']}.json"
-    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    out = system.create(path(f"{folder}/_{name}-{uuid.uuid4().hex}"), True)
+    made, final = path(f"{folder}/_{name}-{uuid.uuid4().hex}"), path(f"{folder}/{name}")
+    system = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = system.create(made, True)
     out.write(bytearray(json.dumps({c: state.get(c) for c in _STATES}).encode()))
     out.close()
-    system.delete(path(f"{folder}/{name}"), False)
-    system.rename(path(next(str(s.getPath()) for s in system.globStatus(path(f"{folder}/_{name}-*")))), path(f"{folder}/{name}"))
+    system.delete(final, False)
+    system.rename(made, final)
 
 
 def _base(path: str) -> str:

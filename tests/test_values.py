@@ -98,7 +98,7 @@ def test_memory_does_not_grow_with_rows():
     import multiprocessing
 
     with multiprocessing.get_context("spawn").Pool(1, maxtasksperchild=1) as pool:
-        small, large = pool.apply(_peak, (10_000,)), pool.apply(_peak, (100_000,))
+        small, large = pool.apply(_peak, (5_000,)), pool.apply(_peak, (50_000,))
     assert large < small + 2_000
 
 
