@@ -196,9 +196,44 @@ def curated_tables(checked: DataFrame, known: DataFrame, base: str, inserted: Co
     return sorted(found)
 
 
-def read_curated(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """A table that curated_tables wrote, its tabs' columns together, without the partition columns."""
-    return spark.read.option("mergeSchema", True).parquet(f"{base}/curated/table_name={table}").drop(*sinks.NAMES.values(), "file", "tab")
+def read_curated(spark: SparkSession, base: str, table: str, known: DataFrame | None = None) -> DataFrame:
+    """A table that curated_tables wrote, its tabs' columns together, without the partition columns.
+
+    known: the registry, whose columns of that table are there in any case: as nulls where no good row of a tab that has
+    them was ever written, and without rows where none of the table was. Without it such a table can't be read.
+    """
+    own = {} if known is None else registry_columns(known, table)
+    return read_written(spark, f"{base}/curated/table_name={table}", own).drop(*sinks.NAMES.values(), "file", "tab")
+
+
+def curated_columns(keys: list[tuple[str, str]], data_columns: list[str]) -> dict[str, str]:
+    """The columns of a curated table by name, with their types; keys are names and types."""
+    lineage = {fold.FILE_TIME: "timestamp_ntz", fold.FILE_NAME: "string", fold.TAB_NAME: "string", fold.INSERT_TIME: "timestamp_ntz"}
+    return {"PK_DERIVED": "string"} | dict(keys) | dict.fromkeys(data_columns, "string") | {fold.KEYS_COLUMN: "string"} | lineage
+
+
+def registry_columns(known: DataFrame, table: str) -> dict[str, str]:
+    """The columns of a curated table of a batch, of all tabs that feed it and whose key types are types."""
+    tabs = registry.specs(known).where(F.col("table_name") == table.lower()).select("file_name_prefix", "sheet_tab_name", "data_column", "keys").collect()
+    _, none = casts.named_types(known)
+    fit = [t for t in sorted(tabs) if not any(k["type"].strip() in none for k in t["keys"])]
+    return curated_columns([(k["name"], k["type"].strip()) for t in fit for k in t["keys"]], [t["data_column"] for t in fit]) if fit else {}
+
+
+def read_written(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """The table at a path, and of the given columns those that it lacks as nulls; no rows where nothing was written yet.
+
+    A write by partitions of no rows leaves no partition, so neither files nor a schema.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = [s for s in system.listStatus(at) if not s.getPath().getName().startswith(("_", "."))] if system.exists(at) else []
+    typed = lambda c: F.lit(None).cast(columns[c]).alias(c)
+    if columns and not parts:
+        return spark.range(0).select(*map(typed, columns))
+    rows = spark.read.option("mergeSchema", True).parquet(path)
+    there = {c.lower() for c in rows.columns}
+    return rows.select("*", *[typed(c) for c in columns if c.lower() not in there])
 
 
 def ingest_tables(promoted: DataFrame, empty: DataFrame, broken: DataFrame, known: DataFrame, base: str, execution_id: str, inserted: Column, path: Column, frequency: str = "daily") -> DataFrame:
@@ -216,8 +251,9 @@ def ingest_tables(promoted: DataFrame, empty: DataFrame, broken: DataFrame, know
         named = registry.with_specs(prefixed, known).select(*promoted.columns, "table_name")
         named.write.mode("overwrite").partitionBy("table_name").parquet(at["raw"])
         landed = spark.read.schema(named.schema).parquet(at["raw"]).select(*promoted.columns)
-        ingest_batch(landed, known).write.mode("overwrite").partitionBy("table_name").parquet(at["_checked"])
-        checked = spark.read.parquet(at["_checked"]).withColumn("table_name", F.col("table_name").cast("string"))
+        judged = ingest_batch(landed, known)
+        judged.write.mode("overwrite").partitionBy("table_name").parquet(at["_checked"])
+        checked = spark.read.schema(judged.schema).parquet(at["_checked"])
         batch_errors(checked, execution_id, path, inserted).write.mode("overwrite").partitionBy("table_name").parquet(at["errors"])
         curated_tables(checked, known, base, inserted, frequency)
         told = batch_control(checked, empty, broken, execution_id, inserted)

@@ -248,18 +248,24 @@ def curated_rows(spark, sf):
 def ingest_tab(spark, sf):
     """The whole chain, counted from the tables that it wrote."""
     base, _ = lines_ingested(spark, sf)
-    good = spark.read.parquet(f"{base}/curated/lines").select(F.col("PK_DERIVED").alias("k"), F.lit(True).alias("good"))
+    good = lines_curated(spark, base).select(F.col("PK_DERIVED").alias("k"), F.lit(True).alias("good"))
     every = good.unionAll(spark.read.parquet(f"{base}/errors/lines/{RUN}").select("pk_derived", F.lit(False)))
     bad = ~F.col("good")
     return every.agg(F.count("*").alias("total"), F.count_if(bad).alias("dup"), F.count_distinct(F.when(bad, F.col("k"))).alias("dup_keys"), F.count_if("good").alias("valid"))
 
 
+LINES_SPEC = TabSpec("lines", (Key("l_orderkey", "l_orderkey", "bigint"), Key("l_linenumber", "l_linenumber", "int")))
+
+
 def lines_ingested(spark, sf) -> tuple[str, DataFrame]:
     """lineitem through the whole chain: where its tables are, and the control row."""
     rows = table(spark, sf, "lineitem").select(F.lit("Lines.xlsx").alias("file_name"), F.lit("All").alias("sheet_tab_name"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")])
-    spec = TabSpec("lines", (Key("l_orderkey", "l_orderkey", "bigint"), Key("l_linenumber", "l_linenumber", "int")))
     base = shared(spark)
-    return base, flows.ingest_chain(rows, spec, base, RUN, ntz(), F.lit("/landing"))
+    return base, flows.ingest_chain(rows, LINES_SPEC, base, RUN, ntz(), F.lit("/landing"))
+
+
+def lines_curated(spark, base) -> DataFrame:
+    return flows.read_written(spark, f"{base}/curated/lines", flows.curated_columns([(k.name, k.type) for k in LINES_SPEC.keys], [LINES_SPEC.data_column]))
 
 
 LINES = """SELECT md5(CAST(l_orderkey AS STRING) || '!@~' || CAST(l_linenumber AS STRING) || '!@~' || '~') AS PK_DERIVED, l_orderkey, CAST(l_linenumber AS INT) AS l_linenumber,
@@ -269,7 +275,7 @@ LINES = """SELECT md5(CAST(l_orderkey AS STRING) || '!@~' || CAST(l_linenumber A
 @query(f"SELECT PK_DERIVED, l_orderkey, l_linenumber, DATA FROM ({LINES}) a WHERE n = 1")
 def ingest_tab_curated(spark, sf):
     base, _ = lines_ingested(spark, sf)
-    return spark.read.parquet(f"{base}/curated/lines").select("PK_DERIVED", "l_orderkey", "l_linenumber", "DATA")
+    return lines_curated(spark, base).select("PK_DERIVED", "l_orderkey", "l_linenumber", "DATA")
 
 
 @query(f"""SELECT 'run-1' AS execution_id, md5('run-1|Lines.xlsx|All') AS process_id, 'lines' AS table_name, count(*) AS source_row_count, count(*) FILTER (n = 1) AS valid_record_count, count(*) FILTER (n > 1) AS error_record_count,
@@ -560,7 +566,8 @@ def batch_written(spark, sf, run: str = RUN) -> tuple[str, DataFrame]:
 def batch_tables(spark, sf):
     """The curated tables of a batch, read back: keys have their types, columns of a table's tabs stand side by side."""
     base, _ = batch_written(spark, sf)
-    read = lambda t: flows.read_curated(spark, base, t).withColumn("table_name", F.lit(t))
+    known = made(spark, sf, REGISTRY)
+    read = lambda t: flows.read_curated(spark, base, t, known).withColumn("table_name", F.lit(t))
     rows = read("feed_shared").unionByName(read("feed_click"), allowMissingColumns=True)
     return rows.select("table_name", F.col(fold.FILE_NAME).alias("file_name"), F.col(fold.TAB_NAME).alias("sheet_tab_name"), "PK_DERIVED", "USER_ID", "USER_KEY", "DATA")
 
@@ -570,7 +577,7 @@ FROM ({BATCH_CHECKED}) c WHERE COMMENTS <> ''""")
 def batch_error_rows(spark, sf):
     """The rejected rows of a batch, read back."""
     base, _ = batch_written(spark, sf)
-    return spark.read.parquet(f"{base}/errors/{RUN}").select("table_name", "file_name", "sheet_tab_name", "pk_derived", "error_category", "pk_value")
+    return spark.read.schema(quarantine.ERRORS).parquet(f"{base}/errors/{RUN}").select("table_name", "file_name", "sheet_tab_name", "pk_derived", "error_category", "pk_value")
 
 
 @query()

@@ -166,6 +166,27 @@ def test_batch_rows_and_types(spark, tmp_path):
     assert bad["pk_value"] == "ID=123456" and '"ID":"123456"' in bad["err_record"] and "v.w" not in bad["err_record"]
 
 
+def test_tables_without_a_good_row_have_their_columns(spark, tmp_path):
+    known = seeded(spark, {("f", "A"): TabSpec("one", (Key("K", "ID", "bigint"),)), ("f", "B"): TabSpec("one", (Key("K", "N", "int"),)), ("f", "C"): TabSpec("007", (Key("K", "C", "int"),))})
+    none = lambda schema: spark.createDataFrame([], schema)
+    void, broken = none("file_name string, sheet_tab_name string, table_name string"), rows(spark, [("b.xlsx", "broken")], "file_name string, error string")
+
+    def run(name, data):
+        promoted = rows(spark, data, "file_name string, sheet_tab_name string, row_idx bigint, header array<string>, values array<string>")
+        told = flows.ingest_tables(promoted, void, broken, known, f"{tmp_path}/{name}", "r", ntz(), F.lit("/p"))
+        return sorted((r["file_name"], r["sheet_tab_name"] or "", r["valid_record_count"], r["error_record_count"]) for r in told.collect())
+
+    twice = [("f.xlsx", t, i, ["K", "V"], ["5", "v"]) for t in "AB" for i in range(2)]
+    assert run("bad", twice) == [("b.xlsx", "", 0, 0), ("f.xlsx", "A", 0, 2), ("f.xlsx", "B", 0, 2)]
+    one = flows.read_curated(spark, f"{tmp_path}/bad", "one", known)
+    assert one.count() == 0 and dict(one.dtypes)["ID"] == "bigint" and dict(one.dtypes)["N"] == "int" and one.columns[0] == "PK_DERIVED" and "DATA" in one.columns
+    assert run("half", [*twice[:2], ("f.xlsx", "B", 0, ["K", "V"], ["6", "v"]), ("f.xlsx", "C", 0, ["K", "V"], ["7", "v"])]) == [("b.xlsx", "", 0, 0), ("f.xlsx", "A", 0, 2), ("f.xlsx", "B", 1, 0), ("f.xlsx", "C", 1, 0)]
+    assert [(r["ID"], r["N"]) for r in flows.read_curated(spark, f"{tmp_path}/half", "one", known).collect()] == [(None, 6)]
+    assert [r["C"] for r in flows.read_curated(spark, f"{tmp_path}/half", "007", known).collect()] == [7]
+    assert run("nothing", [("g.xlsx", "Z", 0, ["K"], ["1"])]) == [("b.xlsx", "", 0, 0)]
+    assert flows.read_curated(spark, f"{tmp_path}/nothing", "one", known).count() == 0
+
+
 # ---- regeneration
 
 
