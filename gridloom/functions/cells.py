@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ DAY, LATER_EPOCH = 86_400_000, 1462
 LAST_DAY = 2_958_465
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f names it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def number_text(number: Column) -> Column:
     """The text of a double: whole numbers without a fraction, others by the fewest digits that read back as the same
     number, with an exponent below 0.0001 (`1e-12`). Whole numbers beyond 4e37 keep the engine's own text."""
@@ -47,18 +54,17 @@ def serial_text(number: Column, later_epoch: Column) -> Column:
     """
     from_1900 = number + F.when(later_epoch, F.lit(float(LATER_EPOCH))).otherwise(F.lit(0.0))
     days = from_1900 + F.when(from_1900 < 60, F.lit(1.0)).otherwise(F.lit(0.0))
-    ms = F.when((days >= 0) & (days < LAST_DAY + 1), F.round(days * DAY)).try_cast("bigint")
-    date = F.date_add(F.lit("1899-12-30").cast("date"), F.floor(ms / DAY).cast("int")).cast("string")
-    clock = _clock(ms % DAY, 2)
-    return F.when(number < 1, clock).when(number == F.floor(number), date).otherwise(F.concat(date, F.lit(" "), clock))
+    date = lambda ms: F.date_add(F.lit("1899-12-30").cast("date"), F.floor(ms / DAY).cast("int")).cast("string")
+    clock = lambda ms: bound(ms % DAY, lambda of_day: _clock(of_day, 2))
+    told = lambda ms: F.when(number < 1, clock(ms)).when(number == F.floor(number), date(ms)).otherwise(F.concat(date(ms), F.lit(" "), clock(ms)))
+    return bound(F.when((days >= 0) & (days < LAST_DAY + 1), F.round(days * DAY)).try_cast("bigint"), told)
 
 
 def elapsed_text(number: Column) -> Column:
     """The text of a span of days: `h:mm:ss`, from a day on `2 days, h:mm:ss`; a negative one has negative days and time beyond them."""
-    ms = F.when(F.abs(number) < 1e9, F.round(number * DAY)).try_cast("bigint")
-    days = F.floor(ms / DAY)
-    named = F.when(days == 0, "").otherwise(F.concat(days.cast("string"), F.when(F.abs(days) == 1, " day, ").otherwise(" days, ")))
-    return F.concat(named, _clock(ms - days * DAY, 1))
+    named = lambda days: F.when(days == 0, "").otherwise(F.concat(days.cast("string"), F.when(F.abs(days) == 1, " day, ").otherwise(" days, ")))
+    told = lambda ms: bound(F.floor(ms / DAY), lambda days: F.concat(named(days), bound(ms - days * DAY, lambda rest: _clock(rest, 1))))
+    return bound(F.when(F.abs(number) < 1e9, F.round(number * DAY)).try_cast("bigint"), told)
 
 
 def cell_text(value: Column, kind: Column) -> Column:
@@ -68,14 +74,18 @@ def cell_text(value: Column, kind: Column) -> Column:
     `e` span of time (elapsed_text); `i` ISO date, whose `T` becomes a space; all else is text and stays as it is, not
     trimmed. Empty texts are null, what can't be read as its kind stays text.
     """
-    number = F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
-    number = F.when(F.abs(number) < float("inf"), number)
     truth = F.when(F.lower(value).isin("1", "true"), "true").otherwise("false")
+
+    def numbered(number: Column) -> Column:
+        dated = F.coalesce(serial_text(number, kind == "d4"), number_text(number))
+        told = F.when(kind == "n", number_text(number)).when(kind == "e", F.coalesce(elapsed_text(number), number_text(number))).otherwise(dated)
+        return F.when(number.isNotNull(), told)
+
+    finite = lambda n: F.when(F.abs(n) < float("inf"), n)
+    parsed = F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
     told = (
         F.when(kind == "b", truth)
-        .when((kind == "n") & number.isNotNull(), number_text(number))
-        .when(kind.isin("d", "d4") & number.isNotNull(), F.coalesce(serial_text(number, kind == "d4"), number_text(number)))
-        .when((kind == "e") & number.isNotNull(), F.coalesce(elapsed_text(number), number_text(number)))
+        .when(kind.isin("n", "d", "d4", "e"), bound(parsed, lambda n: bound(finite(n), numbered)))
         .when(kind == "i", F.regexp_replace(value, r"^(\d{4}-\d{2}-\d{2})T", "$1 "))
     )
     return F.when(value == "", F.lit(None).cast("string")).otherwise(F.coalesce(told, value))

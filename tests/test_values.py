@@ -93,6 +93,28 @@ def test_a_workbook_that_breaks_off_gives_no_rows(spark):
     assert sorted(r["file_name"] for r in grids.unreadable(raw).collect()) == ["f0", "f1", "f2"]
 
 
+def test_sheets_are_parsed_once(monkeypatch):
+    opened, own = [], zipfile.ZipFile.open
+    monkeypatch.setattr(zipfile.ZipFile, "open", lambda self, name, *a, **b: (opened.append(name), own(self, name, *a, **b))[1])
+    content = book('<row r="2"><c r="B2"><v>1<x/>no</v><v>2</v></c><c><f>1+1</f></c><x><c><v>3</v></c></x></row><row/><row><c r="A4" t="inlineStr"><is><t>a<b>no</b></t><r><t>&amp;</t></r></is></c></row>')
+    opened.clear()
+    assert [(tab, list(rows)) for tab, rows in grids.workbook(content)] == [("T", [(0, [None, ("n", "1")]), (1, []), (2, [("s", "a&")])])]
+    assert opened.count("xl/worksheets/s.xml") == 1
+
+
+def test_workbooks_are_dealt_over_the_cores(spark):
+    grid = spark.range(400).select(F.lit("f").alias("file_name"), F.lit("T").alias("sheet_tab_name"), F.col("id").alias("row_idx"), F.array(F.col("id").cast("string")).alias("cells"))
+    books = grids.encode_grids(grid, 10).select(F.spark_partition_id().alias("task")).collect()
+    assert len(books) == 40 and len({b["task"] for b in books}) > 8
+
+
+def test_nulls_in_arrays_of_cells(spark):
+    kinds = "file_name string, sheet_tab_name string, row_idx bigint, cells array<struct<kind:string,value:string>>"
+    told = [("f", "T", 0, [("n", "1"), None, ("s", None), ("b", "1")]), ("f", "T", 1, None), ("f", "T", 2, [("e", "1.5"), ("s", "<&>")])]
+    grid = grids.text_grid(grids.decode_grids(grids.encode_grids(spark.createDataFrame(told, kinds))))
+    assert [(r["row_idx"], r["cells"]) for r in grid.orderBy("row_idx").collect()] == [(0, ["1", None, None, "true"]), (1, []), (2, ["1 day, 12:00:00", "<&>"])]
+
+
 def test_memory_does_not_grow_with_rows():
     """Ten times the rows through the decoder, whose peak hardly moves: what is parsed is dropped."""
     import multiprocessing
